@@ -1,0 +1,22 @@
+"""Broadcast only what has a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound for a broadcast side (a few MB for narrow rows).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Hint ``broadcast(df)`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is returned
+    unhinted, so the join falls back to a shuffle join (and AQE may still re-plan it).
+    Callers pass small derived tables (per-shard stats, failures), ideally cached.
+    """
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df), True
+    return df, False
