@@ -18,6 +18,7 @@ are scanned once per round for all runs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -31,7 +32,6 @@ from gradmesh.functions.model import (
     DEFAULT_ROUNDS,
     DEFAULT_THRESHOLD,
     WEIGHT_SLOTS,
-    flat_score,
     rms_of,
     sigmoid,
     weight_step,
@@ -40,6 +40,8 @@ from gradmesh.operators.broadcast import bounded_broadcast
 from gradmesh.operators.gradients import combined_gradient, shard_gradient, weights_literal
 
 NEVER = 2**31 - 1
+# Inputs up to this many rows are spread evenly before caching (cheap at that size).
+REBALANCE_ROWS = 50_000_000
 # Upper bound on R * k doubles shipped with one round's tasks; more runs go in several jobs.
 MAX_WEIGHT_CELLS = 2_000_000
 
@@ -93,8 +95,11 @@ class Prepared:
     n_shards: int
     alive: list[int]
     _cached: list[DataFrame] = field(default_factory=list)
+    view: str | None = None
 
     def release(self) -> None:
+        if self.view and self.df is not None:
+            self.df.sparkSession.catalog.dropTempView(self.view)
         for d in self._cached:
             d.unpersist()
 
@@ -119,12 +124,18 @@ def prepare(
     failures: DataFrame | None = None,
     max_features: int = WEIGHT_SLOTS,
     materialize: str = "persist",
+    partitions: int | None = None,
 ) -> Prepared:
     """Clamp (S8), count per shard, attach ``inv_n`` / ``fail_round`` and cache flat columns.
 
     Two scans of the input: one grouped count per shard (partial aggregation, skew-proof),
     one to build the cached table. ``materialize='checkpoint'`` writes the table to the
     session's checkpoint folder instead of caching it, cutting the lineage to the source.
+
+    Every round scans the cached table, so its partitions must be even. ``partitions``
+    forces a round-robin repartition; by default inputs of at most ``REBALANCE_ROWS`` rows
+    (where one file or row group can end up as one task) are spread over the default
+    parallelism, and larger inputs keep their scan splits (no full shuffle at scale).
     """
     base = samples.select(
         F.col("shard_id").cast("int").alias("shard_id"),
@@ -148,6 +159,7 @@ def prepare(
     info = per_shard.agg(
         F.max("k").alias("k"),
         F.count(F.lit(1)).alias("n_shards"),
+        F.sum("n").alias("n_rows"),
         *[F.count(F.when(F.col("fail_round") > F.lit(r), F.lit(1))).alias(f"a{r}") for r in range(rounds)],
     ).first()
     n_shards = int(info["n_shards"])
@@ -163,6 +175,12 @@ def prepare(
         "inv_n", "fail_round", "y",
         *[F.coalesce(F.get("x", j), F.lit(0.0)).alias(c) for j, c in enumerate(_xcols(k))],
     )
+    n_rows = int(info["n_rows"] or 0)
+    spark = samples.sparkSession
+    if partitions is None and n_rows <= REBALANCE_ROWS:
+        partitions = spark.sparkContext.defaultParallelism
+    if partitions:
+        flat = flat.repartition(int(partitions))
     if materialize == "checkpoint":
         flat = flat.checkpoint(eager=True)
         cached = [per_shard]
@@ -170,36 +188,31 @@ def prepare(
         flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
         flat.count()
         cached = [per_shard, flat]
-    return Prepared(flat, k, n_shards, alive, cached)
+    view = f"gradmesh_samples_{uuid.uuid4().hex[:12]}"
+    flat.createOrReplaceTempView(view)
+    return Prepared(flat, k, n_shards, alive, cached, view)
 
 
 # ---- one round ---------------------------------------------------------------------
 
-def _round_schema(k: int) -> T.StructType:
-    return T.StructType(
-        [T.StructField("round_id", T.IntegerType(), False)]
-        + [T.StructField(f"w{j}", T.DoubleType(), False) for j in range(k)]
-    )
-
-
 def round_sums_jvm(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int, list[float]]:
-    """One run: ``(rows, [sum err*x_j/n_s])`` for live shards, all in generated JVM code.
+    """One run: ``(rows, [sum err*x_j/n_s])`` over live shards, in generated JVM code.
 
-    The weights arrive as a one-row frame joined by broadcast on ``fail_round > round_id``
-    (J1 + J2), so the plan is the same every round and compiled code is reused.
+    The weights enter as double literals (J1: the analogue of shipping the vector with
+    the task), the live-shard test ``fail_round > r`` is the J2 filter, and the statement
+    is one SQL string so the plan is built with a single call. Score, sigmoid, residual
+    and the k sums fuse into one whole-stage-codegen pipeline over the cached columns;
+    each task emits one partial row, and one final row reaches the driver.
     """
-    spark = prep.df.sparkSession
     k = prep.k
-    wdf = spark.createDataFrame([(int(round_id), *[float(v) for v in w])], _round_schema(k))
-    j = prep.df.join(F.broadcast(wdf), F.col("fail_round") > F.col("round_id"), "inner")
-    xs = [F.col(c) for c in _xcols(k)]
-    ws = [F.col(f"w{i}") for i in range(k)]
-    e = (sigmoid(flat_score(xs, ws)) - F.col("y")) * F.col("inv_n")
-    row = (
-        j.select(e.alias("e"), *xs)
-        .agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col("e") * x).alias(f"s{i}") for i, x in enumerate(xs)])
-        .first()
+    xs = _xcols(k)
+    score = " + ".join(f"CAST({float(v)!r} AS DOUBLE) * {x}" for v, x in zip(w, xs))
+    sql = (
+        "SELECT count(1) AS rows, " + ", ".join(f"sum(e * {x}) AS s{j}" for j, x in enumerate(xs))
+        + f" FROM (SELECT (1.0D / (1.0D + exp(-({score}))) - y) * inv_n AS e, {', '.join(xs)}"
+        + f" FROM {prep.view} WHERE fail_round > {int(round_id)}) t"
     )
+    row = prep.df.sparkSession.sql(sql).collect()[0]
     rows = int(row["rows"])
     return rows, [float(row[f"s{i}"]) if rows else 0.0 for i in range(k)]
 

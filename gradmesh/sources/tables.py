@@ -4,7 +4,8 @@ These are test plumbing (see FIXTURES.md §2), not operators. Every adapter read
 whole table and derives rows with built-in column expressions only.
 
 Samples schema: ``shard_id INT, row_id BIGINT, x ARRAY<DOUBLE>, y DOUBLE``.
-Lines schema:   ``shard_id INT, pos STRUCT<file_block_start BIGINT, id BIGINT>, value STRING``.
+Lines schema:   ``shard_id INT, pos STRUCT<file STRING, file_block_start BIGINT, id BIGINT>,
+value STRING``.
 """
 
 from __future__ import annotations
@@ -70,6 +71,7 @@ def ragged_embedding_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_pos() -> Column:
     return F.struct(
+        F.lit("lineitem").alias("file"),
         F.col("l_orderkey").cast("bigint").alias("file_block_start"),
         F.col("l_linenumber").cast("bigint").alias("id"),
     )
