@@ -144,3 +144,65 @@ def history_exploded_body(k: int, with_run: bool = False) -> str:
         "CAST(responses AS BIGINT) AS responses, CAST(alive_shards AS BIGINT) AS alive_shards, "
         f"CAST(status AS INTEGER) AS status, CAST(j AS INTEGER) AS j, {r8('w')} AS w FROM ({inner}) t"
     )
+
+
+# ---- text shards -----------------------------------------------------------------------
+
+# Same patterns as gradmesh.functions.numeric (RE2 and Java regex agree on them).
+FLOAT_PREFIX = (
+    r"^[ \t\n\r\f\x0B]*([+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+    r"|(?i:inf(?:inity)?|nan)))"
+)
+INT_PREFIX = r"^[ \t\n\r\f\x0B]*([+-]?[0-9]+)"
+
+
+def strtof(expr: str) -> str:
+    return f"coalesce(TRY_CAST(regexp_extract({expr}, '{FLOAT_PREFIX}', 1) AS DOUBLE), 0.0)"
+
+
+def atoi(expr: str) -> str:
+    return f"coalesce(TRY_CAST(regexp_extract({expr}, '{INT_PREFIX}', 1) AS BIGINT), 0)"
+
+
+def _li_text_cols() -> str:
+    return (
+        "CAST(l_orderkey % 3 + 1 AS INTEGER) AS shard_id, CAST(l_orderkey AS BIGINT) AS pos_block, "
+        "CAST(l_linenumber AS BIGINT) AS pos_id, l_linenumber, l_returnflag, "
+        "printf('%.4f', l_quantity) AS q, printf('%.4f', l_extendedprice) AS p, "
+        "printf('%.4f', l_discount) AS d, printf('%.4f', l_tax) AS t, "
+        "printf('%.1f', CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS lab"
+    )
+
+
+def li_lines_sql() -> str:
+    return f"SELECT shard_id, pos_block, pos_id, q || ' ' || p || ' ' || d || ' ' || t || ' ' || lab AS value FROM (SELECT {_li_text_cols()} FROM lineitem) a"
+
+
+def li_dirty_lines_sql() -> str:
+    clean = "q || ' ' || p || ' ' || d || ' ' || t || ' ' || lab"
+    value = (
+        f"CASE l_linenumber WHEN 2 THEN {clean} || chr(13) "
+        "WHEN 3 THEN q || chr(9) || p || '  ' || d || chr(9) || chr(9) || t || ' ' || lab "
+        "WHEN 4 THEN q || ' ' || p || ' ' || d || 'abc ' || t || 'e ' || lab || ' extra 99' "
+        f"WHEN 5 THEN '# ' || {clean} "
+        "WHEN 6 THEN q || ' ' || p "
+        "WHEN 7 THEN CASE WHEN l_returnflag = 'A' THEN '   ' ELSE '' END "
+        f"ELSE {clean} END"
+    )
+    return f"SELECT shard_id, pos_block, pos_id, {value} AS value FROM (SELECT {_li_text_cols()} FROM lineitem) a"
+
+
+def tok_lines_sql(lines_sql: str) -> str:
+    """S3 + S4 over a lines query with (shard_id, pos_block, pos_id, value)."""
+    return (
+        "SELECT *, len(tok) AS n_tok FROM (SELECT shard_id, pos_block, pos_id, value, "
+        "list_filter(regexp_split_to_array(value, '[ \\t\\n]+'), lambda x: x <> '') AS tok "
+        f"FROM ({lines_sql}) l WHERE value <> '' AND NOT starts_with(value, '#')) a"
+    )
+
+
+def shard_schema_sql(tok_sql: str) -> str:
+    return (
+        "SELECT shard_id, CAST(coalesce(arg_min(n_tok, pos_block * 8 + pos_id) FILTER (WHERE n_tok > 0), 0) AS INTEGER) AS width, "
+        f"count(*) AS n_lines FROM ({tok_sql}) t GROUP BY shard_id"
+    )

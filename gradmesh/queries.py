@@ -16,7 +16,10 @@ from gradmesh import oracle as O
 from gradmesh.functions.model import linear_score, sigmoid
 from gradmesh.operators import gradients as G
 from gradmesh.plans import training as TR
+from gradmesh.session import shared_path
+from gradmesh.sources import generator as GEN
 from gradmesh.sources import tables as TB
+from gradmesh.sources import text as TX
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -325,3 +328,104 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = TR.train(TB.lineitem_samples(spark, sf_dir), threshold=CONVERGE_THRESHOLD, failures=_failures_df(spark))
     sm = res.summary
     return sm.select("run_id", "final_round", "rounds_run", "alive_shards", "outcome", r8("final_norm").alias("final_norm"))
+
+
+# ---- S1-S9 text shards ---------------------------------------------------------------------
+
+def _flat_pos(df: DataFrame) -> DataFrame:
+    return df.withColumn("pos_block", F.col("pos.file_block_start")).withColumn("pos_id", F.col("pos.id"))
+
+
+@register("shard_scan", lambda: f"SELECT shard_id, value FROM ({O.li_lines_sql()}) a")
+def q_shard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 for real: write F-TXT lines as shard files in the shared folder, read them back."""
+    path = GEN.write_shards(TB.lineitem_lines(spark, sf_dir), shared_path(spark, "shard_scan"))
+    return TX.read_shards(spark, path).select("shard_id", "value")
+
+
+@register(
+    "shard_filter",
+    lambda: f"SELECT shard_id, pos_block, pos_id, value FROM ({O.li_dirty_lines_sql()}) l "
+    "WHERE value <> '' AND NOT starts_with(value, '#')",
+)
+def q_shard_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _flat_pos(TX.data_lines(TB.lineitem_dirty_lines(spark, sf_dir)))
+    return d.select("shard_id", "pos_block", "pos_id", "value")
+
+
+def _schema_sql() -> str:
+    return O.shard_schema_sql(O.tok_lines_sql(O.li_dirty_lines_sql()))
+
+
+@register(
+    "shard_schema",
+    lambda: f"SELECT shard_id, width, n_lines, CAST(n_lines > 0 AND width >= 2 AS INTEGER) AS accepted FROM ({_schema_sql()}) s",
+)
+def q_shard_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tok = TX.tokenize(TX.data_lines(TB.lineitem_dirty_lines(spark, sf_dir)))
+    sch = TX.shard_schema(tok)
+    return sch.select("shard_id", "width", "n_lines", F.col("accepted").cast("int").alias("accepted"))
+
+
+def _parse_sql() -> str:
+    tok = O.tok_lines_sql(O.li_dirty_lines_sql())
+    inner = (
+        "SELECT t.shard_id, t.pos_block, t.pos_id, " + O.strtof("t.tok[s.width]") + " AS y, "
+        "unnest(range(s.width - 1)) AS j, unnest(list_transform(t.tok[1:s.width - 1], lambda v: "
+        + O.strtof("v") + ")) AS v "
+        f"FROM ({tok}) t JOIN ({_schema_sql()}) s USING (shard_id) WHERE s.width >= 2 AND t.n_tok >= s.width"
+    )
+    return (
+        "SELECT shard_id, pos_block, pos_id, " + O.r8("y") + " AS y, CAST(j AS INTEGER) AS j, "
+        + O.r8("v") + f" AS v FROM ({inner}) a"
+    )
+
+
+@register("shard_parse", _parse_sql)
+def q_shard_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples, _, _ = TX.lines_to_samples(TB.lineitem_dirty_lines(spark, sf_dir))
+    e = _flat_pos(samples).select("shard_id", "pos_block", "pos_id", "y", F.posexplode("x").alias("j", "v"))
+    return e.select("shard_id", "pos_block", "pos_id", r8("y").alias("y"), "j", r8("v").alias("v"))
+
+
+@register(
+    "shard_rejects",
+    lambda: (
+        "SELECT t.shard_id, t.pos_block, t.pos_id, t.value, CAST(t.n_tok AS INTEGER) AS n_tok, "
+        "CASE WHEN NOT (s.n_lines > 0 AND s.width >= 2) THEN 'shard_rejected' ELSE 'short_row' END AS reason "
+        f"FROM ({O.tok_lines_sql(O.li_dirty_lines_sql())}) t JOIN ({_schema_sql()}) s USING (shard_id) "
+        "WHERE NOT (s.n_lines > 0 AND s.width >= 2) OR t.n_tok < s.width"
+    ),
+)
+def q_shard_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejects, _ = TX.lines_to_samples(TB.lineitem_dirty_lines(spark, sf_dir))
+    return _flat_pos(rejects).select("shard_id", "pos_block", "pos_id", "value", "n_tok", "reason")
+
+
+@register(
+    "generate_lines",
+    lambda: (
+        "SELECT shard_id, printf('%.4f', x0) || ' ' || printf('%.4f', x1) || ' ' || printf('%.4f', x2) || ' ' || "
+        "printf('%.4f', x3) || ' ' || printf('%.1f', CASE WHEN 0.5 * x0 + 0.3 * x1 + -0.2 * x2 + 0.1 * x3 > 0 "
+        "THEN 1.0 ELSE 0.0 END) AS value FROM (SELECT CAST(l_orderkey % 3 + 1 AS INTEGER) AS shard_id, "
+        "l_quantity AS x0, l_extendedprice AS x1, -l_discount AS x2, l_tax AS x3 FROM lineitem) a"
+    ),
+)
+def q_generate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9's label rule and line format over lineitem's raw two-decimal columns
+    (discount negated so both labels occur)."""
+    li = TB.read_table(spark, sf_dir, "lineitem")
+    s = li.select(
+        (F.col("l_orderkey") % 3 + 1).cast("int").alias("shard_id"),
+        F.array("l_quantity", "l_extendedprice", -F.col("l_discount"), "l_tax").cast("array<double>").alias("x"),
+    )
+    return GEN.format_lines(GEN.label_by_score(s))
+
+
+@register("generate_samples")
+def q_generate_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 proper: one gaussian sample per lineitem row (random values: rows-only check)."""
+    li = TB.read_table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 3 + 1).cast("int").alias("shard_id")
+    )
+    return GEN.format_lines(GEN.label_by_score(GEN.with_gaussian_features(li)))
