@@ -206,3 +206,121 @@ def shard_schema_sql(tok_sql: str) -> str:
         "SELECT shard_id, CAST(coalesce(arg_min(n_tok, pos_block * 8 + pos_id) FILTER (WHERE n_tok > 0), 0) AS INTEGER) AS width, "
         f"count(*) AS n_lines FROM ({tok_sql}) t GROUP BY shard_id"
     )
+
+
+# ---- control log ------------------------------------------------------------------------
+
+def ctl_sql() -> str:
+    """F-CTL over events, invalid ops dropped."""
+    return (
+        "SELECT * FROM (SELECT CAST(user_id AS BIGINT) AS run_id, CAST(event_id AS BIGINT) AS seq, "
+        "CASE event_type WHEN 'error' THEN 'PAUSE' WHEN 'view' THEN 'RESUME' WHEN 'click' THEN 'ADJUST_LR' "
+        "WHEN 'purchase' THEN 'QUERY_PROGRESS' WHEN 'signup' THEN CASE WHEN event_id % 10 = 0 THEN 'TERMINATE' END END AS op, "
+        "CASE WHEN event_type = 'click' THEN CAST(value / 10000.0 AS DOUBLE) END AS new_lr FROM events) e WHERE op IS NOT NULL"
+    )
+
+
+def cmd_lines_sql() -> str:
+    """F-CMD over events."""
+    return (
+        "SELECT CAST(user_id AS BIGINT) AS run_id, CAST(event_id AS BIGINT) AS seq, "
+        "CASE event_type WHEN 'purchase' THEN '1' WHEN 'click' THEN '2' WHEN 'error' THEN '3' WHEN 'view' THEN '4' "
+        "ELSE CAST(value AS VARCHAR) END AS value FROM events"
+    )
+
+
+def decode_sql(lines_sql: str) -> str:
+    b = (
+        f"SELECT run_id, seq, value, {atoi('value')} AS code, "
+        "row_number() OVER (PARTITION BY run_id ORDER BY seq) - 1 AS idx, "
+        "lead(value) OVER (PARTITION BY run_id ORDER BY seq) AS next_value "
+        f"FROM ({lines_sql}) l"
+    )
+    c = (
+        "SELECT *, idx - coalesce(max(CASE WHEN code <> 2 THEN idx END) OVER (PARTITION BY run_id ORDER BY seq "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) - 1 AS span FROM (" + b + ") b"
+    )
+    cmds = "SELECT * FROM (" + c + ") c WHERE span % 2 = 0"
+    ends = "SELECT run_id, arg_min(seq, seq) AS end_seq, arg_min(code, seq) AS end_code FROM (" + cmds + ") x WHERE code < 0 OR code = 5 GROUP BY run_id"
+    return (
+        "SELECT m.run_id, m.seq, CASE m.code WHEN 1 THEN 'QUERY_PROGRESS' WHEN 2 THEN 'ADJUST_LR' WHEN 3 THEN 'PAUSE' "
+        "WHEN 4 THEN 'RESUME' WHEN 5 THEN 'TERMINATE' END AS op, "
+        f"CASE WHEN m.code = 2 THEN {strtof('m.next_value')} END AS new_lr "
+        f"FROM ({cmds}) m LEFT JOIN ({ends}) e USING (run_id) "
+        "WHERE (e.end_seq IS NULL OR m.seq < e.end_seq OR (m.seq = e.end_seq AND e.end_code = 5)) "
+        "AND NOT (m.code = 2 AND m.next_value IS NULL)"
+    )
+
+
+def cut_sql(ctl: str) -> str:
+    return (
+        f"SELECT c.* FROM ({ctl}) c LEFT JOIN (SELECT run_id, min(seq) AS t FROM ({ctl}) x WHERE op = 'TERMINATE' "
+        "GROUP BY run_id) t USING (run_id) WHERE t.t IS NULL OR c.seq <= t.t"
+    )
+
+
+def rounds_sql(ctl: str) -> str:
+    """C2 + C3: (run_id, seq, op, new_lr, paused_before, effective, round_id)."""
+    e = (
+        "SELECT *, coalesce(max(CASE op WHEN 'PAUSE' THEN seq * 2 + 1 WHEN 'RESUME' THEN seq * 2 END) OVER ("
+        "PARTITION BY run_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) % 2 = 1, false) AS paused_before "
+        f"FROM ({cut_sql(ctl)}) c"
+    )
+    return (
+        "SELECT *, (NOT paused_before OR op IN ('RESUME', 'TERMINATE')) AS effective, "
+        "CAST(sum(CASE WHEN paused_before THEN 0 ELSE 1 END) OVER (PARTITION BY run_id ORDER BY seq "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS INTEGER) AS round_id FROM (" + e + ") e"
+    )
+
+
+def gate_sql(ctl: str) -> tuple[str, str]:
+    """(commands after the gate, gates(run_id, gate_op))."""
+    gates = (
+        f"SELECT r.run_id, g.gate_seq, g.gate_op FROM (SELECT DISTINCT run_id FROM ({ctl}) a) r LEFT JOIN "
+        f"(SELECT run_id, min(seq) AS gate_seq, arg_min(op, seq) AS gate_op FROM ({ctl}) b "
+        "WHERE op IN ('RESUME', 'TERMINATE') GROUP BY run_id) g USING (run_id)"
+    )
+    rest = (
+        f"SELECT c.run_id, c.seq, c.op, c.new_lr FROM ({ctl}) c JOIN ({gates}) g USING (run_id) "
+        "WHERE g.gate_op = 'RESUME' AND c.seq > g.gate_seq"
+    )
+    return rest, gates
+
+
+def terminations_sql(ctl: str, rounds: int = 10, gate: bool = False) -> str:
+    src = gate_sql(ctl)[0] if gate else ctl
+    per = (
+        "SELECT run_id, min(CASE WHEN op = 'TERMINATE' THEN round_id END) AS term_round, "
+        "max(CASE op WHEN 'PAUSE' THEN seq * 2 + 1 WHEN 'RESUME' THEN seq * 2 END) % 2 = 1 AS stalled, "
+        f"max(round_id) AS last_round FROM ({rounds_sql(src)}) r GROUP BY run_id"
+    )
+    base = (
+        "SELECT run_id, CASE WHEN term_round IS NOT NULL THEN term_round WHEN stalled THEN last_round END AS stop_round, "
+        "CASE WHEN term_round IS NOT NULL THEN 'terminated' WHEN stalled THEN 'stalled' END AS outcome "
+        f"FROM (SELECT DISTINCT run_id FROM ({ctl}) a) r LEFT JOIN ({per}) p USING (run_id)"
+    )
+    if gate:
+        gates = gate_sql(ctl)[1]
+        base = (
+            "SELECT b.run_id, CASE WHEN g.gate_op = 'RESUME' THEN b.stop_round ELSE 0 END AS stop_round, "
+            "CASE WHEN g.gate_op = 'TERMINATE' THEN 'terminated' WHEN g.gate_op IS NULL THEN 'waiting' ELSE b.outcome END AS outcome "
+            f"FROM ({base}) b JOIN ({gates}) g USING (run_id)"
+        )
+    return (
+        f"SELECT run_id, CAST(CASE WHEN stop_round IS NULL OR stop_round >= {rounds} THEN {rounds} ELSE stop_round END AS INTEGER) AS stop_round, "
+        f"CASE WHEN stop_round IS NULL OR stop_round >= {rounds} THEN 'running' ELSE outcome END AS outcome FROM ({base}) t"
+    )
+
+
+def lr_schedule_sql(ctl: str, rounds: int = 10, lr: float = 0.01, gate: bool = False) -> str:
+    src = gate_sql(ctl)[0] if gate else ctl
+    adj = (
+        f"SELECT run_id, round_id, new_lr FROM ({rounds_sql(src)}) r WHERE op = 'ADJUST_LR' AND effective "
+        f"AND round_id < {rounds}"
+    )
+    return (
+        "SELECT g.run_id, CAST(g.round_id AS INTEGER) AS round_id, "
+        f"coalesce((SELECT arg_max(a.new_lr, a.round_id) FROM ({adj}) a WHERE a.run_id = g.run_id AND a.round_id <= g.round_id), "
+        f"CAST({lr!r} AS DOUBLE)) AS lr FROM (SELECT t.run_id, r.range AS round_id FROM ({terminations_sql(ctl, rounds, gate)}) t, "
+        f"range({rounds}) r WHERE r.range < t.stop_round) g"
+    )

@@ -109,6 +109,7 @@ class TrainResult:
     history: DataFrame
     weights: DataFrame
     summary: DataFrame
+    n_shards: int = 0
 
     def __iter__(self):
         return iter((self.history, self.weights))
@@ -298,6 +299,33 @@ class _RunState:
     last_norm: float | None = None
 
 
+def plans_from_control(
+    control: DataFrame,
+    rounds: int = DEFAULT_ROUNDS,
+    lr: float = DEFAULT_LR,
+    wait_for_start: bool = False,
+) -> list[RunPlan]:
+    """Fold a control log (C2-C7, J3) into one ``RunPlan`` per run.
+
+    Collects ``rounds`` rates and one stop row per run: the training configuration, not data.
+    """
+    from gradmesh.operators.control import lr_schedule, terminations
+
+    rounds = int(rounds)
+    stops = {
+        int(r["run_id"]): (int(r["stop_round"]), r["outcome"])
+        for r in terminations(control, rounds, wait_for_start).collect()
+    }
+    lrs: dict[int, list[float]] = {rid: [float(lr)] * rounds for rid in stops}
+    for r in lr_schedule(control, rounds, lr, wait_for_start).collect():
+        lrs[int(r["run_id"])][int(r["round_id"])] = float(r["lr"])
+    plans = []
+    for rid in sorted(stops):
+        stop, outcome = stops[rid]
+        plans.append(RunPlan(rid, lrs[rid], stop, outcome if stop < rounds else "completed"))
+    return plans
+
+
 def train(
     samples: DataFrame,
     rounds: int = DEFAULT_ROUNDS,
@@ -305,6 +333,8 @@ def train(
     threshold: float = DEFAULT_THRESHOLD,
     failures: DataFrame | None = None,
     plans: Sequence[RunPlan] | None = None,
+    control: DataFrame | None = None,
+    wait_for_start: bool = False,
     norm_slots: int = WEIGHT_SLOTS,
     max_features: int = WEIGHT_SLOTS,
     materialize: str = "persist",
@@ -316,10 +346,13 @@ def train(
     gradients over the responding shards (missing slots count as zero), applies
     ``w -= lr * g``, and then stops if ``rms(g, norm_slots) < threshold`` (status 1).
     A round with no live shard leaves the weights unchanged and has no norm (T5).
-    ``plans`` carry per-round learning rates and early stops from a control log.
+    ``plans`` (or a ``control`` log, folded by ``plans_from_control``) carry per-round
+    learning rates and early stops; all runs are trained together.
     """
     spark = samples.sparkSession
     rounds = int(rounds)
+    if plans is None and control is not None:
+        plans = plans_from_control(control, rounds, lr, wait_for_start)
     if plans is None:
         plans = [RunPlan(0, [float(lr)] * rounds, rounds)]
     prep = prepare(samples, rounds, failures, max_features, materialize)
@@ -370,7 +403,7 @@ def train(
             alive = prep.alive[last] if last >= 0 else prep.n_shards
             summary.append((st.plan.run_id, int(st.final_round), st.rounds_run, alive, st.outcome, st.last_norm))
         summary_df = spark.createDataFrame(summary, SUMMARY_SCHEMA)
-        return TrainResult(hist_df, weights_df, summary_df)
+        return TrainResult(hist_df, weights_df, summary_df, prep.n_shards)
     finally:
         prep.release()
 

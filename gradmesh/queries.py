@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gradmesh import oracle as O
 from gradmesh.functions.model import linear_score, sigmoid
+from gradmesh.operators import control as C
 from gradmesh.operators import gradients as G
 from gradmesh.plans import training as TR
 from gradmesh.session import shared_path
@@ -429,3 +430,118 @@ def q_generate_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") % 3 + 1).cast("int").alias("shard_id")
     )
     return GEN.format_lines(GEN.label_by_score(GEN.with_gaussian_features(li)))
+
+
+# ---- C1-C7, J3 control log ----------------------------------------------------------------
+
+def _ctl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TB.events_control(spark, sf_dir)
+
+
+@register(
+    "decode_commands",
+    lambda: f"SELECT run_id, seq, op, {O.r8('new_lr')} AS new_lr FROM ({O.decode_sql(O.cmd_lines_sql())}) d",
+)
+def q_decode_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = C.decode_commands(TB.events_commands(spark, sf_dir))
+    return d.select("run_id", "seq", "op", r8("new_lr").alias("new_lr"))
+
+
+@register(
+    "effective_commands",
+    lambda: (
+        "SELECT run_id, seq, op, CAST(paused_before AS INTEGER) AS paused_before, "
+        f"CAST(effective AS INTEGER) AS effective FROM ({O.rounds_sql(O.ctl_sql())}) r"
+    ),
+)
+def q_effective_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = C.effective_commands(_ctl(spark, sf_dir))
+    return e.select(
+        "run_id", "seq", "op", F.col("paused_before").cast("int").alias("paused_before"),
+        F.col("effective").cast("int").alias("effective"),
+    )
+
+
+@register("command_rounds", lambda: f"SELECT run_id, seq, op, round_id FROM ({O.rounds_sql(O.ctl_sql())}) r")
+def q_command_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.command_rounds(_ctl(spark, sf_dir)).select("run_id", "seq", "op", "round_id")
+
+
+@register(
+    "command_log_rounds",
+    lambda: (
+        f"SELECT run_id, seq, op, round_id FROM ({O.rounds_sql('SELECT * FROM (' + O.decode_sql(O.cmd_lines_sql()) + ') d WHERE op IS NOT NULL')}) r"
+    ),
+)
+def q_command_log_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 then C2/C3: raw console lines all the way to round numbers."""
+    d = C.decode_commands(TB.events_commands(spark, sf_dir))
+    return C.command_rounds(d).select("run_id", "seq", "op", "round_id")
+
+
+@register("terminations", lambda: O.terminations_sql(O.ctl_sql()))
+def q_terminations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.terminations(_ctl(spark, sf_dir))
+
+
+@register("start_gate", lambda: O.terminations_sql(O.ctl_sql(), gate=True))
+def q_start_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.terminations(_ctl(spark, sf_dir), wait_for_start=True)
+
+
+@register(
+    "lr_schedule",
+    lambda: f"SELECT run_id, round_id, {O.r8('lr')} AS lr FROM ({O.lr_schedule_sql(O.ctl_sql())}) s",
+)
+def q_lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = C.lr_schedule(_ctl(spark, sf_dir))
+    return s.select("run_id", "round_id", r8("lr").alias("lr"))
+
+
+def _controlled_ctes(gate: bool = False) -> list[str]:
+    ctl = O.ctl_sql()
+    runs = f"SELECT run_id, stop_round FROM ({O.terminations_sql(ctl, 10, gate)}) t"
+    sched = O.lr_schedule_sql(ctl, 10, LR, gate)
+    return O.training_ctes(O.li_samples_sql(), 4, runs_sql=runs, sched_sql=sched)
+
+
+@register("train_controlled", lambda: O.with_ctes(_controlled_ctes(), O.history_exploded_body(4, with_run=True)))
+def q_train_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with a control log: one run per user, all runs trained together."""
+    res = TR.train(TB.lineitem_samples(spark, sf_dir), control=_ctl(spark, sf_dir))
+    return _hist_exploded(res.history, with_run=True)
+
+
+def _progress_sql() -> str:
+    ctes = _controlled_ctes()
+    ctes.append(
+        "fin AS (SELECT r.run_id, coalesce((SELECT min(h.round_id) FROM hist h WHERE h.run_id = r.run_id "
+        "AND h.status = 1), r.stop_round) AS final_round FROM runs r)"
+    )
+    ctes.append("nsh AS (SELECT count(DISTINCT shard_id) AS n FROM s)")
+    ctes.append(
+        f"q AS (SELECT r.run_id, r.seq, r.round_id FROM ({O.rounds_sql(O.ctl_sql())}) r JOIN fin USING (run_id) "
+        "WHERE r.op = 'QUERY_PROGRESS' AND r.effective AND r.round_id < 10 AND r.round_id <= fin.final_round)"
+    )
+    body = (
+        "SELECT q.run_id, q.seq, CAST(10 AS INTEGER) AS total_rounds, CAST(greatest(q.round_id - 1, 0) AS INTEGER) AS current_round, "
+        "CAST(coalesce(h.alive_shards, (SELECT n FROM nsh)) AS INTEGER) AS active_workers, "
+        "CAST((SELECT n FROM nsh) - coalesce(h.alive_shards, (SELECT n FROM nsh)) AS INTEGER) AS failed_workers, "
+        + O.r8(f"coalesce(sc.lr, {LR!r})") + " AS current_lr, "
+        + O.r8("coalesce((SELECT arg_max(h2.grad_norm, h2.round_id) FROM hist h2 WHERE h2.run_id = q.run_id "
+               "AND h2.round_id < q.round_id AND h2.grad_norm IS NOT NULL), 0.0)")
+        + " AS current_loss FROM q LEFT JOIN hist h ON h.run_id = q.run_id AND h.round_id = q.round_id - 1 "
+        "LEFT JOIN sched sc ON sc.run_id = q.run_id AND sc.round_id = q.round_id"
+    )
+    return O.with_ctes(ctes, body)
+
+
+@register("progress", _progress_sql)
+def q_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ctl = _ctl(spark, sf_dir)
+    res = TR.train(TB.lineitem_samples(spark, sf_dir), control=ctl)
+    p = C.progress(ctl, res.history, res.summary, res.n_shards)
+    return p.select(
+        "run_id", "seq", "total_rounds", "current_round", "active_workers", "failed_workers",
+        r8("current_lr").alias("current_lr"), r8("current_loss").alias("current_loss"),
+    )
