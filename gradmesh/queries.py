@@ -545,3 +545,20 @@ def q_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         "run_id", "seq", "total_rounds", "current_round", "active_workers", "failed_workers",
         r8("current_lr").alias("current_lr"), r8("current_loss").alias("current_loss"),
     )
+
+
+# ---- C8 streaming --------------------------------------------------------------------------
+
+@register("control_stream", lambda: f"SELECT run_id, seq, op, round_id FROM ({O.rounds_sql(O.ctl_sql())}) r")
+def q_control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table read as a stream, mapped to control events, folded with state."""
+    from gradmesh.streaming.control_stream import control_fold, run_to_table
+
+    schema = TB.read_table(spark, sf_dir, "events").schema
+    raw = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", 1).parquet(sf_dir)
+    )
+    ctl = TB.control_from_events(raw)
+    out = run_to_table(control_fold(ctl), spark)
+    return out.select("run_id", "seq", "op", "round_id")

@@ -120,7 +120,11 @@ def lineitem_dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-CTL: decoded control events, run = user, seq = event id; invalid ops dropped."""
-    ev = read_table(spark, sf_dir, "events")
+    return control_from_events(read_table(spark, sf_dir, "events"))
+
+
+def control_from_events(ev: DataFrame) -> DataFrame:
+    """F-CTL mapping over an events frame (batch or streaming)."""
     et = F.col("event_type")
     op = (
         F.when(et == "error", F.lit("PAUSE"))
