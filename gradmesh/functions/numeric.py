@@ -38,6 +38,15 @@ def lenient_int(text: Column | str) -> Column:
     return F.coalesce(prefix.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+# Separators at either end of a line; \z (not $) so a final "\r" stays a token.
+OUTER_SEPARATORS = r"^[ \t\n]+|[ \t\n]+\z"
+
+
 def tokens(value: Column | str) -> Column:
-    """Split a line on runs of space / tab / line feed, dropping empty tokens."""
-    return F.filter(F.split(_col(value), TOKEN_SPLIT), lambda t: t != F.lit(""))
+    """Split a line on runs of space / tab / line feed, with no empty tokens.
+
+    Outer separators are stripped first, so the split yields no empty tokens and no
+    higher-order function is needed (the expression stays in generated code).
+    """
+    stripped = F.regexp_replace(_col(value), OUTER_SEPARATORS, "")
+    return F.when(stripped == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(stripped, TOKEN_SPLIT))

@@ -142,11 +142,21 @@ def command_rounds(control: DataFrame, chunk_width: int = CHUNK_WIDTH) -> DataFr
     return r.withColumn("round_id", (F.col("_starts") - 1).cast("int")).drop("_starts")
 
 
+def _gated_rounds(control: DataFrame, wait_for_start: bool, chunk_width: int):
+    c = control.where(F.col("op").isNotNull())
+    gates = None
+    if wait_for_start:
+        c, gates = start_gate(c)
+    return command_rounds(c, chunk_width), gates
+
+
 def terminations(
     control: DataFrame,
     rounds: int = DEFAULT_ROUNDS,
     wait_for_start: bool = False,
     chunk_width: int = CHUNK_WIDTH,
+    rounds_df: DataFrame | None = None,
+    gates: DataFrame | None = None,
 ) -> DataFrame:
     """C5 (+C7, stalls): per run ``(run_id, stop_round, outcome)``.
 
@@ -155,11 +165,10 @@ def terminations(
     ``waiting`` (gate never opened), or ``running`` (the log does not stop the run).
     """
     rounds = int(rounds)
-    c = control.where(F.col("op").isNotNull())
-    runs = c.select("run_id").distinct()
-    if wait_for_start:
-        c, gates = start_gate(c)
-    cr = command_rounds(c, chunk_width)
+    runs = control.where(F.col("op").isNotNull()).select("run_id").distinct()
+    if rounds_df is None:
+        rounds_df, gates = _gated_rounds(control, wait_for_start, chunk_width)
+    cr = rounds_df
     per = cr.groupBy("run_id").agg(
         F.min(F.when(F.col("op") == TERMINATE, F.col("round_id"))).alias("term_round"),
         F.max(_marker()).alias("_m"),
@@ -197,6 +206,9 @@ def lr_schedule(
     lr: float = DEFAULT_LR,
     wait_for_start: bool = False,
     chunk_width: int = CHUNK_WIDTH,
+    rounds_df: DataFrame | None = None,
+    gates: DataFrame | None = None,
+    stops: DataFrame | None = None,
 ) -> DataFrame:
     """C4 + J3: ``(run_id, round_id, lr)`` for every round that the log lets run.
 
@@ -204,13 +216,14 @@ def lr_schedule(
     lookup), else ``lr``. Values are not validated: 0 or negative rates are kept.
     """
     rounds = int(rounds)
-    c = control.where(F.col("op").isNotNull())
-    gated = start_gate(c)[0] if wait_for_start else c
-    cr = command_rounds(gated, chunk_width)
+    if rounds_df is None:
+        rounds_df, gates = _gated_rounds(control, wait_for_start, chunk_width)
+    cr = rounds_df
     adj = cr.where((F.col("op") == ADJUST_LR) & F.col("effective") & (F.col("round_id") < rounds)).select(
         "run_id", "round_id", F.col("new_lr").cast("double").alias("new_lr")
     )
-    stops = terminations(c, rounds, wait_for_start, chunk_width)
+    if stops is None:
+        stops = terminations(control, rounds, wait_for_start, chunk_width, rounds_df, gates)
     grid = stops.select("run_id", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round_id"), "stop_round")
     grid = grid.where(F.col("round_id") < F.col("stop_round")).select(
         "run_id", "round_id", F.lit(None).cast("double").alias("new_lr"), F.lit(1).alias("_grid")
@@ -246,15 +259,14 @@ def progress(
     by a pause are not answered (the reference's console would hang there).
     """
     rounds = int(rounds)
-    c = control.where(F.col("op").isNotNull())
-    gated = start_gate(c)[0] if wait_for_start else c
-    cr = command_rounds(gated, chunk_width)
+    cr, gates = _gated_rounds(control, wait_for_start, chunk_width)
+    cr = cr.persist()
     q = cr.where((F.col("op") == QUERY_PROGRESS) & F.col("effective")).select("run_id", "seq", "round_id")
     reach = summary.select("run_id", "final_round")
     q = q.join(reach, "run_id").where(
         (F.col("round_id") < F.lit(rounds)) & (F.col("round_id") <= F.col("final_round"))
     )
-    sched = lr_schedule(control, rounds, lr, wait_for_start, chunk_width)
+    sched = lr_schedule(control, rounds, lr, wait_for_start, chunk_width, cr, gates)
     q = q.join(sched, ["run_id", "round_id"], "left")
     h = history.select(
         "run_id", F.col("round_id").alias("h_round"), "grad_norm", "alive_shards",
@@ -272,3 +284,22 @@ def progress(
         F.coalesce("lr", F.lit(float(lr))).alias("current_lr"),
         F.coalesce("loss_asof", F.lit(0.0)).alias("current_loss"),
     )
+
+
+def fold_control(
+    control: DataFrame,
+    rounds: int = DEFAULT_ROUNDS,
+    lr: float = DEFAULT_LR,
+    wait_for_start: bool = False,
+    chunk_width: int = CHUNK_WIDTH,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C2-C7 + J3 at once: ``(command_rounds, stops, lr_schedule)``.
+
+    The command fold is computed once and persisted (it is the size of the log); stops
+    and the schedule derive from it. Call ``.unpersist()`` on the first frame when done.
+    """
+    cr, gates = _gated_rounds(control, wait_for_start, chunk_width)
+    cr = cr.persist()
+    stops = terminations(control, rounds, wait_for_start, chunk_width, cr, gates).persist()
+    sched = lr_schedule(control, rounds, lr, wait_for_start, chunk_width, cr, gates, stops)
+    return cr, stops, sched

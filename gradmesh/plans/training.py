@@ -309,16 +309,18 @@ def plans_from_control(
 
     Collects ``rounds`` rates and one stop row per run: the training configuration, not data.
     """
-    from gradmesh.operators.control import lr_schedule, terminations
+    from gradmesh.operators.control import fold_control
 
     rounds = int(rounds)
-    stops = {
-        int(r["run_id"]): (int(r["stop_round"]), r["outcome"])
-        for r in terminations(control, rounds, wait_for_start).collect()
-    }
-    lrs: dict[int, list[float]] = {rid: [float(lr)] * rounds for rid in stops}
-    for r in lr_schedule(control, rounds, lr, wait_for_start).collect():
-        lrs[int(r["run_id"])][int(r["round_id"])] = float(r["lr"])
+    cr, stops_df, sched = fold_control(control, rounds, lr, wait_for_start)
+    try:
+        stops = {int(r["run_id"]): (int(r["stop_round"]), r["outcome"]) for r in stops_df.collect()}
+        lrs: dict[int, list[float]] = {rid: [float(lr)] * rounds for rid in stops}
+        for r in sched.collect():
+            lrs[int(r["run_id"])][int(r["round_id"])] = float(r["lr"])
+    finally:
+        stops_df.unpersist()
+        cr.unpersist()
     plans = []
     for rid in sorted(stops):
         stop, outcome = stops[rid]
@@ -339,6 +341,7 @@ def train(
     max_features: int = WEIGHT_SLOTS,
     materialize: str = "persist",
     engine: str = "auto",
+    partitions: int | None = None,
 ) -> TrainResult:
     """Train one run (or one per plan) for up to ``rounds`` synchronous rounds.
 
@@ -355,7 +358,7 @@ def train(
         plans = plans_from_control(control, rounds, lr, wait_for_start)
     if plans is None:
         plans = [RunPlan(0, [float(lr)] * rounds, rounds)]
-    prep = prepare(samples, rounds, failures, max_features, materialize)
+    prep = prepare(samples, rounds, failures, max_features, materialize, partitions)
     try:
         states = [_RunState(p, [0.0] * prep.k) for p in plans]
         history: list[tuple] = []
