@@ -260,7 +260,6 @@ def progress(
     """
     rounds = int(rounds)
     cr, gates = _gated_rounds(control, wait_for_start, chunk_width)
-    cr = cr.persist()
     q = cr.where((F.col("op") == QUERY_PROGRESS) & F.col("effective")).select("run_id", "seq", "round_id")
     reach = summary.select("run_id", "final_round")
     q = q.join(reach, "run_id").where(

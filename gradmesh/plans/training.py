@@ -44,6 +44,8 @@ NEVER = 2**31 - 1
 REBALANCE_ROWS = 50_000_000
 # Upper bound on R * k doubles shipped with one round's tasks; more runs go in several jobs.
 MAX_WEIGHT_CELLS = 2_000_000
+# Upper bound on the rows x runs score matrix held by a task at once (32 MB of doubles).
+SCORE_CELLS = 4_000_000
 
 HISTORY_SCHEMA = T.StructType(
     [
@@ -241,6 +243,7 @@ def round_sums_numpy(
 def _numpy_job(prep, wmat, round_id, np, pa):
     k = prep.k
     n_runs = wmat.shape[0]
+    step = max(64, SCORE_CELLS // n_runs)
     xcols = _xcols(k)
     r = int(round_id)
     schema = T.StructType(
@@ -259,10 +262,13 @@ def _numpy_job(prep, wmat, round_id, np, pa):
             inv = b.column(0).to_numpy(zero_copy_only=False)[live]
             y = b.column(2).to_numpy(zero_copy_only=False)[live]
             x = np.column_stack([b.column(3 + j).to_numpy(zero_copy_only=False)[live] for j in range(k)])
-            with np.errstate(over="ignore"):
-                p = 1.0 / (1.0 + np.exp(-(x @ wmat.T)))
-            e = (p - y[:, None]) * inv[:, None]
-            acc += e.T @ x
+            # Row slices keep the (rows x runs) score matrix near SCORE_CELLS doubles.
+            for lo in range(0, x.shape[0], step):
+                xs = x[lo:lo + step]
+                with np.errstate(over="ignore"):
+                    p = 1.0 / (1.0 + np.exp(-(xs @ wmat.T)))
+                e = (p - y[lo:lo + step, None]) * inv[lo:lo + step, None]
+                acc += e.T @ xs
             rows += int(live.sum())
         if rows:
             arrays = [pa.array(np.arange(n_runs, dtype=np.int32)), pa.array(np.full(n_runs, rows, dtype=np.int64))]
