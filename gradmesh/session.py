@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,14 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a local one only when none is set.
+    """Return the session's checkpoint folder; create a local one only in local mode.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    The local fallback exists for tests and single-machine runs.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder; without it this raises,
+    since executors cannot read one another's machine-local files. In ``local[*]`` mode
+    (tests, single-machine runs) driver and executors are one process.
     """
     found = checkpoint_dir(spark)
     if found:
         return found
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="gradmesh-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
