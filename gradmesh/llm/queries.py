@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from gradmesh.llm import sql
+from gradmesh.llm.anchors import pii_digest
 from gradmesh.llm.common import table
 from gradmesh.llm.quality_rules import rules_report
+from gradmesh.llm.token_secrets import secret_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +31,13 @@ def query(name: str, oracle: str | None = None):
 @query("op9_rule_cascade", sql.RULES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_anchor_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_efficiency")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
