@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from gradmesh.llm import sql
+from gradmesh.llm import ordinal_quality, sql
 from gradmesh.llm.anchors import pii_digest
 from gradmesh.llm.common import table
 from gradmesh.llm.quality_rules import rules_report
 from gradmesh.llm.token_secrets import secret_digest
+from gradmesh.llm.url_templates import UrlRule, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,28 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+#: Fixed rules of the URL query.
+URL_RULES = (
+    UrlRule("allow", "com", "/"),
+    UrlRule("block", "example.com", "/en/"),
+    UrlRule("allow", "www.example.com", "/en/"),
+    UrlRule("block", "net", "/es/"),
+    UrlRule("block", "net", "/fr/"),
+)
+
+
+@query("op1_ordinal_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal_quality.train(docs, ordinal_quality.graded(table(spark, sf_dir, "labels")))
+    return ordinal_quality.score_documents(docs, model)
+
+
+@query("op2_url_templates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op9_rule_cascade", sql.RULES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_report(table(spark, sf_dir, "documents"))
