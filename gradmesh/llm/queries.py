@@ -11,6 +11,8 @@ import public_tokenizers
 from gradmesh.llm import ordinal_quality, sql
 from gradmesh.llm.anchors import pii_digest
 from gradmesh.llm.common import table
+from gradmesh.llm.line_windows import dedup_lines
+from gradmesh.llm.packing import pack_documents
 from gradmesh.llm.quality_rules import rules_report
 from gradmesh.llm.token_secrets import secret_digest
 from gradmesh.llm.url_templates import UrlRule, url_filter
@@ -29,6 +31,8 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+#: The vocabulary as ranks; its place is a parameter of the operators.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Fixed rules of the URL query.
 URL_RULES = (
     UrlRule("allow", "com", "/"),
@@ -51,11 +55,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op6_sum_of_squares")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op9_rule_cascade", sql.RULES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_line_windows", sql.LINES)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"), length_col="n_chars").select("doc_id", "n_chars", "text")
+
+
 @query("op4_anchor_pii")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
@@ -63,4 +77,4 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_token_efficiency")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secret_digest(table(spark, sf_dir, "documents"), RANKS)

@@ -25,3 +25,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR upper_chars > lower_chars OR n_dup_lines * 10 > n_lines * 3) AS kept
 FROM m
 """
+
+LINES = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM l),
+w AS (
+  SELECT doc_id, pos AS a, lead(pos, 2) OVER d AS b, concat_ws(chr(10), x, lead(x) OVER d, lead(x, 2) OVER d) AS k
+  FROM t WHERE x <> '' AND doc_id IS NOT NULL WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (SELECT doc_id, a, b FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, a) AS n FROM w WHERE b IS NOT NULL) WHERE n > 1),
+gone AS (SELECT DISTINCT l.doc_id, l.pos FROM l JOIN later ON l.doc_id = later.doc_id AND l.pos BETWEEN later.a AND later.b),
+kept AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.pos) AS text
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos WHERE gone.pos IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END) AS BIGINT) AS n_chars,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
