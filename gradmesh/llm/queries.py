@@ -14,6 +14,7 @@ from gradmesh.llm.common import table
 from gradmesh.llm.line_windows import dedup_lines
 from gradmesh.llm.packing import pack_documents
 from gradmesh.llm.quality_rules import rules_report
+from gradmesh.llm.template_leaks import leaks
 from gradmesh.llm.token_secrets import secret_digest
 from gradmesh.llm.url_templates import UrlRule, url_filter
 
@@ -55,6 +56,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op5_template_leaks", sql.LEAKS)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_sum_of_squares")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.path("byte_bpe_50k.json"))

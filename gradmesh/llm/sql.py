@@ -1,5 +1,7 @@
 """DuckDB SQL of the corpus queries that SQL can express."""
 
+from gradmesh.llm.template_leaks import PUNCTUATION, UNITS
+
 RULES = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -43,3 +45,46 @@ SELECT d.doc_id, CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(ke
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
 FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+_UNIT_LIST = ", ".join(f"'{u}'" for u in UNITS)
+_PUNCTUATION = PUNCTUATION.replace("'", "''")
+
+
+def _template_windows(id_col: str, source: str) -> str:
+    """Windows of five template words: id, place of the first, template, values of its slots."""
+    return rf"""
+  SELECT id, row_number() OVER d - 1 AS pos, count(*) OVER five AS n,
+         string_agg(slot, ' ') OVER five AS h,
+         list(CASE WHEN slot IN ('<n>', '<u>', '<p>') THEN lower(x) END) OVER five AS vals,
+         list(slot) OVER five AS slots
+  FROM (
+    SELECT id, i, x, CASE
+      WHEN regexp_matches(x, '[0-9]') THEN '<n>'
+      WHEN lower(x) IN ({_UNIT_LIST}) AND regexp_matches(before, '[0-9]') THEN '<u>'
+      WHEN regexp_matches(x, '^\p{{Lu}}\p{{Ll}}') AND regexp_matches(before, '[\p{{Ll}},;]$') THEN '<p>'
+      ELSE lower(x) END AS slot
+    FROM (
+      SELECT id, i, trim(w, '{_PUNCTUATION}') AS x, lag(w) OVER (PARTITION BY id ORDER BY i) AS before
+      FROM (SELECT {id_col} AS id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+            FROM (SELECT {id_col}, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws FROM {source})))
+    WHERE x <> '')
+  WINDOW d AS (PARTITION BY id ORDER BY i), five AS (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)"""
+
+
+LEAKS = rf"""
+WITH b AS (
+  SELECT id, pos, h, list_filter(vals, lambda v: v IS NOT NULL) AS vals
+  FROM ({_template_windows("item_id", "benchmark")})
+  WHERE n = 5 AND len(list_distinct(list_filter(slots, lambda v: v NOT IN ('<n>', '<u>', '<p>')))) >= 2),
+d AS (SELECT id, pos, h, list_filter(vals, lambda v: v IS NOT NULL) AS vals FROM ({_template_windows("doc_id", "documents")}) WHERE n = 5),
+hit AS (SELECT d.id AS doc_id, b.id AS item_id, b.pos AS pos, d.pos - b.pos AS diagonal, b.vals AS bv, d.vals AS dv FROM d JOIN b ON d.h = b.h),
+pair AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(bv) AS x, unnest(dv) AS y FROM hit),
+uneven AS (SELECT doc_id, item_id, diagonal, count(*) > count(DISTINCT x) AS broken, bool_or(x <> y) AS changed FROM pair GROUP BY ALL),
+good AS (
+  SELECT hit.doc_id, hit.item_id, hit.pos, coalesce(changed, false) AS changed
+  FROM hit LEFT JOIN uneven u ON hit.doc_id = u.doc_id AND hit.item_id = u.item_id AND hit.diagonal = u.diagonal
+  WHERE NOT coalesce(broken, false))
+SELECT doc_id, item_id, count(DISTINCT pos) AS n_found, any_value(n_windows) AS n_windows, bool_and(changed) AS reparameterised
+FROM good JOIN (SELECT id, count(*) AS n_windows FROM b GROUP BY id) t ON t.id = item_id
+GROUP BY doc_id, item_id HAVING count(DISTINCT pos) >= 0.5 * any_value(n_windows)
+"""
