@@ -12,6 +12,7 @@ from gradmesh.llm import ordinal_quality, sql
 from gradmesh.llm.anchors import pii_digest
 from gradmesh.llm.common import table
 from gradmesh.llm.line_windows import dedup_lines
+from gradmesh.llm.log_bilinear import lm_scores
 from gradmesh.llm.order_minhash import near_duplicates
 from gradmesh.llm.packing import pack_documents
 from gradmesh.llm.quality_rules import rules_report
@@ -72,6 +73,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_log_bilinear")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op9_rule_cascade", sql.RULES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_report(table(spark, sf_dir, "documents"))
