@@ -36,7 +36,7 @@ BITS = 18
 MAX_ROWS = 8192
 MIN_DF = 3  # features of fewer sampled documents carry no weight
 ITERATIONS = 150
-L1 = 2e-4
+L1_SCALE = 0.045  # the shrinkage is this over the square root of the sampled rows
 GRADES = 3  # toxic, poor, good
 KEEP_GRADE = 2
 MIN_TAIL = 0.5
@@ -105,7 +105,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, iterations: int = ITERATIONS, l1: float = L1) -> OrdinalModel:
+def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, iterations: int = ITERATIONS, l1_scale: float = L1_SCALE) -> OrdinalModel:
     """Proximal Adagrad on the mean log likelihood of the cumulative-link model."""
     w = np.zeros(1 << BITS)
     if not len(rows):
@@ -116,6 +116,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, iter
     flat = flat[keep[flat]]
     used, flat = np.unique(flat, return_inverse=True)
     v, n = np.zeros(len(used)), len(rows)
+    l1 = l1_scale / np.sqrt(n)
     below = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / n, 0.01, 0.99)
     cut = np.log(below / (1 - below))
     cut = np.maximum.accumulate(cut + 1e-3 * np.arange(len(cut)))

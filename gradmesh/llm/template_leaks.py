@@ -17,7 +17,7 @@ broadcast (``BROADCAST_WINDOWS``, counted); beyond that both sides are shuffled
 way the result is the same. Hits are aggregated per document and item.
 
 Defined cases: null texts are empty; an item with fewer than ``SIZE`` words, or without a
-telling window, is never found; rows without an id are kept and not reported; repeated rows
+telling window or an id, is never found; rows without an id are kept and not reported; repeated rows
 of one id are judged together; equal items are each reported; empty tables give an empty result.
 """
 

@@ -93,7 +93,7 @@ def _level(paths: DataFrame, depth: int) -> DataFrame:
     labelled = F.col("good") + F.col("bad")
     share = F.try_divide(F.col("all_bad"), F.col("all_good") + F.col("all_bad"))
     # where all labels of the siblings agree the spread is 0 and nothing differs
-    z = F.coalesce(F.try_divide(F.try_divide("bad", labelled) - share, F.sqrt(share * (1 - share) / labelled)), F.lit(0.0))
+    z = F.coalesce(F.try_divide(F.try_divide("bad", labelled) - share, F.sqrt(F.try_divide(share * (1 - share), labelled))), F.lit(0.0))
     merged = F.when(z > Z, "{bad}").when(z < -Z, "{good}").otherwise("{}")
     variable = (F.col("children") >= MIN_CHILDREN) & (F.col("total") <= MAX_REPEAT * F.col("children"))
     fixed = F.when(F.col("branch") == "", "").when(variable, "*").when(labelled >= MIN_LABELLED, merged).otherwise(F.col("branch"))
@@ -110,7 +110,7 @@ def template_verdicts(urls: DataFrame, max_depth: int = MAX_DEPTH, min_purity: f
     """
     paths = urls.groupBy("host", "path").agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad"))
     paths = written(paths.withColumn("segments", F.array_remove(F.split("path", "/"), "")).withColumn("template", F.lit("")), "url-paths")
-    seen = paths.agg(F.max(F.size("segments")), F.sum("good") / F.sum(F.col("good") + F.col("bad"))).first()
+    seen = paths.agg(F.max(F.size("segments")), F.try_divide(F.sum("good"), F.sum(F.col("good") + F.col("bad")))).first()
     prior = 1.0 if seen[1] is None else seen[1]
     for depth in range(min(max_depth, seen[0] or 0)):
         paths = written(_level(paths, depth), f"url-level-{depth}")
