@@ -185,7 +185,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, max_rounds: int
     shared = all_places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     places = written(all_places.join(shared, "bucket"), "omh-shared")
     score = places.groupBy("rep").agg(F.sum("size").alias("score"))
-    found_texts = written(texts(docs, id_col, text_col).join(score.select(F.col("rep").alias("doc_id")), "doc_id"), "omh-texts")
+    # the ids grow with the texts: the same merge join at every size, never a broadcast
+    needed = score.select(F.col("rep").alias("doc_id")).hint("merge")
+    found_texts = written(texts(docs, id_col, text_col).join(needed, "doc_id"), "omh-texts")
     places = places.join(score, "rep").select("bucket", "rep", "n", "score", F.col("rep").alias("component"), F.lit(True).alias("open"), F.lit(False).alias("was_hub"))
     places = written(places, "omh-places")
 
