@@ -1,12 +1,13 @@
 """Column expressions of the logistic model: score, sigmoid, residual, gradient, step, norm.
 
-Array forms take ``x ARRAY<DOUBLE>`` and a weights array column; they are used by the
-per-row operators. The training loop uses the flat forms (one DOUBLE column per slot),
-which stay inside whole-stage codegen with no higher-order functions.
+They take ``x ARRAY<DOUBLE>`` and a weights array column and are used by the per-row
+operators. The training loop works on one DOUBLE column per slot instead, which stays inside
+whole-stage codegen with no higher-order functions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -68,19 +69,6 @@ def gradient_rms(g: Column | str, norm_slots: int = WEIGHT_SLOTS) -> Column:
     return F.sqrt(sq / F.lit(float(norm_slots)))
 
 
-# ---- flat forms (training hot path) ----------------------------------------------
-
-def flat_score(xs: Sequence[Column], ws: Sequence[Column]) -> Column:
-    """``sum_j w_j * x_j`` over flat slot columns."""
-    terms = [w * x for w, x in zip(ws, xs)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
-
-
 def rms_of(values: Sequence[float], norm_slots: int = WEIGHT_SLOTS) -> float:
     """Driver-side A5 over a collected k-vector (O(k) work)."""
-    import math
-
     return math.sqrt(sum(v * v for v in values) / float(norm_slots))

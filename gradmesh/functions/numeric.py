@@ -27,9 +27,16 @@ def _col(c: Column | str) -> Column:
 
 
 def lenient_double(token: Column | str) -> Column:
-    """``strtof(token, NULL)``: the longest numeric prefix as DOUBLE, else 0.0."""
-    prefix = F.regexp_extract(_col(token), FLOAT_PREFIX, 1)
-    return F.coalesce(prefix.try_cast("double"), F.lit(0.0))
+    """``strtof(token, NULL)``: the longest numeric prefix as DOUBLE, else 0.0.
+
+    Tokens of digits, signs and points alone are cast directly; only what that can't read
+    goes through the regular expression. A signed ``nan`` is NaN like an unsigned one.
+    """
+    token = _col(token)
+    plain = F.when(F.translate(token, "0123456789.+-", "") == "", token.try_cast("double"))
+    prefix = F.regexp_extract(token, FLOAT_PREFIX, 1)
+    read = F.when(F.lower(prefix).endswith("nan"), F.lit(float("nan"))).otherwise(prefix.try_cast("double"))
+    return F.coalesce(plain, read, F.lit(0.0))
 
 
 def lenient_int(text: Column | str) -> Column:

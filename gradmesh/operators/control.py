@@ -6,82 +6,90 @@ run; ``seq`` is the order commands were queued in. At each round boundary the tr
 takes one command; a PAUSE takes every command up to its RESUME (or TERMINATE) at the
 same boundary, swallowing the rest.
 
-All steps are grouped aggregates or segmented scans (``gradmesh.operators.scan``), so no
-run, however long, is processed by one task. Only per-run facts (stop round, outcome)
-and the per-round schedule (``rounds`` rows per run) are small.
+All steps are grouped aggregates or segmented scans over chunks cut by row rank
+(``gradmesh.operators.scan``), so no run, however long, is processed by one task, and no join
+is made on a run's rows. A log is chunked (written) once; everything derived from it keeps the
+chunks. Only per-run facts (stop round, outcome) and the per-round schedule (``rounds`` rows
+per run) are small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradmesh.functions.model import DEFAULT_LR, DEFAULT_ROUNDS
 from gradmesh.functions.numeric import lenient_double, lenient_int
-from gradmesh.operators.broadcast import bounded_broadcast
-from gradmesh.operators.scan import CHUNK_WIDTH, Running, running
+from gradmesh.operators.scan import CHUNK, Running, across, before, chunked, running, within
 
 # Menu codes of the operator console and the command names.
 QUERY_PROGRESS, ADJUST_LR, PAUSE, RESUME, TERMINATE = (
     "QUERY_PROGRESS", "ADJUST_LR", "PAUSE", "RESUME", "TERMINATE",
 )
 MENU = {1: QUERY_PROGRESS, 2: ADJUST_LR, 3: PAUSE, 4: RESUME, 5: TERMINATE}
+KEY, ORDER = "run_id", "seq"
 
 
-def _per_run(df: DataFrame) -> DataFrame:
-    side, _ = bounded_broadcast(df)
-    return side
+def _without_chunk(df: DataFrame, given: DataFrame) -> DataFrame:
+    """Chunks are kept only where the caller's frame had them."""
+    return df if CHUNK in given.columns else df.drop(CHUNK)
 
 
 # ---- C1 ---------------------------------------------------------------------------------
 
-def decode_commands(lines: DataFrame, chunk_width: int = CHUNK_WIDTH) -> DataFrame:
+def _roles(lines: DataFrame) -> DataFrame:
+    """Lines with ``code``, ``is_value`` and ``following`` (the next line's text).
+
+    A line's place within its run of lines "2" tells its role: with ``at`` counting lines and
+    ``other`` the place of the last line that isn't 2, an odd distance makes it a value.
+    Places and the next line cross chunk borders by one summary row per chunk.
+    """
+    rows = chunked(lines.select(KEY, ORDER, "value"), KEY, ORDER).withColumn("code", lenient_int("value"))
+    w = within(KEY, ORDER)
+    rows = rows.withColumn("at", F.row_number().over(w))
+    not2 = F.when(F.col("code") != 2, F.col("at"))
+    local = rows.withColumns({"other": F.max(not2).over(before(w)), "next": F.lead("value").over(w)})
+    sums = rows.groupBy(KEY, CHUNK).agg(F.count(F.lit(1)).alias("n"), F.max(not2).alias("last_other"), F.min_by("value", "at").alias("first"))
+    start = F.coalesce(F.sum("n").over(before(across(KEY))), F.lit(0))
+    sums = sums.withColumns({"start": start, "next_first": F.lead("first").over(across(KEY))})
+    sums = sums.withColumn("carried", F.max(F.col("start") + F.col("last_other")).over(before(across(KEY))))
+    both = local.join(sums.select(KEY, CHUNK, "n", "start", "carried", "next_first"), [KEY, CHUNK])
+    other = F.coalesce(F.col("start") + F.col("other"), F.col("carried"), F.lit(0))
+    return both.select(
+        KEY, ORDER, CHUNK, "code", ((F.col("start") + F.col("at") - other - 1) % 2 == 1).alias("is_value"),
+        F.when(F.col("at") == F.col("n"), F.col("next_first")).otherwise(F.col("next")).alias("following"),
+    )
+
+
+def decode_commands(lines: DataFrame) -> DataFrame:
     """Raw console lines ``(run_id, seq, value)`` -> ``(run_id, seq, op, new_lr)``.
 
     A line is read as ``atoi``; code 2 takes the next line as its rate (``strtof``).
     A negative code ends the log, code 5 ends it after the TERMINATE; codes 0 and 6+
     are invalid (``op`` NULL). Line roles follow from runs of consecutive "2" lines:
     inside such a run lines alternate command / value, and the line after an odd-length
-    run is a value. ``L`` = lines since the last non-2 line gives the parity.
+    run is a value. A trailing "2" with no value line yet is not a command yet.
     """
-    code = lenient_int("value")
-    base = lines.select("run_id", "seq", "value", code.alias("code"))
-    is2 = F.col("code") == 2
-    scanned = running(
-        base, "run_id", "seq",
-        [
-            Running("idx", "sum", F.lit(1).cast("bigint"), inclusive=True),
-            Running("prev_non2_seq", "max", F.when(~is2, F.col("seq")), inclusive=False),
-        ],
-        chunk_width,
-    ).withColumn("idx", F.col("idx") - 1)
-    # idx of the last non-2 line before each line: equi-join on the unique (run_id, seq).
-    ref = scanned.select("run_id", F.col("seq").alias("prev_non2_seq"), F.col("idx").alias("prev_idx"))
-    j = scanned.join(ref, ["run_id", "prev_non2_seq"], "left")
-    span = F.col("idx") - F.coalesce(F.col("prev_idx"), F.lit(-1)) - 1
-    roles = j.withColumn("is_value", (span % 2) == 1)
-    cmds = roles.where(~F.col("is_value"))
-    values = roles.where(F.col("is_value")).select(
-        "run_id", (F.col("idx") - 1).alias("idx"), lenient_double("value").alias("new_lr")
-    )
-    cmds = cmds.join(values, ["run_id", "idx"], "left")
-    ends = cmds.where((F.col("code") < 0) | (F.col("code") == 5)).groupBy("run_id").agg(
-        F.min_by(F.struct("seq", "code"), "seq").alias("_end")
-    )
-    cmds = cmds.join(ends, "run_id", "left")
-    end_seq, end_code = F.col("_end.seq"), F.col("_end.code")
-    keep = end_seq.isNull() | (F.col("seq") < end_seq) | ((F.col("seq") == end_seq) & (end_code == 5))
+    cmds = _roles(lines).where(~F.col("is_value"))
+    ends = ((F.col("code") < 0) | (F.col("code") == 5)).cast("int")
+    cmds = running(cmds, KEY, ORDER, [Running("ended", "sum", ends, inclusive=False)])
+    pending = (F.col("code") == 2) & F.col("following").isNull()
     op = F.create_map(*[x for k, v in MENU.items() for x in (F.lit(k).cast("bigint"), F.lit(v))])[F.col("code")]
-    out = cmds.where(keep).select(
-        "run_id", "seq", op.alias("op"),
-        F.when(F.col("code") == 2, F.col("new_lr")).alias("new_lr"),
+    out = cmds.where((F.col("ended") == 0) & (F.col("code") >= 0) & ~pending).select(
+        KEY, ORDER, op.alias("op"), F.when(F.col("code") == 2, lenient_double("following")).alias("new_lr"), CHUNK
     )
-    # A trailing "2" with no value line yet is not a command yet.
-    pending = F.coalesce((F.col("op") == ADJUST_LR) & F.col("new_lr").isNull(), F.lit(False))
-    return out.where(~pending)
+    return _without_chunk(out, lines)
 
 
-# ---- C7, C5 ------------------------------------------------------------------------------
+# ---- C7 ----------------------------------------------------------------------------------
+
+def gates(control: DataFrame) -> DataFrame:
+    """``run_id, gate_op``: the first RESUME or TERMINATE of each run, NULL if there is none."""
+    opening = F.when(F.col("op").isin(RESUME, TERMINATE), F.col(ORDER))
+    return control.where(F.col("op").isNotNull()).groupBy(KEY).agg(F.min_by("op", opening).alias("gate_op"))
+
 
 def start_gate(control: DataFrame) -> tuple[DataFrame, DataFrame]:
     """With a start gate, commands up to the first RESUME or TERMINATE are used up.
@@ -89,74 +97,80 @@ def start_gate(control: DataFrame) -> tuple[DataFrame, DataFrame]:
     Returns ``(remaining commands, gates(run_id, gate_op))``; ``gate_op`` is RESUME,
     TERMINATE, or NULL for a run still waiting. Runs that never opened keep no commands.
     """
-    c = control.where(F.col("op").isNotNull())
-    opening = c.where(F.col("op").isin(RESUME, TERMINATE)).groupBy("run_id").agg(
-        F.min_by(F.struct("seq", "op"), "seq").alias("_g")
-    )
-    runs = c.select("run_id").distinct()
-    gates = runs.join(opening, "run_id", "left").select(
-        "run_id", F.col("_g.seq").alias("gate_seq"), F.col("_g.op").alias("gate_op")
-    )
-    rest = c.join(_per_run(gates.where(F.col("gate_op") == RESUME)), "run_id").where(
-        F.col("seq") > F.col("gate_seq")
-    ).select("run_id", "seq", "op", "new_lr")
-    return rest, gates.select("run_id", "gate_op")
+    c = chunked(control.where(F.col("op").isNotNull()), KEY, ORDER)
+    # the smallest opening command so far, its low bit telling TERMINATE
+    opening = F.when(F.col("op") == RESUME, F.col(ORDER) * 2).when(F.col("op") == TERMINATE, F.col(ORDER) * 2 + 1)
+    rest = running(c, KEY, ORDER, [Running("_gate", "min", opening, inclusive=False)]).where(~odd(F.col("_gate"))).drop("_gate")
+    return _without_chunk(rest, control), gates(c)
 
 
-def cut_at_terminate(control: DataFrame) -> DataFrame:
-    """C5 (part): drop every command after a run's first TERMINATE."""
-    first = control.where(F.col("op") == TERMINATE).groupBy("run_id").agg(F.min("seq").alias("_t"))
-    j = control.join(_per_run(first), "run_id", "left")
-    return j.where(F.col("_t").isNull() | (F.col("seq") <= F.col("_t"))).drop("_t")
+# ---- C2, C3, C5 (cut) ----------------------------------------------------------------------
 
+def odd(c: Column) -> Column:
+    return F.pmod(c, F.lit(2)) == 1
 
-# ---- C2, C3 -------------------------------------------------------------------------------
 
-def _marker():
+def _marker() -> Column:
     # Encodes the last PAUSE / RESUME: the larger seq wins, the low bit says PAUSE.
     op = F.col("op")
-    return F.when(op == PAUSE, F.col("seq") * 2 + 1).when(op == RESUME, F.col("seq") * 2)
+    return F.when(op == PAUSE, F.col(ORDER) * 2 + 1).when(op == RESUME, F.col(ORDER) * 2)
+
 
+def command_rounds(control: DataFrame) -> DataFrame:
+    """C2 + C3: every command up to a run's first TERMINATE, with
 
-def effective_commands(control: DataFrame, chunk_width: int = CHUNK_WIDTH) -> DataFrame:
-    """Flag ``paused_before`` — a PAUSE is in force when the command arrives.
+    ``paused_before``: a PAUSE is in force when it arrives. Such commands are swallowed,
+    except RESUME (ends the pause) and TERMINATE (honoured). ``effective``: it acts (RESUME
+    outside a pause is a no-op but still takes its boundary). ``round_id``: the boundary at
+    which it is taken, one per boundary; those taken inside a pause share the pause's.
 
-    Such commands are swallowed, except RESUME (ends the pause) and TERMINATE (honoured).
-    Adds ``effective``: the command acts (not swallowed; RESUME outside a pause is a no-op
-    but still takes its boundary).
+    One scan: a chunk's summary counts its commands that take a boundary in either case,
+    paused or not when it begins, so that the carry over chunks settles both.
     """
-    c = cut_at_terminate(control.where(F.col("op").isNotNull()))
-    s = running(c, "run_id", "seq", [Running("_last_marker", "max", _marker(), inclusive=False)], chunk_width)
-    paused = F.coalesce((F.col("_last_marker") % 2) == 1, F.lit(False))
-    out = s.withColumn("paused_before", paused).drop("_last_marker")
-    eff = ~F.col("paused_before") | F.col("op").isin(RESUME, TERMINATE)
-    return out.withColumn("effective", eff)
-
-
-def command_rounds(control: DataFrame, chunk_width: int = CHUNK_WIDTH) -> DataFrame:
-    """``round_id`` = the boundary at which each command is taken (one per boundary;
-    commands taken inside a pause share the pause's boundary)."""
-    e = effective_commands(control, chunk_width)
-    starts = (~F.col("paused_before")).cast("bigint")
-    r = running(e, "run_id", "seq", [Running("_starts", "sum", starts, inclusive=True)], chunk_width)
-    return r.withColumn("round_id", (F.col("_starts") - 1).cast("int")).drop("_starts")
-
-
-def _gated_rounds(control: DataFrame, wait_for_start: bool, chunk_width: int):
-    c = control.where(F.col("op").isNotNull())
-    gates = None
+    c = chunked(control.where(F.col("op").isNotNull()).select(KEY, ORDER, "op", "new_lr", *([CHUNK] if CHUNK in control.columns else [])), KEY, ORDER)
+    w = within(KEY, ORDER)
+    terminate = (F.col("op") == TERMINATE).cast("int")
+    local = c.withColumns({"mark": F.max(_marker()).over(before(w)), "stops": F.coalesce(F.sum(terminate).over(before(w)), F.lit(0))})
+    live = F.col("stops") == 0
+    sums = local.groupBy(KEY, CHUNK).agg(
+        F.max(_marker()).alias("last_mark"), F.sum(terminate).alias("all_stops"),
+        F.count_if(live & F.col("mark").isNull()).alias("open"), F.count_if(live & ~odd(F.col("mark"))).alias("known"),
+    )
+    over = before(across(KEY))
+    sums = sums.withColumns({"mark_in": F.max("last_mark").over(over), "stops_in": F.coalesce(F.sum("all_stops").over(over), F.lit(0))})
+    paused_in = F.coalesce(odd(F.col("mark_in")), F.lit(False))
+    sums = sums.withColumn("paused_in", paused_in).withColumn("starts", F.col("known") + F.when(F.col("paused_in"), 0).otherwise(F.col("open")))
+    sums = sums.withColumn("starts_in", F.coalesce(F.sum("starts").over(over), F.lit(0)))
+    both = local.join(sums.select(KEY, CHUNK, "paused_in", "stops_in", "starts_in"), [KEY, CHUNK])
+    both = both.where(live & (F.col("stops_in") == 0)).withColumn("paused_before", F.coalesce(odd(F.col("mark")), F.col("paused_in")))
+    taken = F.sum((~F.col("paused_before")).cast("int")).over(before(w, inclusive=True))
+    out = both.select(
+        KEY, ORDER, "op", "new_lr", "paused_before", (~F.col("paused_before") | F.col("op").isin(RESUME, TERMINATE)).alias("effective"),
+        (F.col("starts_in") + taken - 1).cast("int").alias("round_id"), CHUNK,
+    )
+    return _without_chunk(out, control)
+
+
+def effective_commands(control: DataFrame) -> DataFrame:
+    """C2 alone: ``command_rounds`` without the round."""
+    return command_rounds(control).drop("round_id")
+
+
+def _gated_rounds(control: DataFrame, wait_for_start: bool) -> tuple[DataFrame, DataFrame | None]:
+    c = chunked(control.where(F.col("op").isNotNull()), KEY, ORDER)
+    opened = None
     if wait_for_start:
-        c, gates = start_gate(c)
-    return command_rounds(c, chunk_width), gates
+        c, opened = start_gate(c)
+    return command_rounds(c), opened
 
 
+# ---- C5 ------------------------------------------------------------------------------------
+
 def terminations(
     control: DataFrame,
     rounds: int = DEFAULT_ROUNDS,
     wait_for_start: bool = False,
-    chunk_width: int = CHUNK_WIDTH,
     rounds_df: DataFrame | None = None,
-    gates: DataFrame | None = None,
 ) -> DataFrame:
     """C5 (+C7, stalls): per run ``(run_id, stop_round, outcome)``.
 
@@ -165,36 +179,29 @@ def terminations(
     ``waiting`` (gate never opened), or ``running`` (the log does not stop the run).
     """
     rounds = int(rounds)
-    runs = control.where(F.col("op").isNotNull()).select("run_id").distinct()
     if rounds_df is None:
-        rounds_df, gates = _gated_rounds(control, wait_for_start, chunk_width)
-    cr = rounds_df
-    per = cr.groupBy("run_id").agg(
+        control = chunked(control, KEY, ORDER)
+        rounds_df, _ = _gated_rounds(control, wait_for_start)
+    per = rounds_df.groupBy(KEY).agg(
         F.min(F.when(F.col("op") == TERMINATE, F.col("round_id"))).alias("term_round"),
         F.max(_marker()).alias("_m"),
         F.max("round_id").alias("last_round"),
     )
-    stalled = (F.col("_m") % 2) == 1
-    stop = (
-        F.when(F.col("term_round").isNotNull(), F.col("term_round"))
-        .when(stalled, F.col("last_round"))
-    )
-    outcome = F.when(F.col("term_round").isNotNull(), F.lit("terminated")).when(stalled, F.lit("stalled"))
-    res = runs.join(per, "run_id", "left").select("run_id", stop.alias("stop_round"), outcome.alias("outcome"))
+    stalled = odd(F.col("_m"))
+    stop = F.coalesce("term_round", F.when(stalled, F.col("last_round")))
+    outcome = F.when(F.col("term_round").isNotNull(), "terminated").when(stalled, "stalled")
+    res = gates(control).join(per, KEY, "left").select(KEY, "gate_op", stop.alias("stop_round"), outcome.alias("outcome"))
     if wait_for_start:
-        res = res.join(gates, "run_id", "left")
         res = res.select(
-            "run_id",
+            KEY,
             F.when(F.col("gate_op") == RESUME, F.col("stop_round")).otherwise(F.lit(0)).alias("stop_round"),
-            F.when(F.col("gate_op") == TERMINATE, F.lit("terminated"))
-            .when(F.col("gate_op").isNull(), F.lit("waiting"))
-            .otherwise(F.col("outcome")).alias("outcome"),
+            F.when(F.col("gate_op") == TERMINATE, "terminated").when(F.col("gate_op").isNull(), "waiting").otherwise(F.col("outcome")).alias("outcome"),
         )
     late = F.col("stop_round").isNull() | (F.col("stop_round") >= rounds)
     return res.select(
-        "run_id",
+        KEY,
         F.when(late, F.lit(rounds)).otherwise(F.col("stop_round")).cast("int").alias("stop_round"),
-        F.when(late, F.lit("running")).otherwise(F.col("outcome")).alias("outcome"),
+        F.when(late, "running").otherwise(F.col("outcome")).alias("outcome"),
     )
 
 
@@ -205,9 +212,7 @@ def lr_schedule(
     rounds: int = DEFAULT_ROUNDS,
     lr: float = DEFAULT_LR,
     wait_for_start: bool = False,
-    chunk_width: int = CHUNK_WIDTH,
     rounds_df: DataFrame | None = None,
-    gates: DataFrame | None = None,
     stops: DataFrame | None = None,
 ) -> DataFrame:
     """C4 + J3: ``(run_id, round_id, lr)`` for every round that the log lets run.
@@ -217,23 +222,24 @@ def lr_schedule(
     """
     rounds = int(rounds)
     if rounds_df is None:
-        rounds_df, gates = _gated_rounds(control, wait_for_start, chunk_width)
-    cr = rounds_df
-    adj = cr.where((F.col("op") == ADJUST_LR) & F.col("effective") & (F.col("round_id") < rounds)).select(
-        "run_id", "round_id", F.col("new_lr").cast("double").alias("new_lr")
+        control = chunked(control, KEY, ORDER)
+        rounds_df, _ = _gated_rounds(control, wait_for_start)
+    adj = rounds_df.where((F.col("op") == ADJUST_LR) & F.col("effective") & (F.col("round_id") < rounds)).select(
+        KEY, "round_id", F.col("new_lr").cast("double").alias("new_lr")
     )
     if stops is None:
-        stops = terminations(control, rounds, wait_for_start, chunk_width, rounds_df, gates)
-    grid = stops.select("run_id", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round_id"), "stop_round")
+        stops = terminations(control, rounds, wait_for_start, rounds_df)
+    grid = stops.select(KEY, F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round_id"), "stop_round")
     grid = grid.where(F.col("round_id") < F.col("stop_round")).select(
-        "run_id", "round_id", F.lit(None).cast("double").alias("new_lr"), F.lit(1).alias("_grid")
+        KEY, "round_id", F.lit(None).cast("double").alias("new_lr"), F.lit(1).alias("_grid")
     )
-    # As-of lookup as a running "last value" over at most 2 * rounds rows per run.
+    # As-of lookup as a running "last value" over at most 2 * rounds rows per run: one
+    # command is taken at a boundary, so a run has one adjustment per round at most.
     both = grid.unionByName(adj.withColumn("_grid", F.lit(0)))
-    w = Window.partitionBy("run_id").orderBy("round_id", "_grid").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(KEY).orderBy("round_id", "_grid").rowsBetween(Window.unboundedPreceding, 0)
     asof = both.withColumn("_lr", F.last("new_lr", ignorenulls=True).over(w))
     return asof.where(F.col("_grid") == 1).select(
-        "run_id", F.col("round_id").cast("int").alias("round_id"),
+        KEY, F.col("round_id").cast("int").alias("round_id"),
         F.coalesce("_lr", F.lit(float(lr))).alias("lr"),
     )
 
@@ -241,64 +247,57 @@ def lr_schedule(
 # ---- C6 -----------------------------------------------------------------------------------
 
 def progress(
-    control: DataFrame,
+    folded: DataFrame,
+    schedule: DataFrame,
     history: DataFrame,
     summary: DataFrame,
-    n_shards: int,
     rounds: int = DEFAULT_ROUNDS,
     lr: float = DEFAULT_LR,
-    wait_for_start: bool = False,
-    chunk_width: int = CHUNK_WIDTH,
 ) -> DataFrame:
     """One progress record per answered QUERY_PROGRESS.
 
-    At boundary r: ``current_round = max(r-1, 0)``, ``current_lr`` = rate as of r,
-    ``current_loss`` = gradient RMS of the last round before r that had responses (0.0
-    before any), active / failed shards after round r-1. A query is answered only if its
-    boundary is reached (before the stop round, not after convergence); queries swallowed
-    by a pause are not answered (the reference's console would hang there).
+    Takes the command rounds and the schedule of one :func:`fold_control`, and the history and
+    summary (with ``n_shards``) of the runs. At boundary r: ``current_round = max(r-1, 0)``,
+    ``current_lr`` = rate as of r, ``current_loss`` = gradient RMS of the last round before r
+    that had responses (0.0 before any), active / failed shards after round r-1. A query is
+    answered only if its boundary is reached (before the stop round, not after convergence);
+    queries swallowed by a pause are not answered (the reference's console would hang there).
     """
     rounds = int(rounds)
-    cr, gates = _gated_rounds(control, wait_for_start, chunk_width)
-    q = cr.where((F.col("op") == QUERY_PROGRESS) & F.col("effective")).select("run_id", "seq", "round_id")
-    reach = summary.select("run_id", "final_round")
-    q = q.join(reach, "run_id").where(
-        (F.col("round_id") < F.lit(rounds)) & (F.col("round_id") <= F.col("final_round"))
-    )
-    sched = lr_schedule(control, rounds, lr, wait_for_start, chunk_width, cr, gates)
-    q = q.join(sched, ["run_id", "round_id"], "left")
-    h = history.select(
-        "run_id", F.col("round_id").alias("h_round"), "grad_norm", "alive_shards",
-    )
+    q = folded.where((F.col("op") == QUERY_PROGRESS) & F.col("effective")).select(KEY, ORDER, "round_id")
+    q = q.join(summary.select(KEY, "final_round", "n_shards"), KEY).where((F.col("round_id") < rounds) & (F.col("round_id") <= F.col("final_round")))
+    q = q.join(schedule, [KEY, "round_id"], "left")
     # Loss as of r: last non-null norm among rounds < r (as-of over rounds, small per run).
-    wh = Window.partitionBy("run_id").orderBy("h_round").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("loss_asof", F.last("grad_norm", ignorenulls=True).over(wh))
-    j = q.join(h, (q.run_id == h.run_id) & (h.h_round == q.round_id - 1), "left").drop(h.run_id)
-    return j.select(
-        "run_id", "seq",
+    w = Window.partitionBy(KEY).orderBy("h_round").rowsBetween(Window.unboundedPreceding, 0)
+    h = history.select(KEY, F.col("round_id").alias("h_round"), "grad_norm", "alive_shards")
+    h = h.withColumn("loss", F.last("grad_norm", ignorenulls=True).over(w)).select(KEY, (F.col("h_round") + 1).alias("round_id"), "loss", "alive_shards")
+    active = F.coalesce("alive_shards", "n_shards")
+    return q.join(h, [KEY, "round_id"], "left").select(
+        KEY, ORDER,
         F.lit(rounds).cast("int").alias("total_rounds"),
         F.greatest(F.col("round_id") - 1, F.lit(0)).cast("int").alias("current_round"),
-        F.coalesce("alive_shards", F.lit(int(n_shards))).cast("int").alias("active_workers"),
-        (F.lit(int(n_shards)) - F.coalesce("alive_shards", F.lit(int(n_shards)))).cast("int").alias("failed_workers"),
+        active.cast("int").alias("active_workers"),
+        (F.col("n_shards") - active).cast("int").alias("failed_workers"),
         F.coalesce("lr", F.lit(float(lr))).alias("current_lr"),
-        F.coalesce("loss_asof", F.lit(0.0)).alias("current_loss"),
+        F.coalesce("loss", F.lit(0.0)).alias("current_loss"),
     )
 
 
-def fold_control(
-    control: DataFrame,
-    rounds: int = DEFAULT_ROUNDS,
-    lr: float = DEFAULT_LR,
-    wait_for_start: bool = False,
-    chunk_width: int = CHUNK_WIDTH,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """C2-C7 + J3 at once: ``(command_rounds, stops, lr_schedule)``.
+@contextmanager
+def fold_control(control: DataFrame, rounds: int = DEFAULT_ROUNDS, lr: float = DEFAULT_LR, wait_for_start: bool = False):
+    """C2-C7 + J3 at once: ``(command_rounds, stops, lr_schedule)`` while the context lasts.
 
-    The command fold is computed once and persisted (it is the size of the log); stops
-    and the schedule derive from it. Call ``.unpersist()`` on the first frame when done.
+    The command fold (the size of the log) and the stops are persisted for the context, so
+    that everything derived from them folds the log once.
     """
-    cr, gates = _gated_rounds(control, wait_for_start, chunk_width)
-    cr = cr.persist()
-    stops = terminations(control, rounds, wait_for_start, chunk_width, cr, gates).persist()
-    sched = lr_schedule(control, rounds, lr, wait_for_start, chunk_width, cr, gates, stops)
-    return cr, stops, sched
+    log = chunked(control, KEY, ORDER)
+    folded, _ = _gated_rounds(log, wait_for_start)
+    folded = folded.persist()
+    stops = None
+    try:
+        stops = terminations(log, rounds, wait_for_start, folded).persist()
+        yield folded, stops, lr_schedule(log, rounds, lr, wait_for_start, folded, stops)
+    finally:
+        for df in (stops, folded):
+            if df is not None:
+                df.unpersist()

@@ -3,42 +3,23 @@
 A1 shard_gradient, A2 shard_stats, A3 combined_gradient, A4/A5 in combined_gradient,
 A6 alive_shards, J1 with_weights, J2 exclude_failed, P4 sample_gradients.
 
-One-off operators take the weight vector as an array literal (J1); the training loop joins
-a one-row weights frame instead, so its plan is identical every round. Per-shard work uses
-grouped aggregates with map-side partial aggregation, so a shard holding most of the rows
-still spreads over all tasks and only one partial row per shard and task is shuffled.
+The weight vector is an array literal on every row (J1). Per-shard work uses grouped
+aggregates with map-side partial aggregation, so a shard holding most of the rows still
+spreads over all tasks and only one partial row per shard and task is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gradmesh.functions.model import WEIGHT_SLOTS, gradient_rms, residual, sample_gradient
-from gradmesh.operators.broadcast import bounded_broadcast
-
-WEIGHTS_SCHEMA = T.StructType(
-    [
-        T.StructField("round_id", T.IntegerType(), False),
-        T.StructField("w", T.ArrayType(T.DoubleType(), False), False),
-    ]
-)
-
-
-def weights_frame(spark: SparkSession, w: Sequence[float], round_id: int = 0) -> DataFrame:
-    """A one-row weights frame ``(round_id INT, w ARRAY<DOUBLE>)`` with an explicit schema."""
-    return spark.createDataFrame([(int(round_id), [float(v) for v in w])], WEIGHTS_SCHEMA)
+from gradmesh.functions.model import WEIGHT_SLOTS, gradient_rms, linear_score, residual, sample_gradient, sigmoid
 
 
 def weights_literal(w: Sequence[float]) -> Column:
-    """J1 for one-off operators: the weight vector as an array literal on every row.
-
-    The literal's size is the slot count. The training loop instead joins a one-row
-    frame (see ``gradmesh.plans.training``) so its plan does not change between rounds.
-    """
+    """The weight vector as an array literal on every row; its size is the slot count."""
     return F.array(*[F.lit(float(v)) for v in w]).cast("array<double>")
 
 
@@ -49,8 +30,6 @@ def with_weights(samples: DataFrame, w: Sequence[float]) -> DataFrame:
 
 def residuals(samples: DataFrame, w: Sequence[float]) -> DataFrame:
     """P1-P3 per sample: adds ``z``, ``p`` and ``err`` columns."""
-    from gradmesh.functions.model import linear_score, sigmoid
-
     j = with_weights(samples, w)
     z = linear_score("x", "_w")
     return (
@@ -109,36 +88,27 @@ def shard_stats(samples: DataFrame) -> DataFrame:
 
 
 def exclude_failed(samples: DataFrame, failures: DataFrame | None, round_id: int) -> DataFrame:
-    """Drop shards whose failure round is at or before ``round_id`` (anti join).
-
-    The failures table has one row per failed shard; it is broadcast only under a row bound.
-    """
+    """Drop shards whose failure round is at or before ``round_id`` (anti join)."""
     if failures is None:
         return samples
     dead = failures.where(F.col("failed_from_round") <= F.lit(int(round_id))).select("shard_id").distinct()
-    dead, _ = bounded_broadcast(dead)
     return samples.join(dead, "shard_id", "left_anti")
 
 
 def alive_shards(samples: DataFrame, failures: DataFrame | None, rounds: int) -> DataFrame:
     """Per round, the number of shards with data that have not failed.
 
-    Built from the per-shard table (one row per shard), never from a per-row count distinct.
+    Shards (one row each) are counted by the round that first misses them; each count then
+    stands for all rounds before, so neither the plan nor a row grows with the rounds.
     """
-    shards = samples.groupBy("shard_id").agg(F.count(F.lit(1)).alias("_n"))
-    if failures is not None:
-        f = failures.groupBy("shard_id").agg(F.min("failed_from_round").alias("failed_from_round"))
-        f, _ = bounded_broadcast(f)
-        shards = shards.join(f, "shard_id", "left")
+    shards = samples.select("shard_id").distinct()
+    if failures is None:
+        ends = shards.withColumn("fail", F.lit(int(rounds)))
     else:
-        shards = shards.withColumn("failed_from_round", F.lit(None).cast("int"))
-    fail = F.coalesce("failed_from_round", F.lit(2**31 - 1))
-    # One aggregate with a conditional count per round: no join, one output row.
-    counts = shards.agg(
-        *[F.count(F.when(fail > F.lit(r), F.lit(1))).alias(f"_a{r}") for r in range(rounds)]
-    )
-    pairs = F.array(
-        *[F.struct(F.lit(r).cast("int").alias("round_id"), F.col(f"_a{r}").cast("bigint").alias("alive_shards"))
-          for r in range(rounds)]
-    )
-    return counts.select(F.inline(pairs))
+        first = failures.groupBy("shard_id").agg(F.min("failed_from_round").alias("fail"))
+        ends = shards.join(first, "shard_id", "left").withColumn("fail", F.least(F.coalesce("fail", F.lit(int(rounds))), F.lit(int(rounds))))
+    counts = ends.groupBy("fail").agg(F.count(F.lit(1)).alias("shards"))
+    spread = counts.where("fail > 0").select(F.explode(F.sequence(F.lit(0), F.col("fail") - 1)).alias("round_id"), "shards")
+    grid = samples.sparkSession.range(int(rounds)).select(F.col("id").cast("int").alias("round_id"), F.lit(0).cast("bigint").alias("shards"))
+    both = grid.unionByName(spread.select(F.col("round_id").cast("int").alias("round_id"), "shards"))
+    return both.groupBy("round_id").agg(F.sum("shards").cast("bigint").alias("alive_shards"))

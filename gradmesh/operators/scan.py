@@ -2,33 +2,36 @@
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` sends every row of a key to one task;
 a control log holding a third of all events would then be scanned by a single task.
-Here the order column is cut into fixed-width chunks and the scan runs in two levels:
+Here the rows are cut by rank: :func:`chunked` range-partitions them by ``(key, order)``, so
+that partitions are even whatever the spacing of the order column and however the rows are
+spread over keys, and the partition a row falls in is its chunk. A scan has two levels:
 
-1. within ``(key, chunk)`` groups (at most ``chunk_width`` rows each): a local window;
-2. per ``(key, chunk)`` one summary row (grouped aggregate, partial then final); a window
-   over the summaries of a key gives the carry-in of every chunk (``1/chunk_width`` of the
-   rows reach that window);
-3. the carry joins back on ``(key, chunk)`` and is combined with the local value.
+1. a window within ``(key, chunk)``, at most one partition's rows;
+2. one summary row per ``(key, chunk)``; a window over those of a key (at most one per
+   partition, independent of the row count) gives the carry-in of every chunk, which joins
+   back on ``(key, chunk)``.
 
-Sums and maxima are associative, which is all the control fold needs: positions are
-running counts, "last marker before" is a running maximum of an encoded ``seq``.
+Range bounds are sampled, so the chunked frame is written once to the shared folder: both
+levels then see the same cut, and a lost executor's part is read again. That write is the one
+job of a scan that runs before the caller's own action.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Default chunk width in units of the order column (sequence numbers).
-CHUNK_WIDTH = 4096
+from gradmesh.session import shared_path
+
+CHUNK = "_chunk"
 
 
 @dataclass(frozen=True)
 class Running:
-    """One running aggregate: ``kind`` is ``sum`` or ``max`` of ``expr`` over rows before
-    the current one (``inclusive`` also counts the current row)."""
+    """One running aggregate: ``kind`` is ``sum``, ``max`` or ``min`` of ``expr`` over rows
+    before the current one (``inclusive`` also counts the current row)."""
 
     name: str
     kind: str
@@ -36,36 +39,48 @@ class Running:
     inclusive: bool = True
 
 
-def _agg(kind: str, c: Column) -> Column:
-    return F.sum(c) if kind == "sum" else F.max(c)
+def chunked(df: DataFrame, key: str, order: str, chunks: int | None = None) -> DataFrame:
+    """``df`` with its chunk, written once; as is if it has one already.
 
+    Without ``chunks`` Spark sizes the partitions by bytes.
+    """
+    if CHUNK in df.columns:
+        return df
+    by = (F.col(key), F.col(order))
+    ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
+    path = shared_path(df.sparkSession, "chunks")
+    out = ranged.withColumn(CHUNK, F.spark_partition_id())
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
 
-def running(
-    df: DataFrame, key: str, order: str, specs: list[Running], chunk_width: int = CHUNK_WIDTH
-) -> DataFrame:
-    """Add one column per spec. ``order`` must be an integer column, unique within a key."""
-    chunk = F.floor(F.col(order) / F.lit(int(chunk_width))).cast("bigint")
-    base = df.withColumn("_chunk", chunk)
-    for i, s in enumerate(specs):
-        base = base.withColumn(f"_in{i}", s.expr)
-    w_local = Window.partitionBy(key, "_chunk").orderBy(order)
-    with_local = base
-    for i, s in enumerate(specs):
-        frame = w_local.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
-        with_local = with_local.withColumn(f"_loc{i}", _agg(s.kind, F.col(f"_in{i}")).over(frame))
-
-    totals = base.groupBy(key, "_chunk").agg(*[_agg(s.kind, F.col(f"_in{i}")).alias(f"_tot{i}") for i, s in enumerate(specs)])
-    w_carry = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        key, "_chunk", *[_agg(s.kind, F.col(f"_tot{i}")).over(w_carry).alias(f"_car{i}") for i, s in enumerate(specs)]
-    )
-    out = with_local.join(carry, [key, "_chunk"], "left")
+
+def within(key: str, order: str) -> WindowSpec:
+    """Rows of a chunk, in order."""
+    return Window.partitionBy(key, CHUNK).orderBy(order)
+
+
+def across(key: str) -> WindowSpec:
+    """Chunk summaries of a key, in order."""
+    return Window.partitionBy(key).orderBy(CHUNK)
+
+
+def before(w: WindowSpec, inclusive: bool = False) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+
+
+def running(df: DataFrame, key: str, order: str, specs: list[Running]) -> DataFrame:
+    """Adds one column per spec to a chunked frame; ``order`` is unique within a key."""
+    agg = {"sum": F.sum, "max": F.max, "min": F.min}
+    base = chunked(df, key, order).withColumns({f"_in{i}": s.expr for i, s in enumerate(specs)})
+    local = base.withColumns({f"_loc{i}": agg[s.kind](f"_in{i}").over(before(within(key, order), s.inclusive)) for i, s in enumerate(specs)})
+    totals = base.groupBy(key, CHUNK).agg(*[agg[s.kind](f"_in{i}").alias(f"_tot{i}") for i, s in enumerate(specs)])
+    carry = totals.select(key, CHUNK, *[agg[s.kind](f"_tot{i}").over(before(across(key))).alias(f"_car{i}") for i, s in enumerate(specs)])
+    out = local.join(carry, [key, CHUNK], "left")
     for i, s in enumerate(specs):
         loc, car = F.col(f"_loc{i}"), F.col(f"_car{i}")
         if s.kind == "sum":
-            val = F.coalesce(car, F.lit(0)) + F.coalesce(loc, F.lit(0))
-        else:
-            val = F.greatest(car, loc)  # greatest skips NULLs
-        out = out.withColumn(s.name, val)
-    drop = ["_chunk"] + [f"_{p}{i}" for i in range(len(specs)) for p in ("in", "loc", "car")]
-    return out.drop(*drop)
+            value = F.coalesce(car, F.lit(0)) + F.coalesce(loc, F.lit(0))
+        else:  # both skip nulls
+            value = (F.greatest if s.kind == "max" else F.least)(car, loc)
+        out = out.withColumn(s.name, value)
+    return out.drop(*[f"_{p}{i}" for i in range(len(specs)) for p in ("in", "loc", "car")])

@@ -17,6 +17,10 @@ def r8(expr: str) -> str:
     return f"(round(CAST({expr} AS DOUBLE), 8) + 0.0)"
 
 
+def r8_odd(expr: str) -> str:
+    return f"(floor(CAST({expr} AS DOUBLE) * 1e8 + 0.4937) / 1e8)"
+
+
 # ---- sample adapters (FIXTURES.md §2) ------------------------------------------------
 
 LI_K = 4
@@ -46,6 +50,37 @@ def emb_samples_sql(k: int = 64, ragged: bool = False) -> str:
     )
 
 
+def li_raw_samples_sql() -> str:
+    """The unscaled columns, as the text lines have them."""
+    return (
+        "SELECT CAST(l_orderkey % 3 + 1 AS INTEGER) AS shard_id, CAST(l_quantity AS DOUBLE) AS x0, CAST(l_extendedprice AS DOUBLE) AS x1, "
+        "CAST(l_discount AS DOUBLE) AS x2, CAST(l_tax AS DOUBLE) AS x3, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM lineitem"
+    )
+
+
+def customer_samples_sql() -> str:
+    return (
+        f"SELECT CAST(o_custkey AS BIGINT) AS run_id, q.* FROM ({li_samples_sql()}) q JOIN orders ON o_orderkey = q.row_id // 8"
+    )
+
+
+def wide_samples_sql() -> str:
+    cols = [f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in range(64)]
+    both = cols + [f"{c} * {c}" for c in cols]
+    return (
+        "SELECT CAST(vec_id % 3 + 1 AS INTEGER) AS shard_id, "
+        + ", ".join(f"{c} AS x{j}" for j, c in enumerate(both))
+        + ", CAST(label % 2 AS DOUBLE) AS y FROM embeddings"
+    )
+
+
+def gaussian_sql(row_key: str, slot: int, seed: int = 42) -> str:
+    """Box-Muller over the halves of a digest's first 26 hex digits."""
+    digest = f"md5('{seed}:' || {row_key} || ':{slot}')"
+    u = [f"((CAST('0x' || substr({digest}, {1 + 13 * h}, 13) AS BIGINT) + 0.5) / {float(16**13)!r})" for h in (0, 1)]
+    return f"sqrt(ln({u[0]}) * -2.0) * cos({u[1]} * (2 * pi()))"
+
+
 # ---- training ------------------------------------------------------------------------
 
 def training_ctes(
@@ -58,15 +93,17 @@ def training_ctes(
     lr: float = 0.01,
     failures_sql: str | None = None,
     norm_slots: int = WEIGHT_SLOTS,
+    own_samples: bool = False,
 ) -> list[str]:
     """CTE list ending in ``hist(run_id, round_id, lr, grad_norm, responses, alive_shards,
     status, w0..w{k-1})``. ``runs_sql`` gives (run_id, stop_round); ``sched_sql`` gives
-    (run_id, round_id, lr) and defaults to ``lr`` for every round."""
+    (run_id, round_id, lr) and defaults to ``lr`` for every round. With ``own_samples`` each
+    run trains on the samples of its ``run_id`` only."""
     xs = [f"x{j}" for j in range(k)]
     ws = [f"w{j}" for j in range(k)]
     runs_sql = runs_sql or f"SELECT CAST(0 AS BIGINT) AS run_id, {int(rounds)} AS stop_round"
     ctes = [
-        f"s AS MATERIALIZED (SELECT shard_id, {', '.join(xs)}, y FROM ({samples_sql}) q)",
+        f"s AS MATERIALIZED (SELECT {'run_id, ' if own_samples else ''}shard_id, {', '.join(xs)}, y FROM ({samples_sql}) q)",
         f"runs AS MATERIALIZED ({runs_sql})",
         "f AS MATERIALIZED ("
         + (failures_sql or "SELECT CAST(NULL AS INTEGER) AS shard_id, CAST(NULL AS INTEGER) AS failed_from_round WHERE false")
@@ -86,7 +123,7 @@ def training_ctes(
         )
         ctes.append(
             f"e_{r} AS MATERIALIZED (SELECT a.run_id, s.shard_id, 1.0 / (1.0 + exp(-({z}))) - s.y AS e, "
-            f"{', '.join('s.' + x for x in xs)} FROM s CROSS JOIN a_{r} a WHERE NOT EXISTS "
+            f"{', '.join('s.' + x for x in xs)} FROM s JOIN a_{r} a ON {'s.run_id = a.run_id' if own_samples else 'true'} WHERE NOT EXISTS "
             f"(SELECT 1 FROM f WHERE f.shard_id = s.shard_id AND f.failed_from_round <= {r}))"
         )
         ctes.append(
@@ -106,7 +143,7 @@ def training_ctes(
         )
         alive = (
             f"(SELECT count(DISTINCT s.shard_id) FROM s WHERE NOT EXISTS (SELECT 1 FROM f WHERE "
-            f"f.shard_id = s.shard_id AND f.failed_from_round <= {r}))"
+            f"f.shard_id = s.shard_id AND f.failed_from_round <= {r}){' AND s.run_id = a.run_id' if own_samples else ''})"
         )
         ctes.append(
             f"n_{r} AS MATERIALIZED (SELECT a.run_id, {r} AS round_id, sc.lr, "
@@ -134,15 +171,15 @@ def with_ctes(ctes: Sequence[str], body: str) -> str:
 
 def history_exploded_body(k: int, with_run: bool = False) -> str:
     ws = ", ".join(f"w{j}" for j in range(k))
-    run = "run_id, " if with_run else ""
+    run, cut = ("run_id, ", r8_odd) if with_run else ("", r8)
     inner = (
         f"SELECT {run}round_id, lr, grad_norm, responses, alive_shards, status, "
         f"unnest(range({k})) AS j, unnest([{ws}]) AS w FROM hist"
     )
     return (
-        f"SELECT {run}CAST(round_id AS INTEGER) AS round_id, {r8('lr')} AS lr, {r8('grad_norm')} AS grad_norm, "
+        f"SELECT {run}CAST(round_id AS INTEGER) AS round_id, {r8('lr')} AS lr, {cut('grad_norm')} AS grad_norm, "
         "CAST(responses AS BIGINT) AS responses, CAST(alive_shards AS BIGINT) AS alive_shards, "
-        f"CAST(status AS INTEGER) AS status, CAST(j AS INTEGER) AS j, {r8('w')} AS w FROM ({inner}) t"
+        f"CAST(status AS INTEGER) AS status, CAST(j AS INTEGER) AS j, {cut('w')} AS w FROM ({inner}) t"
     )
 
 
@@ -157,7 +194,8 @@ INT_PREFIX = r"^[ \t\n\r\f\x0B]*([+-]?[0-9]+)"
 
 
 def strtof(expr: str) -> str:
-    return f"coalesce(TRY_CAST(regexp_extract({expr}, '{FLOAT_PREFIX}', 1) AS DOUBLE), 0.0)"
+    prefix = f"regexp_extract({expr}, '{FLOAT_PREFIX}', 1)"
+    return f"CASE WHEN suffix(lower({prefix}), 'nan') THEN 'nan'::DOUBLE ELSE coalesce(TRY_CAST({prefix} AS DOUBLE), 0.0) END"
 
 
 def atoi(expr: str) -> str:

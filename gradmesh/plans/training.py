@@ -2,28 +2,29 @@
 
 Data flow of one round (one Spark job, two stages):
 
-    cached flat samples --(join one-row weights on fail_round > round_id: J1 + J2)-->
+    cached flat samples, fail_round > round_id (J2), weights as literal columns (J1) -->
     err * x_j / n_shard per row --(partial sum per task, one row)--> final sum (one row)
 
 The mean of shard means is ``sum_s (1/n_s) sum_{i in s} err_i x_i / S``. Each row carries
 ``inv_n = 1/n_s`` of its shard, computed once, so a round needs no per-shard grouping and
 no key-based shuffle: every task emits one partial row whatever the shard sizes, and a
-shard holding most of the data costs nothing extra. The driver receives k sums per run,
-steps the weights (P5), computes the RMS (A5) and tests convergence (T3).
+shard holding most of the data costs nothing extra. The driver receives k sums, steps the
+weights (P5), computes the RMS (A5) and tests convergence (T3).
 
-Several runs (one per control log) are trained together: their weights form an R x k matrix
-shipped with the task, and each Arrow batch is multiplied by it with NumPy, so the samples
-are scanned once per round for all runs.
+Many runs, each with its own samples and its own control log, are trained by
+``gradmesh.plans.runs``; nothing per run reaches the driver there.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Sequence
+import time
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,16 +37,10 @@ from gradmesh.functions.model import (
     sigmoid,
     weight_step,
 )
-from gradmesh.operators.broadcast import bounded_broadcast
+from gradmesh.operators.control import fold_control
 from gradmesh.operators.gradients import combined_gradient, shard_gradient, weights_literal
 
 NEVER = 2**31 - 1
-# Inputs up to this many rows are spread evenly before caching (cheap at that size).
-REBALANCE_ROWS = 50_000_000
-# Upper bound on R * k doubles shipped with one round's tasks; more runs go in several jobs.
-MAX_WEIGHT_CELLS = 2_000_000
-# Upper bound on the rows x runs score matrix held by a task at once (32 MB of doubles).
-SCORE_CELLS = 4_000_000
 
 HISTORY_SCHEMA = T.StructType(
     [
@@ -59,28 +54,13 @@ HISTORY_SCHEMA = T.StructType(
         T.StructField("w", T.ArrayType(T.DoubleType(), False), False),
     ]
 )
-WEIGHTS_SCHEMA = T.StructType(
-    [
-        T.StructField("run_id", T.LongType(), False),
-        T.StructField("round_id", T.IntegerType(), False),
-        T.StructField("w", T.ArrayType(T.DoubleType(), False), False),
-    ]
-)
-SUMMARY_SCHEMA = T.StructType(
-    [
-        T.StructField("run_id", T.LongType(), False),
-        T.StructField("final_round", T.IntegerType(), False),
-        T.StructField("rounds_run", T.IntegerType(), False),
-        T.StructField("alive_shards", T.LongType(), False),
-        T.StructField("outcome", T.StringType(), False),
-        T.StructField("final_norm", T.DoubleType(), True),
-    ]
-)
+WEIGHTS_SCHEMA = "run_id BIGINT, round_id INT, w ARRAY<DOUBLE>"
+SUMMARY_SCHEMA = "run_id BIGINT, final_round INT, rounds_run INT, alive_shards BIGINT, outcome STRING, final_norm DOUBLE"
 
 
 @dataclass
 class RunPlan:
-    """Per-run settings folded from a control log (see ``gradmesh.operators.control``)."""
+    """Settings of one run: its rates, and where and why it stops early."""
 
     run_id: int
     lrs: list[float]
@@ -96,14 +76,6 @@ class Prepared:
     k: int
     n_shards: int
     alive: list[int]
-    _cached: list[DataFrame] = field(default_factory=list)
-    view: str | None = None
-
-    def release(self) -> None:
-        if self.view and self.df is not None:
-            self.df.sparkSession.catalog.dropTempView(self.view)
-        for d in self._cached:
-            d.unpersist()
 
 
 @dataclass
@@ -117,222 +89,155 @@ class TrainResult:
         return iter((self.history, self.weights))
 
 
-def _xcols(k: int) -> list[str]:
+def xcols(k: int) -> list[str]:
     return [f"x{j}" for j in range(k)]
 
 
-def prepare(
+def clamped(x, max_features: int | None):
+    """S8, on request only: the first ``max_features`` slots."""
+    x = F.col(x).cast("array<double>")
+    return x if max_features is None else F.slice(x, 1, int(max_features))
+
+
+def shard_failures(failures: DataFrame, *keys: str) -> DataFrame:
+    """The first failure of each shard, as ``fail_round``."""
+    return failures.groupBy(*(F.col(k) for k in keys)).agg(F.min(F.col("failed_from_round").cast("int")).alias("fail_round"))
+
+
+@contextmanager
+def prepared(
     samples: DataFrame,
     rounds: int,
     failures: DataFrame | None = None,
-    max_features: int = WEIGHT_SLOTS,
-    materialize: str = "persist",
+    max_features: int | None = None,
     partitions: int | None = None,
-) -> Prepared:
-    """Clamp (S8), count per shard, attach ``inv_n`` / ``fail_round`` and cache flat columns.
-
-    Two scans of the input: one grouped count per shard (partial aggregation, skew-proof),
-    one to build the cached table. ``materialize='checkpoint'`` writes the table to the
-    session's checkpoint folder instead of caching it, cutting the lineage to the source.
-
-    Every round scans the cached table, so its partitions must be even. ``partitions``
-    forces a round-robin repartition; by default inputs of at most ``REBALANCE_ROWS`` rows
-    (where one file or row group can end up as one task) are spread over the default
-    parallelism, and larger inputs keep their scan splits (no full shuffle at scale).
+) -> Iterator[Prepared]:
+    """Counts per shard, attaches ``inv_n`` / ``fail_round`` and caches flat columns.
+
+    The source is read once, into a cache from which the shard counts (one grouped
+    aggregate) and the flat table are made. The join with the per-shard facts is planned
+    from their cached size. Every round scans the flat table: ``partitions`` spreads it
+    evenly where the input has few splits; without it the scan's splits are kept. A lost
+    executor's part is recomputed from the source.
     """
     base = samples.select(
-        F.col("shard_id").cast("int").alias("shard_id"),
-        F.slice(F.col("x").cast("array<double>"), 1, int(max_features)).alias("x"),
-        F.col("y").cast("double").alias("y"),
-    )
-    per_shard = base.groupBy("shard_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("k")
+        F.col("shard_id").cast("int").alias("shard_id"), clamped("x", max_features).alias("x"), F.col("y").cast("double").alias("y")
     )
-    if failures is not None:
-        f = failures.groupBy(F.col("shard_id").cast("int").alias("shard_id")).agg(
-            F.min(F.col("failed_from_round").cast("int")).alias("failed_from_round")
-        )
-        f, _ = bounded_broadcast(f)
-        per_shard = per_shard.join(f, "shard_id", "left")
-    else:
-        per_shard = per_shard.withColumn("failed_from_round", F.lit(None).cast("int"))
-    per_shard = per_shard.select(
-        "shard_id", "n", "k", F.coalesce("failed_from_round", F.lit(NEVER)).alias("fail_round")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    info = per_shard.agg(
-        F.max("k").alias("k"),
-        F.count(F.lit(1)).alias("n_shards"),
-        F.sum("n").alias("n_rows"),
-        *[F.count(F.when(F.col("fail_round") > F.lit(r), F.lit(1))).alias(f"a{r}") for r in range(rounds)],
-    ).first()
-    n_shards = int(info["n_shards"])
-    alive = [int(info[f"a{r}"]) for r in range(rounds)]
-    k = int(info["k"] or 0)
-    if n_shards == 0 or k == 0:
-        return Prepared(None, 0, n_shards, alive, [per_shard])
-
-    side, _ = bounded_broadcast(
-        per_shard.select("shard_id", (F.lit(1.0) / F.col("n")).alias("inv_n"), "fail_round")
-    )
-    flat = base.join(side, "shard_id").select(
-        "inv_n", "fail_round", "y",
-        *[F.coalesce(F.get("x", j), F.lit(0.0)).alias(c) for j, c in enumerate(_xcols(k))],
-    )
-    n_rows = int(info["n_rows"] or 0)
-    spark = samples.sparkSession
-    if partitions is None and n_rows <= REBALANCE_ROWS:
-        partitions = spark.sparkContext.defaultParallelism
     if partitions:
-        flat = flat.repartition(int(partitions))
-    if materialize == "checkpoint":
-        flat = flat.checkpoint(eager=True)
-        cached = [per_shard]
-    else:
-        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+        base = base.repartition(int(partitions))
+    cached = [base.persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        per_shard = base.groupBy("shard_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("k"))
+        if failures is None:
+            per_shard = per_shard.withColumn("fail_round", F.lit(NEVER))
+        else:
+            first = shard_failures(failures.withColumn("shard_id", F.col("shard_id").cast("int")), "shard_id")
+            per_shard = per_shard.join(first, "shard_id", "left").withColumn("fail_round", F.coalesce("fail_round", F.lit(NEVER)))
+        cached.append(per_shard.persist(StorageLevel.MEMORY_AND_DISK))
+        # at most rounds + 1 rows: shards by the round that first misses them
+        ends = F.greatest(F.lit(0), F.least("fail_round", F.lit(rounds)))
+        by_end = per_shard.groupBy(ends.alias("end")).agg(F.count(F.lit(1)).alias("shards"), F.max("k").alias("k")).collect()
+        alive = [sum(e["shards"] for e in by_end if e["end"] > r) for r in range(rounds)]
+        n_shards, k = sum(e["shards"] for e in by_end), max([0, *(e["k"] or 0 for e in by_end)])
+        if not n_shards or not k:
+            yield Prepared(None, 0, n_shards, alive)
+            return
+        side = per_shard.select("shard_id", (F.lit(1.0) / F.col("n")).alias("inv_n"), "fail_round")
+        flat = base.join(side, "shard_id").select(
+            "inv_n", "fail_round", "y", *[F.coalesce(F.get("x", j), F.lit(0.0)).alias(c) for j, c in enumerate(xcols(k))]
+        )
+        cached.append(flat.persist(StorageLevel.MEMORY_AND_DISK))
         flat.count()
-        cached = [per_shard, flat]
-    view = f"gradmesh_samples_{uuid.uuid4().hex[:12]}"
-    flat.createOrReplaceTempView(view)
-    return Prepared(flat, k, n_shards, alive, cached, view)
-
-
-# ---- one round ---------------------------------------------------------------------
-
-def round_sums_jvm(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int, list[float]]:
-    """One run: ``(rows, [sum err*x_j/n_s])`` over live shards, in generated JVM code.
-
-    The weights enter as double literals (J1: the analogue of shipping the vector with
-    the task), the live-shard test ``fail_round > r`` is the J2 filter, and the statement
-    is one SQL string so the plan is built with a single call. Score, sigmoid, residual
-    and the k sums fuse into one whole-stage-codegen pipeline over the cached columns;
-    each task emits one partial row, and one final row reaches the driver.
-    """
-    k = prep.k
-    xs = _xcols(k)
-    score = " + ".join(f"CAST({float(v)!r} AS DOUBLE) * {x}" for v, x in zip(w, xs))
-    sql = (
-        "SELECT count(1) AS rows, " + ", ".join(f"sum(e * {x}) AS s{j}" for j, x in enumerate(xs))
-        + f" FROM (SELECT (1.0D / (1.0D + exp(-({score}))) - y) * inv_n AS e, {', '.join(xs)}"
-        + f" FROM {prep.view} WHERE fail_round > {int(round_id)}) t"
-    )
-    row = prep.df.sparkSession.sql(sql).collect()[0]
-    rows = int(row["rows"])
-    return rows, [float(row[f"s{i}"]) if rows else 0.0 for i in range(k)]
+        base.unpersist()
+        yield Prepared(flat, k, n_shards, alive)
+    finally:
+        for d in cached:
+            d.unpersist()
 
 
-def round_sums_numpy(
-    prep: Prepared, weights: Sequence[Sequence[float]], round_id: int
-) -> list[tuple[int, list[float]]]:
-    """Many runs at once: per run ``(rows, sums)``; an R x k weight matrix per task.
+def round_sums(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int, list[float]]:
+    """``(rows, [sum err*x_j/n_s])`` over live shards, in generated JVM code.
 
-    Each Arrow batch (bounded by ``spark.sql.execution.arrow.maxRecordsPerBatch``) is scored
-    against all runs with one matrix product; each task emits R partial rows.
+    The weights enter as literal columns (any double, NaN and infinities included), the
+    live-shard test is the J2 filter. Score, sigmoid, residual and the k sums fuse into one
+    whole-stage-codegen pipeline over the cached columns; each task emits one partial row.
     """
-    import numpy as np
-    import pyarrow as pa
-
-    k = prep.k
-    out: list[tuple[int, list[float]]] = []
-    per_job = max(1, MAX_WEIGHT_CELLS // max(k, 1))
-    for start in range(0, len(weights), per_job):
-        chunk = np.asarray([list(map(float, w)) for w in weights[start:start + per_job]], dtype=np.float64)
-        out.extend(_numpy_job(prep, chunk, round_id, np, pa))
-    return out
-
-
-def _numpy_job(prep, wmat, round_id, np, pa):
-    k = prep.k
-    n_runs = wmat.shape[0]
-    step = max(64, SCORE_CELLS // n_runs)
-    xcols = _xcols(k)
-    r = int(round_id)
-    schema = T.StructType(
-        [T.StructField("run_idx", T.IntegerType()), T.StructField("rows", T.LongType())]
-        + [T.StructField(f"s{j}", T.DoubleType()) for j in range(k)]
-    )
-
-    def fold(batches: Iterable[pa.RecordBatch]):
-        acc = np.zeros((n_runs, k))
-        rows = 0
-        for b in batches:
-            fail = b.column(1).to_numpy(zero_copy_only=False)
-            live = fail > r
-            if not live.any():
-                continue
-            inv = b.column(0).to_numpy(zero_copy_only=False)[live]
-            y = b.column(2).to_numpy(zero_copy_only=False)[live]
-            x = np.column_stack([b.column(3 + j).to_numpy(zero_copy_only=False)[live] for j in range(k)])
-            # Row slices keep the (rows x runs) score matrix near SCORE_CELLS doubles.
-            for lo in range(0, x.shape[0], step):
-                xs = x[lo:lo + step]
-                with np.errstate(over="ignore"):
-                    p = 1.0 / (1.0 + np.exp(-(xs @ wmat.T)))
-                e = (p - y[lo:lo + step, None]) * inv[lo:lo + step, None]
-                acc += e.T @ xs
-            rows += int(live.sum())
-        if rows:
-            arrays = [pa.array(np.arange(n_runs, dtype=np.int32)), pa.array(np.full(n_runs, rows, dtype=np.int64))]
-            arrays += [pa.array(acc[:, j]) for j in range(k)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(
-                [("run_idx", pa.int32()), ("rows", pa.int64())] + [(f"s{j}", pa.float64()) for j in range(k)]
-            ))
-
-    part = prep.df.select("inv_n", "fail_round", "y", *xcols).mapInArrow(fold, schema)
-    tot = part.groupBy("run_idx").agg(
-        F.sum("rows").alias("rows"), *[F.sum(f"s{j}").alias(f"s{j}") for j in range(k)]
-    )
-    got = {int(row["run_idx"]): row for row in tot.collect()}  # n_runs rows of k sums
-    res = []
-    for i in range(n_runs):
-        row = got.get(i)
-        if row is None:
-            res.append((0, [0.0] * k))
-        else:
-            res.append((int(row["rows"]), [float(row[f"s{j}"]) for j in range(k)]))
-    return res
+    xs = xcols(prep.k)
+    score = reduce(lambda a, b: a + b, [F.lit(float(v)) * F.col(x) for v, x in zip(w, xs, strict=True)])
+    rows = prep.df.where(F.col("fail_round") > round_id).select(((sigmoid(score) - F.col("y")) * F.col("inv_n")).alias("e"), *xs)
+    got = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col("e") * F.col(x)).alias(f"s_{x}") for x in xs]).first()
+    return int(got["rows"]), [float(got[f"s_{x}"]) if got["rows"] else 0.0 for x in xs]
 
 
-# ---- the loop ----------------------------------------------------------------------
+# ---- control of one run ------------------------------------------------------------------
 
 @dataclass
-class _RunState:
-    plan: RunPlan
-    w: list[float]
-    done: bool = False
-    final_round: int | None = None
-    outcome: str | None = None
-    rounds_run: int = 0
-    last_norm: float | None = None
-
-
-def plans_from_control(
-    control: DataFrame,
-    rounds: int = DEFAULT_ROUNDS,
-    lr: float = DEFAULT_LR,
-    wait_for_start: bool = False,
-) -> list[RunPlan]:
-    """Fold a control log (C2-C7, J3) into one ``RunPlan`` per run.
+class LiveControl:
+    """Commands of one run, polled from a table that may still grow.
 
-    Collects ``rounds`` rates and one stop row per run: the training configuration, not data.
+    ``read()`` returns the control table as it stands, with ``seq`` and the command columns;
+    one command is taken per round boundary, by ``seq``. While paused, the table is read again
+    every ``wait_s`` seconds until RESUME or TERMINATE arrives; after ``max_waits`` vain
+    reads the run counts as stalled. Each poll fetches the next command only.
     """
-    from gradmesh.operators.control import fold_control
-
-    rounds = int(rounds)
-    cr, stops_df, sched = fold_control(control, rounds, lr, wait_for_start)
-    try:
-        stops = {int(r["run_id"]): (int(r["stop_round"]), r["outcome"]) for r in stops_df.collect()}
-        lrs: dict[int, list[float]] = {rid: [float(lr)] * rounds for rid in stops}
-        for r in sched.collect():
-            lrs[int(r["run_id"])][int(r["round_id"])] = float(r["lr"])
-    finally:
-        stops_df.unpersist()
-        cr.unpersist()
-    plans = []
-    for rid in sorted(stops):
-        stop, outcome = stops[rid]
-        plans.append(RunPlan(rid, lrs[rid], stop, outcome if stop < rounds else "completed"))
-    return plans
 
+    read: Callable[[], DataFrame]
+    wait_s: float = 1.0
+    max_waits: int = 0
+    last_seq: int | None = None
+    answered: list[tuple[int, int]] = field(default_factory=list)  # (seq, boundary) of queries
+
+    def _next(self):
+        c = self.read().where(F.col("op").isNotNull())
+        if self.last_seq is not None:
+            c = c.where(F.col("seq") > self.last_seq)
+        row = c.select("seq", "op", "new_lr").orderBy("seq").first()
+        if row:
+            self.last_seq = row["seq"]
+        return row
+
+    def poll(self, boundary: int) -> tuple[str | None, float | None]:
+        """``(stop outcome, new rate)`` of the command taken at this boundary."""
+        row = self._next()
+        if row is None:
+            return None, None
+        if row["op"] == "TERMINATE":
+            return "terminated", None
+        if row["op"] == "ADJUST_LR":
+            return None, float(row["new_lr"])
+        if row["op"] == "QUERY_PROGRESS":
+            self.answered.append((row["seq"], boundary))
+        if row["op"] != "PAUSE":
+            return None, None
+        waits = 0
+        while True:
+            row = self._next()
+            if row is None:
+                if waits >= self.max_waits:
+                    return "stalled", None
+                waits += 1
+                time.sleep(self.wait_s)
+            elif row["op"] == "TERMINATE":
+                return "terminated", None
+            elif row["op"] == "RESUME":
+                return None, None
+
+
+def plan_from_control(control: DataFrame, rounds: int = DEFAULT_ROUNDS, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> RunPlan:
+    """The plan that a finished log of one run folds to (C2-C7, J3): ``rounds`` rates and a
+    stop. Logs of many runs are for ``gradmesh.plans.runs``."""
+    with fold_control(control, rounds, lr, wait_for_start) as (_, stops, schedule):
+        found = stops.limit(2).collect()
+        if len(found) != 1:
+            raise ValueError("the log must have commands of one run")
+        lrs = [float(lr)] * rounds
+        for row in schedule.collect():
+            lrs[row["round_id"]] = float(row["lr"])
+    stop = found[0]["stop_round"]
+    return RunPlan(found[0]["run_id"], lrs, stop, found[0]["outcome"] if stop < rounds else "completed")
+
+
+# ---- the loop ----------------------------------------------------------------------------
 
 def train(
     samples: DataFrame,
@@ -340,81 +245,58 @@ def train(
     lr: float = DEFAULT_LR,
     threshold: float = DEFAULT_THRESHOLD,
     failures: DataFrame | None = None,
-    plans: Sequence[RunPlan] | None = None,
-    control: DataFrame | None = None,
-    wait_for_start: bool = False,
+    plan: RunPlan | None = None,
+    live: LiveControl | None = None,
     norm_slots: int = WEIGHT_SLOTS,
-    max_features: int = WEIGHT_SLOTS,
-    materialize: str = "persist",
-    engine: str = "auto",
+    max_features: int | None = None,
     partitions: int | None = None,
+    on_round: Callable[[int, float | None], None] | None = None,
 ) -> TrainResult:
-    """Train one run (or one per plan) for up to ``rounds`` synchronous rounds.
+    """Train one run for up to ``rounds`` synchronous rounds.
 
     Semantics: round 0 starts from zero weights; each round averages per-shard mean
     gradients over the responding shards (missing slots count as zero), applies
-    ``w -= lr * g``, and then stops if ``rms(g, norm_slots) < threshold`` (status 1).
-    A round with no live shard leaves the weights unchanged and has no norm (T5).
-    ``plans`` (or a ``control`` log, folded by ``plans_from_control``) carry per-round
-    learning rates and early stops; all runs are trained together.
+    ``w -= lr * g``, and then stops if ``rms(g, norm_slots) < threshold`` (status 1; a NaN
+    norm never does). A round with no live shard leaves the weights unchanged and has no
+    norm (T5). All features count unless ``max_features`` clamps them (S8). ``plan`` carries
+    rates and an early stop known beforehand; ``live`` is asked at every round boundary.
+    ``on_round(round_id, norm)`` is called after each round.
     """
     spark = samples.sparkSession
     rounds = int(rounds)
-    if plans is None and control is not None:
-        plans = plans_from_control(control, rounds, lr, wait_for_start)
-    if plans is None:
-        plans = [RunPlan(0, [float(lr)] * rounds, rounds)]
-    prep = prepare(samples, rounds, failures, max_features, materialize, partitions)
-    try:
-        states = [_RunState(p, [0.0] * prep.k) for p in plans]
-        history: list[tuple] = []
-        for r in range(rounds):
-            for st in states:
-                if not st.done and r >= st.plan.stop_round:
-                    st.done, st.final_round, st.outcome = True, st.plan.stop_round, st.plan.stop_outcome
-            active = [st for st in states if not st.done]
-            if not active:
+    plan = plan or RunPlan(0, [float(lr)] * rounds, rounds)
+    with prepared(samples, rounds, failures, max_features, partitions) as prep:
+        w, rate, last_norm, history = [0.0] * prep.k, float(lr), None, []
+        final_round, outcome = min(plan.stop_round, rounds), plan.stop_outcome
+        for r in range(final_round):
+            if live is not None:
+                stop, new_rate = live.poll(r)
+                rate = rate if new_rate is None else new_rate
+                if stop:
+                    final_round, outcome = r, stop
+                    break
+            lr_r = rate if live is not None else float(plan.lrs[r])
+            rows, sums = round_sums(prep, w, r) if prep.df is not None else (0, [])
+            alive, norm, status = prep.alive[r], None, 0
+            if rows and alive:
+                g = [v / alive for v in sums]
+                w = [wj - lr_r * gj for wj, gj in zip(w, g, strict=True)]
+                last_norm = norm = rms_of(g, norm_slots)
+                status = int(norm < threshold)
+            history.append((plan.run_id, r, lr_r, norm, alive if norm is not None else 0, alive, status, list(w)))
+            if on_round:
+                on_round(r, norm)
+            if status:
+                final_round, outcome = r, "converged"
                 break
-            if prep.df is None:
-                sums = [(0, [])] * len(active)
-            elif len(active) == 1 and engine in ("auto", "jvm"):
-                sums = [round_sums_jvm(prep, active[0].w, r)]
-            else:
-                sums = round_sums_numpy(prep, [st.w for st in active], r)
-            alive = prep.alive[r] if r < len(prep.alive) else 0
-            for st, (rows, s) in zip(active, sums):
-                lr_r = float(st.plan.lrs[r])
-                st.rounds_run += 1
-                if rows == 0 or alive == 0:
-                    history.append((st.plan.run_id, r, lr_r, None, 0, alive, 0, list(st.w)))
-                    continue
-                g = [v / alive for v in s]
-                st.w = [wj - lr_r * gj for wj, gj in zip(st.w, g)]
-                norm = rms_of(g, norm_slots)
-                st.last_norm = norm
-                status = 1 if norm < threshold else 0
-                history.append((st.plan.run_id, r, lr_r, norm, alive, alive, status, list(st.w)))
-                if status == 1:
-                    st.done, st.final_round, st.outcome = True, r, "converged"
-        for st in states:
-            if not st.done:
-                if st.plan.stop_round < rounds:
-                    st.final_round, st.outcome = st.plan.stop_round, st.plan.stop_outcome
-                else:
-                    st.final_round, st.outcome = rounds, "completed"
-        hist_df = spark.createDataFrame(history, HISTORY_SCHEMA)
-        weights_df = spark.createDataFrame(
-            [(st.plan.run_id, st.rounds_run - 1, list(st.w)) for st in states], WEIGHTS_SCHEMA
+        last = len(history) - 1
+        alive = prep.alive[last] if last >= 0 else prep.n_shards
+        return TrainResult(
+            spark.createDataFrame(history, HISTORY_SCHEMA),
+            spark.createDataFrame([(plan.run_id, last, w)], WEIGHTS_SCHEMA),
+            spark.createDataFrame([(plan.run_id, final_round, len(history), alive, outcome, last_norm)], SUMMARY_SCHEMA),
+            prep.n_shards,
         )
-        summary = []
-        for st in states:
-            last = st.rounds_run - 1
-            alive = prep.alive[last] if last >= 0 else prep.n_shards
-            summary.append((st.plan.run_id, int(st.final_round), st.rounds_run, alive, st.outcome, st.last_norm))
-        summary_df = spark.createDataFrame(summary, SUMMARY_SCHEMA)
-        return TrainResult(hist_df, weights_df, summary_df, prep.n_shards)
-    finally:
-        prep.release()
 
 
 def train_one_round(samples: DataFrame, w: Sequence[float], lr: float = DEFAULT_LR,
@@ -429,24 +311,3 @@ def train_one_round(samples: DataFrame, w: Sequence[float], lr: float = DEFAULT_
     comb = combined_gradient(per_shard, k, norm_slots)
     stepped = F.when(F.col("responses") > 0, weight_step(weights_literal(w), "g", lr)).otherwise(weights_literal(w))
     return comb.select("responses", "grad_norm", "g", stepped.alias("w"))
-
-
-def run_summary(history: DataFrame) -> DataFrame:
-    """T6 from a history frame: rounds run, last alive count, converged flag, last norm."""
-    last = F.max_by(F.struct("alive_shards", "grad_norm", "status"), "round_id")
-    return history.groupBy("run_id").agg(
-        F.count(F.lit(1)).cast("int").alias("rounds_run"),
-        F.max("round_id").alias("last_round"),
-        last.alias("_last"),
-    ).select(
-        "run_id", "rounds_run", "last_round",
-        F.col("_last.alive_shards").alias("alive_shards"),
-        (F.col("_last.status") == 1).alias("converged"),
-        F.col("_last.grad_norm").alias("final_norm"),
-    )
-
-
-__all__ = [
-    "HISTORY_SCHEMA", "Prepared", "RunPlan", "TrainResult", "prepare", "round_sums_jvm",
-    "round_sums_numpy", "run_summary", "train", "train_one_round",
-]

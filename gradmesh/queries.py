@@ -16,11 +16,13 @@ from gradmesh import oracle as O
 from gradmesh.functions.model import linear_score, sigmoid
 from gradmesh.operators import control as C
 from gradmesh.operators import gradients as G
+from gradmesh.plans import runs as RN
 from gradmesh.plans import training as TR
 from gradmesh.session import shared_path
 from gradmesh.sources import generator as GEN
 from gradmesh.sources import tables as TB
 from gradmesh.sources import text as TX
+from gradmesh.streaming.control_stream import run_to_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -42,11 +44,19 @@ def r8(c: Column | str) -> Column:
     return F.round(c.cast("double"), 8) + F.lit(0.0)
 
 
+def r8_odd(c: Column | str) -> Column:
+    """Eight decimals cut at an odd place: runs of a few rows have exact decimal ties, which
+    ``round`` would settle by the order of summation."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c.cast("double") * 1e8 + 0.4937).cast("double") / 1e8
+
+
 # Fixed parameters of the demonstration queries.
 W_PROBE = [0.3, -0.2, 0.1, 0.4]  # probe weights for the per-row and per-shard operators
 LR = 0.01
 CONVERGE_THRESHOLD = 0.0199  # reached mid-run on F-LI, to show the early stop
 FAILURES = [(2, 3), (3, 6)]  # shard 2 fails from round 3, shard 3 from round 6
+RAW_LR = 1e-8  # for the unscaled columns of the text lines
 CLAMP = 8  # feature clamp shown on the 64-d embeddings
 
 
@@ -214,7 +224,7 @@ def q_shard_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_feature_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = TB.embedding_samples(spark, sf_dir).withColumn("x", F.slice("x", 1, CLAMP))
+    s = TB.embedding_samples(spark, sf_dir).withColumn("x", TR.clamped("x", CLAMP))
     e = s.select("shard_id", F.posexplode("x").alias("j", "v"))
     return e.groupBy("shard_id", "j").agg(F.count(F.lit(1)).alias("n"), r8(F.sum("v")).alias("sum_v"))
 
@@ -222,11 +232,16 @@ def q_feature_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- T1-T6, J2, A6 ----------------------------------------------------------------------
 
 def _hist_exploded(h: DataFrame, with_run: bool = False) -> DataFrame:
-    lead = ["run_id"] if with_run else []
+    lead, cut = (["run_id"], r8_odd) if with_run else ([], r8)
     return h.select(
-        *lead, "round_id", r8("lr").alias("lr"), r8("grad_norm").alias("grad_norm"),
+        *lead, "round_id", r8("lr").alias("lr"), cut("grad_norm").alias("grad_norm"),
         "responses", "alive_shards", "status", F.posexplode("w").alias("j", "w"),
-    ).select(*lead, "round_id", "lr", "grad_norm", "responses", "alive_shards", "status", "j", r8("w").alias("w"))
+    ).select(*lead, "round_id", "lr", "grad_norm", "responses", "alive_shards", "status", "j", cut("w").alias("w"))
+
+
+def _cores(spark: SparkSession) -> int:
+    """Even parts for the rounds' scans: the test tables are files of one row group."""
+    return spark.sparkContext.defaultParallelism
 
 
 def _failures_df(spark: SparkSession):
@@ -243,7 +258,7 @@ def _all_failed(samples: DataFrame) -> DataFrame:
 
 @register("train", lambda: O.with_ctes(O.training_ctes(O.li_samples_sql(), 4), O.history_exploded_body(4)))
 def q_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hist_exploded(TR.train(TB.lineitem_samples(spark, sf_dir)).history)
+    return _hist_exploded(TR.train(TB.lineitem_samples(spark, sf_dir), partitions=_cores(spark)).history)
 
 
 @register(
@@ -251,7 +266,7 @@ def q_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     lambda: O.with_ctes(O.training_ctes(O.emb_samples_sql(64), 64), O.history_exploded_body(64)),
 )
 def q_train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hist_exploded(TR.train(TB.embedding_samples(spark, sf_dir)).history)
+    return _hist_exploded(TR.train(TB.embedding_samples(spark, sf_dir), partitions=_cores(spark)).history)
 
 
 @register(
@@ -259,7 +274,13 @@ def q_train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     lambda: O.with_ctes(O.training_ctes(O.emb_samples_sql(48, ragged=True), 48), O.history_exploded_body(48)),
 )
 def q_train_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hist_exploded(TR.train(TB.ragged_embedding_samples(spark, sf_dir)).history)
+    return _hist_exploded(TR.train(TB.ragged_embedding_samples(spark, sf_dir), partitions=_cores(spark)).history)
+
+
+@register("train_wide", lambda: O.with_ctes(O.training_ctes(O.wide_samples_sql(), 128), O.history_exploded_body(128)))
+def q_train_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """128 features: nothing is clamped unless asked for."""
+    return _hist_exploded(TR.train(TB.wide_samples(spark, sf_dir), partitions=_cores(spark)).history)
 
 
 @register(
@@ -268,7 +289,7 @@ def q_train_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
                         O.history_exploded_body(4)),
 )
 def q_train_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = TR.train(TB.lineitem_samples(spark, sf_dir), failures=_failures_df(spark))
+    res = TR.train(TB.lineitem_samples(spark, sf_dir), failures=_failures_df(spark), partitions=_cores(spark))
     return _hist_exploded(res.history)
 
 
@@ -293,7 +314,7 @@ def q_round_participation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_train_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = TR.train(TB.lineitem_samples(spark, sf_dir), threshold=CONVERGE_THRESHOLD)
+    res = TR.train(TB.lineitem_samples(spark, sf_dir), threshold=CONVERGE_THRESHOLD, partitions=_cores(spark))
     return _hist_exploded(res.history)
 
 
@@ -309,7 +330,7 @@ def q_train_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_train_all_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = TB.lineitem_samples(spark, sf_dir)
-    return _hist_exploded(TR.train(s, failures=_all_failed(s)).history)
+    return _hist_exploded(TR.train(s, failures=_all_failed(s), partitions=_cores(spark)).history)
 
 
 def _summary_sql() -> str:
@@ -326,32 +347,35 @@ def _summary_sql() -> str:
 
 @register("run_summary", _summary_sql)
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = TR.train(TB.lineitem_samples(spark, sf_dir), threshold=CONVERGE_THRESHOLD, failures=_failures_df(spark))
+    res = TR.train(TB.lineitem_samples(spark, sf_dir), threshold=CONVERGE_THRESHOLD, failures=_failures_df(spark), partitions=_cores(spark))
     sm = res.summary
     return sm.select("run_id", "final_round", "rounds_run", "alive_shards", "outcome", r8("final_norm").alias("final_norm"))
 
 
 # ---- S1-S9 text shards ---------------------------------------------------------------------
 
-def _flat_pos(df: DataFrame) -> DataFrame:
-    return df.withColumn("pos_block", F.col("pos.file_block_start")).withColumn("pos_id", F.col("pos.id"))
+def _on_disk(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """The lines written as ``shard_<id>.txt`` in the shared folder, in order, and read back."""
+    paths = GEN.write_named_shards(lines.orderBy("pos"), shared_path(spark, "shards"), range(1, TB.N_SHARDS + 1))
+    return TX.read_shards(spark, paths)
 
 
 @register("shard_scan", lambda: f"SELECT shard_id, value FROM ({O.li_lines_sql()}) a")
 def q_shard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + S2 for real: write F-TXT lines as shard files in the shared folder, read them back."""
+    """S1 + S2 over files named ``shard_<id>.txt``."""
+    return _on_disk(spark, TB.lineitem_lines(spark, sf_dir)).select("shard_id", "value")
+
+
+@register("shard_folder_scan", lambda: f"SELECT shard_id, value FROM ({O.li_lines_sql()}) a")
+def q_shard_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9's writer and S1 + S2 over ``shard_id=<id>`` folders."""
     path = GEN.write_shards(TB.lineitem_lines(spark, sf_dir), shared_path(spark, "shard_scan"))
     return TX.read_shards(spark, path).select("shard_id", "value")
 
 
-@register(
-    "shard_filter",
-    lambda: f"SELECT shard_id, pos_block, pos_id, value FROM ({O.li_dirty_lines_sql()}) l "
-    "WHERE value <> '' AND NOT starts_with(value, '#')",
-)
+@register("shard_filter", lambda: f"SELECT shard_id, value FROM ({O.li_dirty_lines_sql()}) l WHERE value <> '' AND NOT starts_with(value, '#')")
 def q_shard_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _flat_pos(TX.data_lines(TB.lineitem_dirty_lines(spark, sf_dir)))
-    return d.select("shard_id", "pos_block", "pos_id", "value")
+    return TX.data_lines(_on_disk(spark, TB.lineitem_dirty_lines(spark, sf_dir))).select("shard_id", "value")
 
 
 def _schema_sql() -> str:
@@ -363,44 +387,50 @@ def _schema_sql() -> str:
     lambda: f"SELECT shard_id, width, n_lines, CAST(n_lines > 0 AND width >= 2 AS INTEGER) AS accepted FROM ({_schema_sql()}) s",
 )
 def q_shard_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tok = TX.tokenize(TX.data_lines(TB.lineitem_dirty_lines(spark, sf_dir)))
-    sch = TX.shard_schema(tok)
+    sch = TX.shard_schema(TX.data_lines(_on_disk(spark, TB.lineitem_dirty_lines(spark, sf_dir))))
     return sch.select("shard_id", "width", "n_lines", F.col("accepted").cast("int").alias("accepted"))
 
 
-def _parse_sql() -> str:
-    tok = O.tok_lines_sql(O.li_dirty_lines_sql())
-    inner = (
-        "SELECT t.shard_id, t.pos_block, t.pos_id, " + O.strtof("t.tok[s.width]") + " AS y, "
-        "unnest(range(s.width - 1)) AS j, unnest(list_transform(t.tok[1:s.width - 1], lambda v: "
-        + O.strtof("v") + ")) AS v "
-        f"FROM ({tok}) t JOIN ({_schema_sql()}) s USING (shard_id) WHERE s.width >= 2 AND t.n_tok >= s.width"
-    )
-    return (
-        "SELECT shard_id, pos_block, pos_id, " + O.r8("y") + " AS y, CAST(j AS INTEGER) AS j, "
-        + O.r8("v") + f" AS v FROM ({inner}) a"
-    )
-
-
-@register("shard_parse", _parse_sql)
+@register(
+    "shard_parse",
+    lambda: (
+        "SELECT t.shard_id, " + O.r8(O.strtof("t.tok[s.width]")) + " AS y, "
+        + ", ".join(f"{O.r8(O.strtof(f't.tok[{j + 1}]'))} AS x{j}" for j in range(4))
+        + f" FROM ({O.tok_lines_sql(O.li_dirty_lines_sql())}) t JOIN ({_schema_sql()}) s USING (shard_id) WHERE s.width = 5 AND t.n_tok >= s.width"
+    ),
+)
 def q_shard_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples, _, _ = TX.lines_to_samples(TB.lineitem_dirty_lines(spark, sf_dir))
-    e = _flat_pos(samples).select("shard_id", "pos_block", "pos_id", "y", F.posexplode("x").alias("j", "v"))
-    return e.select("shard_id", "pos_block", "pos_id", r8("y").alias("y"), "j", r8("v").alias("v"))
+    samples, _, _ = TX.lines_to_samples(_on_disk(spark, TB.lineitem_dirty_lines(spark, sf_dir)))
+    return samples.select("shard_id", r8("y").alias("y"), *[r8(F.get("x", j)).alias(f"x{j}") for j in range(4)])
 
 
 @register(
     "shard_rejects",
     lambda: (
-        "SELECT t.shard_id, t.pos_block, t.pos_id, t.value, CAST(t.n_tok AS INTEGER) AS n_tok, "
+        "SELECT t.shard_id, t.value, CAST(t.n_tok AS INTEGER) AS n_tok, "
         "CASE WHEN NOT (s.n_lines > 0 AND s.width >= 2) THEN 'shard_rejected' ELSE 'short_row' END AS reason "
         f"FROM ({O.tok_lines_sql(O.li_dirty_lines_sql())}) t JOIN ({_schema_sql()}) s USING (shard_id) "
         "WHERE NOT (s.n_lines > 0 AND s.width >= 2) OR t.n_tok < s.width"
     ),
 )
 def q_shard_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejects, _ = TX.lines_to_samples(TB.lineitem_dirty_lines(spark, sf_dir))
-    return _flat_pos(rejects).select("shard_id", "pos_block", "pos_id", "value", "n_tok", "reason")
+    _, rejects, _ = TX.lines_to_samples(_on_disk(spark, TB.lineitem_dirty_lines(spark, sf_dir)))
+    return rejects.select("shard_id", "value", "n_tok", "reason")
+
+
+@register(
+    "train_from_shards",
+    lambda: O.with_ctes(
+        O.training_ctes(f"SELECT * FROM ({O.li_raw_samples_sql()}) a WHERE shard_id <> {TB.N_SHARDS}", 4, lr=RAW_LR), O.history_exploded_body(4)
+    ),
+)
+def q_train_from_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main path: text shards, load, train. The last shard has one column only, so its
+    load fails and the mean is over the others."""
+    lines = TB.lineitem_lines(spark, sf_dir)
+    narrow = F.when(F.col("shard_id") == TB.N_SHARDS, F.substring_index("value", " ", -1)).otherwise(F.col("value"))
+    samples, _, _ = TX.lines_to_samples(_on_disk(spark, lines.withColumn("value", narrow)))
+    return _hist_exploded(TR.train(samples, lr=RAW_LR, partitions=_cores(spark)).history)
 
 
 @register(
@@ -423,12 +453,18 @@ def q_generate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return GEN.format_lines(GEN.label_by_score(s))
 
 
-@register("generate_samples")
+def _generated_sql() -> str:
+    key = "CAST(l_orderkey * 8 + l_linenumber AS VARCHAR)"
+    xs = ", ".join(f"{O.gaussian_sql(key, j)} AS x{j}" for j in range(4))
+    label = "CASE WHEN 0.5 * x0 + 0.3 * x1 + -0.2 * x2 + 0.1 * x3 > 0 THEN '1.0' ELSE '0.0' END"
+    line = " || ' ' || ".join([f"printf('%.4f', x{j})" for j in range(4)] + [label])
+    return f"SELECT shard_id, {line} AS value FROM (SELECT CAST(l_orderkey % 3 + 1 AS INTEGER) AS shard_id, {xs} FROM lineitem) a"
+
+
+@register("generate_samples", _generated_sql)
 def q_generate_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S9 proper: one gaussian sample per lineitem row (random values: rows-only check)."""
-    li = TB.read_table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") % 3 + 1).cast("int").alias("shard_id")
-    )
+    """S9 proper: one gaussian sample per lineitem row, drawn by the row's key."""
+    li = TB.lineitem_samples(spark, sf_dir).select("shard_id", "row_id")
     return GEN.format_lines(GEN.label_by_score(GEN.with_gaussian_features(li)))
 
 
@@ -499,16 +535,22 @@ def q_lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _controlled_ctes(gate: bool = False) -> list[str]:
+    """Every customer is a run; those without a log keep the default plan."""
     ctl = O.ctl_sql()
-    runs = f"SELECT run_id, stop_round FROM ({O.terminations_sql(ctl, 10, gate)}) t"
-    sched = O.lr_schedule_sql(ctl, 10, LR, gate)
-    return O.training_ctes(O.li_samples_sql(), 4, runs_sql=runs, sched_sql=sched)
+    all_runs = f"SELECT DISTINCT run_id FROM ({O.customer_samples_sql()}) c"
+    runs = f"SELECT c.run_id, coalesce(t.stop_round, 10) AS stop_round FROM ({all_runs}) c LEFT JOIN ({O.terminations_sql(ctl, 10, gate)}) t USING (run_id)"
+    sched = (
+        f"SELECT c.run_id, CAST(r.range AS INTEGER) AS round_id, coalesce(l.lr, CAST({LR!r} AS DOUBLE)) AS lr FROM ({all_runs}) c CROSS JOIN range(10) r "
+        f"LEFT JOIN ({O.lr_schedule_sql(ctl, 10, LR, gate)}) l ON l.run_id = c.run_id AND l.round_id = r.range"
+    )
+    return O.training_ctes(O.customer_samples_sql(), 4, runs_sql=runs, sched_sql=sched, own_samples=True)
 
 
 @register("train_controlled", lambda: O.with_ctes(_controlled_ctes(), O.history_exploded_body(4, with_run=True)))
 def q_train_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 with a control log: one run per user, all runs trained together."""
-    res = TR.train(TB.lineitem_samples(spark, sf_dir), control=_ctl(spark, sf_dir))
+    """T1 for many runs: one per customer, on its own samples, controlled by the user's log."""
+    with C.fold_control(_ctl(spark, sf_dir)) as (_, stops, schedule):
+        res = RN.train_runs(TB.customer_samples(spark, sf_dir), stops, schedule)
     return _hist_exploded(res.history, with_run=True)
 
 
@@ -518,19 +560,19 @@ def _progress_sql() -> str:
         "fin AS (SELECT r.run_id, coalesce((SELECT min(h.round_id) FROM hist h WHERE h.run_id = r.run_id "
         "AND h.status = 1), r.stop_round) AS final_round FROM runs r)"
     )
-    ctes.append("nsh AS (SELECT count(DISTINCT shard_id) AS n FROM s)")
+    ctes.append("nsh AS (SELECT run_id, count(DISTINCT shard_id) AS n FROM s GROUP BY run_id)")
     ctes.append(
         f"q AS (SELECT r.run_id, r.seq, r.round_id FROM ({O.rounds_sql(O.ctl_sql())}) r JOIN fin USING (run_id) "
         "WHERE r.op = 'QUERY_PROGRESS' AND r.effective AND r.round_id < 10 AND r.round_id <= fin.final_round)"
     )
     body = (
         "SELECT q.run_id, q.seq, CAST(10 AS INTEGER) AS total_rounds, CAST(greatest(q.round_id - 1, 0) AS INTEGER) AS current_round, "
-        "CAST(coalesce(h.alive_shards, (SELECT n FROM nsh)) AS INTEGER) AS active_workers, "
-        "CAST((SELECT n FROM nsh) - coalesce(h.alive_shards, (SELECT n FROM nsh)) AS INTEGER) AS failed_workers, "
+        "CAST(coalesce(h.alive_shards, nsh.n) AS INTEGER) AS active_workers, "
+        "CAST(nsh.n - coalesce(h.alive_shards, nsh.n) AS INTEGER) AS failed_workers, "
         + O.r8(f"coalesce(sc.lr, {LR!r})") + " AS current_lr, "
-        + O.r8("coalesce((SELECT arg_max(h2.grad_norm, h2.round_id) FROM hist h2 WHERE h2.run_id = q.run_id "
+        + O.r8_odd("coalesce((SELECT arg_max(h2.grad_norm, h2.round_id) FROM hist h2 WHERE h2.run_id = q.run_id "
                "AND h2.round_id < q.round_id AND h2.grad_norm IS NOT NULL), 0.0)")
-        + " AS current_loss FROM q LEFT JOIN hist h ON h.run_id = q.run_id AND h.round_id = q.round_id - 1 "
+        + " AS current_loss FROM q JOIN nsh ON nsh.run_id = q.run_id LEFT JOIN hist h ON h.run_id = q.run_id AND h.round_id = q.round_id - 1 "
         "LEFT JOIN sched sc ON sc.run_id = q.run_id AND sc.round_id = q.round_id"
     )
     return O.with_ctes(ctes, body)
@@ -538,27 +580,77 @@ def _progress_sql() -> str:
 
 @register("progress", _progress_sql)
 def q_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ctl = _ctl(spark, sf_dir)
-    res = TR.train(TB.lineitem_samples(spark, sf_dir), control=ctl)
-    p = C.progress(ctl, res.history, res.summary, res.n_shards)
-    return p.select(
+    with C.fold_control(_ctl(spark, sf_dir)) as (folded, stops, schedule):
+        res = RN.train_runs(TB.customer_samples(spark, sf_dir), stops, schedule)
+        p = C.progress(folded, schedule, res.history, res.summary)
+        path = shared_path(spark, "progress")
+        p.write.parquet(path)
+    return spark.read.parquet(path).select(
         "run_id", "seq", "total_rounds", "current_round", "active_workers", "failed_workers",
-        r8("current_lr").alias("current_lr"), r8("current_loss").alias("current_loss"),
+        r8("current_lr").alias("current_lr"), r8_odd("current_loss").alias("current_loss"),
     )
 
 
-# ---- C8 streaming --------------------------------------------------------------------------
+# ---- live control and C8 -----------------------------------------------------------------
+
+LIVE = [(3, 10, "ADJUST_LR", 0.05), (4, 11, "PAUSE", None), (4, 12, "ADJUST_LR", 0.9), (4, 13, "RESUME", None), (7, 14, "TERMINATE", None)]
 
-@register("control_stream", lambda: f"SELECT run_id, seq, op, round_id FROM ({O.rounds_sql(O.ctl_sql())}) r")
-def q_control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a stream, mapped to control events, folded with state."""
-    from gradmesh.streaming.control_stream import control_fold, run_to_table
 
-    schema = TB.read_table(spark, sf_dir, "events").schema
-    raw = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1).parquet(sf_dir)
+@register(
+    "train_live",
+    lambda: O.with_ctes(
+        O.training_ctes(
+            O.li_samples_sql(), 4, runs_sql="SELECT CAST(0 AS BIGINT) AS run_id, 8 AS stop_round",
+            sched_sql="SELECT CAST(0 AS BIGINT) AS run_id, CAST(range AS INTEGER) AS round_id, CASE WHEN range >= 4 THEN 0.05 ELSE 0.01 END::DOUBLE AS lr FROM range(10)",
+        ),
+        O.history_exploded_body(4),
+    ),
+)
+def q_train_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commands that arrive while the run trains: the table is read again at each boundary.
+    After round 3 a rate is set, after 4 a pause swallows another, after 7 the run ends."""
+    path = shared_path(spark, "live-control")
+    schema = "seq BIGINT, op STRING, new_lr DOUBLE"
+    spark.createDataFrame([], schema).write.parquet(path)
+
+    def arrive(round_id: int, _: float | None) -> None:
+        if new := [c[1:] for c in LIVE if c[0] == round_id]:
+            spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(path)
+
+    live = TR.LiveControl(lambda: spark.read.schema(schema).parquet(path))
+    return _hist_exploded(TR.train(TB.lineitem_samples(spark, sf_dir), live=live, on_round=arrive, partitions=_cores(spark)).history)
+
+
+def _stream_sql(gate: bool) -> str:
+    ctl = O.gate_sql(O.ctl_sql())[0] if gate else O.ctl_sql()
+    return (
+        "SELECT run_id, seq, op, round_id, CAST(paused_before AS INTEGER) AS paused_before, " + O.r8(
+            "coalesce(last_value(CASE WHEN op = 'ADJUST_LR' AND effective THEN new_lr END IGNORE NULLS) OVER (PARTITION BY run_id ORDER BY seq), 0.01)"
+        ) + f" AS lr FROM ({O.rounds_sql(ctl)}) r"
     )
-    ctl = TB.control_from_events(raw)
-    out = run_to_table(control_fold(ctl), spark)
-    return out.select("run_id", "seq", "op", "round_id")
+
+
+def _stream_rows(spark: SparkSession, sf_dir: str, wait_for_start: bool) -> DataFrame:
+    """The events table arrives in four parts, in order; the stream is drained after each."""
+    events = TB.read_table(spark, sf_dir, "events")
+    path, base = shared_path(spark, "events"), shared_path(spark, "control_stream")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - low) * 4 / (high - low + 1))
+    out = None
+    for i in range(4):
+        events.where(part == i).write.mode("append").parquet(path)
+        raw = spark.readStream.schema(events.schema).parquet(path)
+        out = run_to_table(TB.control_from_events(raw), spark, base, wait_for_start=wait_for_start)
+    return out.select("run_id", "seq", "op", "round_id", F.col("paused_before").cast("int").alias("paused_before"), r8("lr").alias("lr"))
+
+
+@register("control_stream", lambda: _stream_sql(False))
+def q_control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control events read as a stream, folded with a carry per run."""
+    return _stream_rows(spark, sf_dir, False)
+
+
+@register("control_stream_gated", lambda: _stream_sql(True))
+def q_control_stream_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 with the start gate."""
+    return _stream_rows(spark, sf_dir, True)

@@ -1,6 +1,6 @@
 """Synthetic samples and the shard text writer.
 
-Features are standard normal (``randn``), the label is ``score > 0`` with the reference's
+Features are standard normal (Box-Muller over a hash of seed, row and slot), the label is ``score > 0`` with the reference's
 score ``0.5*x0 + 0.3*x1 - 0.2*x2 + 0.1*x3`` (slots past the fourth weigh 0), and lines are
 ``%.4f`` features then a ``%.1f`` label, space separated. Spark's generator is not
 Python's ``random``, so values differ from the reference's files; the rule is the same.
@@ -8,6 +8,9 @@ Python's ``random``, so values differ from the reference's files; the rule is th
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +37,26 @@ def label_by_score(samples: DataFrame) -> DataFrame:
     return samples.withColumn("y", F.when(score("x") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def with_gaussian_features(rows: DataFrame, k: int = N_FEATURES, seed: int = SEED) -> DataFrame:
-    """Add ``x``: k independent standard normal draws per row (one ``randn`` per slot)."""
-    return rows.withColumn("x", F.array(*[F.randn(seed + j) for j in range(int(k))]))
+#: Draws of one seed, row and slot: 13 hex digits of a digest are 52 bits of a uniform.
+DIGITS = 13
+
+
+def _uniform(key: Column, part: int) -> Column:
+    """In (0, 1), from one half of the digest of ``key``."""
+    bits = F.conv(F.substring(F.md5(key), 1 + part * DIGITS, DIGITS), 16, 10).cast("double")
+    return (bits + 0.5) / float(16**DIGITS)
+
+
+def gaussian(row_key: Column, slot: int, seed: int = SEED) -> Column:
+    """A standard normal draw by Box-Muller from a hash of (seed, row key, slot): the same for
+    the same seed, whatever the partitioning or the engine."""
+    key = F.concat_ws(":", F.lit(str(int(seed))), row_key.cast("string"), F.lit(str(int(slot))))
+    return F.sqrt(F.log(_uniform(key, 0)) * -2.0) * F.cos(_uniform(key, 1) * (2 * math.pi))
+
+
+def with_gaussian_features(rows: DataFrame, k: int = N_FEATURES, seed: int = SEED, row_key: str = "row_id") -> DataFrame:
+    """Add ``x``: k independent standard normal draws per row, keyed by ``row_key``."""
+    return rows.withColumn("x", F.array(*[gaussian(F.col(row_key), j, seed) for j in range(int(k))]))
 
 
 def generate_samples(
@@ -69,3 +89,15 @@ def write_shards(lines: DataFrame, path: str, mode: str = "errorifexists") -> st
     """
     lines.select("shard_id", "value").write.mode(mode).partitionBy("shard_id").text(path)
     return path
+
+
+def write_named_shards(lines: DataFrame, path: str, shard_ids: Iterable[int]) -> list[str]:
+    """Write the lines of each shard as ``path/shard_<id>.txt``, a folder of part files.
+
+    One scan per shard, so meant for the few shards of a configuration.
+    """
+    out = []
+    for i in shard_ids:
+        out.append(f"{path}/shard_{int(i)}.txt")
+        lines.where(F.col("shard_id") == int(i)).select("value").write.text(out[-1])
+    return out

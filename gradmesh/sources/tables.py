@@ -19,20 +19,8 @@ N_SHARDS = 3
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table. A parquet row group is the unit of scan parallelism, and the
-    test files hold a single row group, so a file with fewer row groups than the default
-    parallelism is spread round-robin; then all cores share the work. Inputs with enough
-    row groups or files are read in parallel splits as they are."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    want = spark.sparkContext.defaultParallelism
-    try:
-        import pyarrow.parquet as pq
-
-        groups = pq.ParquetFile(path).metadata.num_row_groups
-    except Exception:  # not a local single file: keep the scan's own splits
-        return df
-    return df.repartition(want) if groups < want else df
+    """Read one test table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _lineitem_shard() -> Column:
@@ -65,6 +53,18 @@ def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-LI with a run of its own for every customer: ``run_id`` is the order's customer."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("bigint").alias("run_id"))
+    samples = lineitem_samples(spark, sf_dir).withColumn("o_orderkey", F.floor(F.col("row_id") / 8))
+    return samples.join(orders, "o_orderkey").select("run_id", "shard_id", "x", "y")
+
+
+def wide_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-EMB twice over: 128 features, more than the reference's weight slots."""
+    return embedding_samples(spark, sf_dir).withColumn("x", F.concat("x", F.transform("x", lambda v: v * v)))
+
+
 def embedding_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-EMB: 64-d embeddings, label parity."""
     emb = read_table(spark, sf_dir, "embeddings")

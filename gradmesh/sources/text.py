@@ -13,12 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradmesh.functions.model import WEIGHT_SLOTS
 from gradmesh.functions.numeric import lenient_double, tokens
-from gradmesh.operators.broadcast import bounded_broadcast
 
-# Shard file naming (``shard_<id>.txt``) and the partition-folder form.
-SHARD_FILE_ID = r"shard_(\d+)\.txt$"
+# Shard file naming (``shard_<id>.txt``, a file or a folder of part files) and
+# the partition-folder form.
+SHARD_FILE_ID = r"shard_(\d+)\.txt(?:/[^/]*)?$"
 SHARD_DIR_ID = r"shard_id=(\d+)/[^/]*$"
 
 
@@ -27,23 +26,22 @@ def read_shards(spark: SparkSession, path: str | list[str]) -> DataFrame:
     (``shard_<id>.txt``) or from a ``shard_id=<id>`` folder (as ``partitionBy`` writes).
 
     Only ``\\n`` ends a line, so a ``\\r`` stays part of the line as in the reference.
-    Files whose path carries no shard id are not shards and are left out.
+    Lines of files whose path carries no shard id are kept with a NULL id; they come out as
+    rejects (``no_shard_id``), never as samples.
     """
-    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "false")
-    df = reader.text(path)
+    df = spark.read.option("lineSep", "\n").text(path)
     fpath = F.col("_metadata.file_path")
-    by_name = F.nullif(F.regexp_extract(fpath, SHARD_FILE_ID, 1), F.lit(""))
-    by_dir = F.nullif(F.regexp_extract(fpath, SHARD_DIR_ID, 1), F.lit(""))
-    sid = F.coalesce(by_name, by_dir).cast("int")
+    by_name = F.nullif(F.regexp_extract(fpath, SHARD_FILE_ID, 1), F.lit("")).cast("int")
     if "shard_id" in df.columns:  # partition discovery already gave the folder id
-        sid = F.coalesce(by_name.cast("int"), F.col("shard_id").cast("int"))
+        by_dir = F.col("shard_id").cast("int")
+    else:
+        by_dir = F.nullif(F.regexp_extract(fpath, SHARD_DIR_ID, 1), F.lit("")).cast("int")
     pos = F.struct(
         fpath.alias("file"),
         F.col("_metadata.file_block_start").cast("bigint").alias("file_block_start"),
         F.monotonically_increasing_id().alias("id"),
     )
-    out = df.select(sid.alias("shard_id"), pos.alias("pos"), F.col("value"))
-    return out.where(F.col("shard_id").isNotNull())
+    return df.select(F.coalesce(by_name, by_dir).alias("shard_id"), pos.alias("pos"), F.col("value"))
 
 
 def data_lines(lines: DataFrame) -> DataFrame:
@@ -58,62 +56,61 @@ def tokenize(lines: DataFrame) -> DataFrame:
     return lines.withColumn("tok", tokens("value")).withColumn("n_tok", F.size("tok"))
 
 
-def shard_schema(tok_lines: DataFrame) -> DataFrame:
+def shard_schema(lines: DataFrame) -> DataFrame:
     """Per shard, ``width`` = token count of the first data line that has a token,
     ``n_lines`` = data lines; ``accepted`` when there is a line and ``width >= 2``.
 
-    One grouped aggregate (partial then final), so a huge shard is not one task.
+    One grouped aggregate (partial then final), so a huge shard is not one task; only the
+    line it finds is split, one per shard.
     """
-    first_pos = F.when(F.col("n_tok") > 0, F.col("pos"))
-    agg = tok_lines.groupBy("shard_id").agg(
-        F.min_by("n_tok", first_pos).alias("width"),
+    has_token = F.translate("value", " \t\n", "") != ""
+    agg = lines.where(F.col("shard_id").isNotNull()).groupBy("shard_id").agg(
+        F.min_by("value", F.when(has_token, F.col("pos"))).alias("first"),
         F.count(F.lit(1)).alias("n_lines"),
     )
-    width = F.coalesce(F.col("width"), F.lit(0)).cast("int")
-    return agg.select(
-        "shard_id", width.alias("width"), "n_lines",
-        ((F.col("n_lines") > 0) & (width >= 2)).alias("accepted"),
-    )
+    width = F.coalesce(F.size(tokens("first")), F.lit(0))
+    width = F.when(F.col("first").isNull(), 0).otherwise(width).cast("int")
+    return agg.select("shard_id", width.alias("width"), "n_lines").withColumn("accepted", (F.col("n_lines") > 0) & (F.col("width") >= 2))
 
 
-def _with_schema(tok_lines: DataFrame, schema: DataFrame) -> DataFrame:
-    side, _ = bounded_broadcast(schema.select("shard_id", "width", "accepted"))
-    return tok_lines.join(side, "shard_id", "left")
+def _with_schema(lines: DataFrame, schema: DataFrame) -> DataFrame:
+    """Tokens and the shard's width on every line. The per-shard side is planned by its size."""
+    return tokenize(lines.join(schema.select("shard_id", "width", "accepted"), "shard_id", "left"))
 
 
-def parse_samples(tok_lines: DataFrame, schema: DataFrame, max_features: int = WEIGHT_SLOTS) -> DataFrame:
-    """S6 + S8 for accepted shards: ``x`` = first ``width-1`` tokens read leniently (then
-    clamped to ``max_features``), ``y`` = token ``width``; extra tokens are ignored.
-    Rows with fewer than ``width`` tokens are rejects (see ``rejected_lines``)."""
-    j = _with_schema(tok_lines, schema).where(F.col("accepted") & (F.col("n_tok") >= F.col("width")))
-    feats = F.slice("tok", F.lit(1), F.col("width") - 1)
-    x = F.transform(feats, lambda t: lenient_double(t))
+def parse_samples(lines: DataFrame, schema: DataFrame, max_features: int | None = None) -> DataFrame:
+    """S6 for the data lines of accepted shards: ``x`` = first ``width-1`` tokens read leniently,
+    ``y`` = token ``width``; extra tokens are ignored. Rows with fewer than ``width`` tokens
+    are rejects (see ``rejected_lines``). S8: ``max_features``, if given, clamps ``x``."""
+    j = _with_schema(lines, schema).where(F.col("accepted") & (F.col("n_tok") >= F.col("width")))
+    n = F.col("width") - 1 if max_features is None else F.least(F.col("width") - 1, F.lit(int(max_features)))
     return j.select(
         "shard_id", "pos",
-        F.slice(x, 1, int(max_features)).alias("x"),
+        F.transform(F.slice("tok", F.lit(1), n), lenient_double).alias("x"),
         lenient_double(F.element_at("tok", F.col("width"))).alias("y"),
     )
 
 
-def rejected_lines(tok_lines: DataFrame, schema: DataFrame) -> DataFrame:
-    """Data lines that do not become samples, with a reason:
-    ``shard_rejected`` (no usable width) or ``short_row`` (fewer tokens than the width)."""
-    j = _with_schema(tok_lines, schema)
-    reason = F.when(~F.col("accepted"), F.lit("shard_rejected")).when(
+def rejected_lines(lines: DataFrame, schema: DataFrame) -> DataFrame:
+    """Data lines that do not become samples, with a reason: ``no_shard_id`` (the file's
+    name carries none), ``shard_rejected`` (no usable width) or ``short_row`` (fewer tokens
+    than the width)."""
+    j = _with_schema(lines, schema)
+    reason = F.when(F.col("shard_id").isNull(), F.lit("no_shard_id")).when(~F.col("accepted"), F.lit("shard_rejected")).when(
         F.col("n_tok") < F.col("width"), F.lit("short_row")
     )
     return j.select("shard_id", "pos", "value", "n_tok", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def load_shards(
-    spark: SparkSession, path: str | list[str], max_features: int = WEIGHT_SLOTS
+    spark: SparkSession, path: str | list[str], max_features: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S1-S8 end to end: ``(samples, rejects, schema)`` from shard files."""
     return lines_to_samples(read_shards(spark, path), max_features)
 
 
-def lines_to_samples(lines: DataFrame, max_features: int = WEIGHT_SLOTS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def lines_to_samples(lines: DataFrame, max_features: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3-S8 over any lines frame: ``(samples, rejects, schema)``."""
-    tok = tokenize(data_lines(lines))
-    schema = shard_schema(tok)
-    return parse_samples(tok, schema, max_features), rejected_lines(tok, schema), schema
+    kept = data_lines(lines)
+    schema = shard_schema(kept)
+    return parse_samples(kept, schema, max_features), rejected_lines(kept, schema), schema

@@ -1,108 +1,107 @@
 """The control fold on an unbounded command stream (Structured Streaming).
 
-State per run ``(paused, boundary, terminated)`` is kept by ``applyInPandasWithState``;
-each event is emitted once with its ``round_id``, ``paused_before`` and ``effective`` flags,
-exactly as the batch fold (``gradmesh.operators.control.command_rounds``) numbers a log
-that was fully queued. Within a micro-batch a run's events are ordered by ``seq``; across
-micro-batches arrival order is kept, as a FIFO does.
-
-The state is O(1) per run. A run's events of one micro-batch are handled by one task
-(that is what per-key state means); the trigger's ``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger`` bounds how many that is.
+Each micro-batch is folded by the batch scan (``gradmesh.operators.control``), whose chunks
+split a hot run over tasks; what a run carries from batch to batch is one small row:
+``(paused, boundary, lr, terminated, opened)``. Batch n reads the carry of batch n-1 and
+writes its events, its progress queries' answers and the new carry to folders of its own
+number, overwriting what an earlier attempt left: a restarted query repeats a batch with the
+same result. Carries and output live under ``spark.checkpoint.dir``, and the trigger's
+``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` bound a batch.
+
+Within a micro-batch a run's events are ordered by ``seq``; across micro-batches arrival
+order is kept, as a FIFO does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from gradmesh.operators.control import PAUSE, RESUME, TERMINATE
+from gradmesh.functions.model import DEFAULT_LR
+from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, command_rounds, odd, start_gate
+from gradmesh.operators.scan import Running, chunked, running
 from gradmesh.session import shared_path
 
-OUTPUT_SCHEMA = (
-    "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE, paused_before BOOLEAN, "
-    "effective BOOLEAN, round_id INT"
-)
-STATE_SCHEMA = "paused BOOLEAN, boundary BIGINT, terminated BOOLEAN"
 CONTROL_SCHEMA = "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE"
+OUTPUT_SCHEMA = f"{CONTROL_SCHEMA}, paused_before BOOLEAN, effective BOOLEAN, round_id INT, lr DOUBLE"
+STATE_SCHEMA = "run_id BIGINT, paused BOOLEAN, boundary BIGINT, lr DOUBLE, terminated BOOLEAN, opened BOOLEAN"
 
 
-def fold_events(pdf: pd.DataFrame, paused: bool, boundary: int, terminated: bool):
-    """Vectorised fold of one run's ordered events from a given state.
+def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(rows, new carry)`` of one micro-batch of control events.
 
-    Returns ``(out, (paused, boundary, terminated))``.
+    Rows are those of ``command_rounds`` with ``lr``, the rate in force once the command is
+    taken. A run that was paused at the batch's start gets a PAUSE ahead of its events, so that
+    the batch fold sees it; rounds and rates then continue from the carry.
     """
-    import numpy as np
-
-    pdf = pdf[pdf["op"].notna()].sort_values("seq", kind="stable").reset_index(drop=True)
-    if terminated or pdf.empty:
-        return pdf.iloc[0:0], (paused, boundary, terminated)
-    is_term = (pdf["op"] == TERMINATE).to_numpy()
-    if is_term.any():
-        pdf = pdf.iloc[: int(np.argmax(is_term)) + 1]
-        terminated = True
-    op = pdf["op"].to_numpy()
-    pos = np.arange(len(pdf), dtype=np.int64)
-    # Last PAUSE/RESUME marker: larger position wins, low bit = PAUSE; the start state
-    # ranks below every marker of this batch.
-    marker = np.where(op == PAUSE, (pos + 1) * 2 + 1, np.where(op == RESUME, (pos + 1) * 2, -1))
-    start = 1 if paused else 0
-    before = np.maximum.accumulate(np.concatenate([[start], marker]))[:-1]
-    paused_before = (before % 2) == 1
-    starts = (~paused_before).astype(np.int64)
-    round_id = boundary + np.cumsum(starts) - 1
-    out = pd.DataFrame(
-        {
-            "run_id": pdf["run_id"].astype("int64").to_numpy(),
-            "seq": pdf["seq"].astype("int64").to_numpy(),
-            "op": op,
-            "new_lr": pdf["new_lr"].astype("float64").to_numpy(),
-            "paused_before": paused_before,
-            "effective": (~paused_before) | np.isin(op, [RESUME, TERMINATE]),
-            "round_id": round_id.astype("int32"),
-        }
-    )
-    last = max(start, int(marker.max())) if len(marker) else start
-    return out, ((last % 2) == 1, int(boundary + starts.sum()), terminated)
-
-
-def _fold_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.exists:
-        paused, boundary, terminated = state.get
+    cols = (KEY, ORDER, "op", "new_lr")
+    events = events.where(F.col("op").isNotNull()).select(*cols)
+    # runs that have ended drop out; a gate still shut is looked for in this batch
+    live = events.join(carry.where("terminated").select(KEY), KEY, "left_anti")
+    if wait_for_start:
+        opened = carry.where("opened").select(KEY)
+        shut = live.join(opened, KEY, "left_anti")
+        rest, gates = start_gate(shut)
+        rows = live.join(opened, KEY, "left_semi").unionByName(rest)
+        gates = gates.where("gate_op IS NOT NULL").select(KEY, (F.col("gate_op") == RESUME).alias("gate_opened"))
+    else:
+        rows, gates = live, None
+    ahead = rows.groupBy(KEY).agg((F.min(ORDER) - 1).alias("_ahead")).join(carry.where("paused AND NOT terminated").select(KEY), KEY, "left_semi")
+    log = chunked(rows.unionByName(ahead.select(KEY, F.col("_ahead").alias(ORDER), F.lit(PAUSE).alias("op"), F.lit(None).cast("double").alias("new_lr"))), KEY, ORDER)
+    folded = command_rounds(log)
+    rate = F.when((F.col("op") == ADJUST_LR) & F.col("effective"), F.struct(ORDER, "new_lr"))
+    folded = running(folded, KEY, ORDER, [Running("_rate", "max", rate)])
+    before = carry.select(KEY, F.col("boundary").alias("_boundary"), F.col("lr").alias("_lr"), F.col("paused").alias("_paused"))
+    both = folded.join(before.join(ahead, KEY, "left"), KEY, "left")
+    # the PAUSE put ahead took boundary 0, which is the carried pause's own
+    start = F.coalesce("_boundary", F.lit(0)) - F.when(F.coalesce("_paused", F.lit(False)), 1).otherwise(0)
+    both = both.withColumns({
+        "round_id": (F.col("round_id") + start).cast("int"),
+        "lr": F.coalesce(F.col("_rate.new_lr"), F.col("_lr"), F.lit(float(lr))),
+    })
+    out = both.where(F.col("_ahead").isNull() | (F.col(ORDER) > F.col("_ahead"))).select(*cols, "paused_before", "effective", "round_id", "lr")
+
+    marker = F.when(F.col("op") == PAUSE, F.col(ORDER) * 2 + 1).when(F.col("op") == RESUME, F.col(ORDER) * 2)
+    ends = both.groupBy(KEY).agg(
+        F.coalesce(odd(F.max(marker)), F.lit(False)).alias("paused"), (F.max("round_id") + 1).cast("bigint").alias("boundary"),
+        F.max_by("lr", ORDER).alias("lr"), F.bool_or(F.col("op") == TERMINATE).alias("terminated"),
+    )
+    old = carry.select(KEY, *[F.col(c).alias(f"_{c}") for c in ("paused", "boundary", "lr", "terminated", "opened")])
+    new = ends.join(old, KEY, "full")
+    if gates is not None:
+        new = new.join(gates, KEY, "full")
     else:
-        paused, boundary, terminated = False, 0, False
-    pdf = pd.concat(list(batches), ignore_index=True)
-    out, new_state = fold_events(pdf, bool(paused), int(boundary), bool(terminated))
-    state.update(new_state)
-    if len(out):
-        yield out
+        new = new.withColumn("gate_opened", F.lit(True))
+    shut_for_good = F.coalesce(~F.col("gate_opened"), F.lit(False))
+    new = new.select(
+        KEY, F.coalesce("paused", "_paused", F.lit(False)).alias("paused"), F.coalesce("boundary", "_boundary", F.lit(0)).cast("bigint").alias("boundary"),
+        F.coalesce("lr", "_lr", F.lit(float(lr))).alias("lr"), (F.coalesce("terminated", F.lit(False)) | F.coalesce("_terminated", F.lit(False)) | shut_for_good).alias("terminated"),
+        (F.coalesce("_opened", F.lit(False)) | F.coalesce("gate_opened", F.lit(False))).alias("opened"),
+    )
+    return out, new
 
 
-def control_fold(events: DataFrame) -> DataFrame:
-    """Streaming (or batch) control events -> per-event fold rows (``OUTPUT_SCHEMA``)."""
-    return events.select("run_id", "seq", "op", "new_lr").groupBy("run_id").applyInPandasWithState(
-        _fold_group, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
+def _carry(spark: SparkSession, base: str, batch_id: int) -> DataFrame:
+    if batch_id < 0:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(f"{base}/carry/{batch_id}")
 
 
-def run_to_table(stream: DataFrame, spark: SparkSession, name: str = "control_stream") -> DataFrame:
-    """Drain a streaming fold with ``availableNow`` into parquet in the shared folder.
+def run_to_table(stream: DataFrame, spark: SparkSession, base: str | None = None, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> DataFrame:
+    """Drains a stream of control events with ``availableNow`` and returns all rows so far.
 
-    The sink and the checkpoint both live under ``spark.checkpoint.dir`` so a restarted
-    driver or lost executor resumes from the committed offsets and state.
+    ``base`` is the folder of the query's checkpoint, carries and output, a fresh one in the
+    shared folder if not given; called again with the same folder it goes on where it stopped.
+    Batch numbers come from the checkpoint, so they are without gaps from 0.
     """
-    base = shared_path(spark, name)
-    q = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.schema(OUTPUT_SCHEMA).parquet(f"{base}/out")
+    base = base or shared_path(spark, "control_stream")
+    spark.createDataFrame([], OUTPUT_SCHEMA).write.mode("ignore").parquet(f"{base}/out/batch=-1")
+
+    def fold(events: DataFrame, batch_id: int) -> None:
+        out, new = fold_batch(events, _carry(events.sparkSession, base, batch_id - 1), lr, wait_for_start)
+        out.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+        new.write.mode("overwrite").parquet(f"{base}/carry/{batch_id}")
+
+    query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(f"{OUTPUT_SCHEMA}, batch INT").parquet(f"{base}/out").drop("batch")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradmesh.functions.numeric import lenient_double, lenient_int
+from gradmesh.plans import training as TR
 from gradmesh.sources import generator as GEN
 from gradmesh.sources import text as TX
 
@@ -47,14 +48,14 @@ def test_p4_single_column_shard_rejected(spark):
 
 
 def test_lenient_numbers(spark):
-    toks = ["1e", "1.5e3x", "inf", "-Infinity", "abc", ".5", "+3", "1.", "-", "0x1A", " 7", "2.5\r"]
+    toks = ["1e", "1.5e3x", "inf", "-Infinity", "abc", ".5", "+3", "1.", "-", "0x1A", " 7", "2.5\r", "1.2.3", "+-5", "1d", "", "5-"]
     df = spark.createDataFrame([(t,) for t in toks], "t STRING")
     got = [r.v for r in df.select(lenient_double("t").alias("v")).collect()]
     assert got[:3] == [1.0, 1500.0, float("inf")]
     assert got[3] == float("-inf")
-    assert got[4:] == [0.0, 0.5, 3.0, 1.0, 0.0, 0.0, 7.0, 2.5]
-    nan = df.sparkSession.createDataFrame([("NaN",)], "t STRING").select(lenient_double("t").alias("v")).first().v
-    assert nan != nan
+    assert got[4:] == [0.0, 0.5, 3.0, 1.0, 0.0, 0.0, 7.0, 2.5, 1.2, 0.0, 1.0, 0.0, 5.0]
+    nans = spark.createDataFrame([("NaN",), ("-nan",), ("+NAN",), ("nanx",)], "t STRING").select(lenient_double("t").alias("v")).collect()
+    assert all(r.v != r.v for r in nans)
     ints = spark.createDataFrame([(t,) for t in ["2", " -3x", "abc", "2.9", "+5"]], "t STRING")
     assert [r.v for r in ints.select(lenient_int("t").alias("v")).collect()] == [2, -3, 0, 2, 5]
 
@@ -70,12 +71,42 @@ def test_read_shard_files(spark):
     samples, rejects, schema = TX.load_shards(spark, os.path.join(d, "*.txt"))
     got = sorted((r.shard_id, r.x, r.y) for r in samples.collect())
     assert got == [(1, [1.0, 2.0], 1.0), (1, [3.0, 4.0], 0.0), (2, [5.0, -1.0], 1.0)]
-    assert [(r.shard_id, r.value) for r in rejects.collect()] == [(2, "7 8")]
+    bad = sorted(((r.shard_id, r.value, r.reason) for r in rejects.collect()), key=str)
+    assert bad == [(2, "7 8", "short_row"), (None, "1 1 1", "no_shard_id")]
+    assert sorted(r.shard_id for r in schema.collect()) == [1, 2]
+    clamped, _, _ = TX.load_shards(spark, os.path.join(d, "*.txt"), max_features=1)
+    assert {len(r.x) for r in clamped.collect()} == {1}
+
+
+def test_named_shard_folders_and_misnamed_files(spark, tmp_path):
+    lines = spark.createDataFrame([(i, f"{i} {k} 1") for i in (1, 2) for k in range(5)], "shard_id INT, value STRING")
+    paths = GEN.write_named_shards(lines, str(tmp_path), [1, 2])
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["shard_1.txt", "shard_2.txt"]
+    (tmp_path / "shard_3.txt.bak").write_text("3 3 1\n")
+    back = TX.read_shards(spark, [*paths, str(tmp_path / "shard_3.txt.bak")])
+    assert sorted((r.shard_id, r.value) for r in back.where("shard_id IS NOT NULL").collect()) == sorted(map(tuple, lines.collect()))
+    assert [r.value for r in back.where("shard_id IS NULL").collect()] == ["3 3 1"]
+
+
+def test_text_to_training_leaves_a_failed_load_out(spark, tmp_path):
+    (tmp_path / "shard_1.txt").write_text("# h\n1 2 1\n3 4 0\n")
+    (tmp_path / "shard_2.txt").write_text("5 -1 1\n")
+    (tmp_path / "shard_3.txt").write_text("7\n8\n")
+    samples, rejects, schema = TX.load_shards(spark, str(tmp_path / "*.txt"))
+    h = sorted(TR.train(samples, rounds=2).history.collect(), key=lambda r: r.round_id)
+    assert [r.responses for r in h] == [2, 2]
+    assert h[0].w == pytest.approx([0.01, -0.005], abs=1e-15)
+    assert {r.reason for r in rejects.collect()} == {"shard_rejected"}
 
 
 def test_generator_roundtrip(spark):
     s = GEN.generate_samples(spark, n_shards=3, per_shard=40, k=4, seed=7)
     rows = s.collect()
+    again = GEN.with_gaussian_features(spark.range(120).withColumnRenamed("id", "row_id").repartition(7), 4, 7)
+    assert sorted(tuple(r.x) for r in again.collect()) == sorted(tuple(r.x) for r in rows)
+    draws = [v for r in GEN.generate_samples(spark, per_shard=1500, k=2).collect() for v in r.x]
+    mean = sum(draws) / len(draws)
+    assert abs(mean) < 0.05 and abs(sum((v - mean) ** 2 for v in draws) / len(draws) - 1) < 0.08
     assert len(rows) == 120
     for r in rows:
         score = 0.5 * r.x[0] + 0.3 * r.x[1] - 0.2 * r.x[2] + 0.1 * r.x[3]
