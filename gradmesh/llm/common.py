@@ -21,7 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)`` only, null texts empty: no other column of ``docs`` can clash."""
-    return docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return docs.select(docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until none is a column of ``df`` (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

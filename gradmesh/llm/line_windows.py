@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradmesh.llm.common import WS, written
+from gradmesh.llm.common import WS, fresh, written
 
 SIZE = 3
 
@@ -83,11 +83,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``length_col``, if given, is set to the new text's length in code points.
     """
-    spans = later_places(written(line_windows(docs, id_col, text_col), "line-windows"))
-    spans = spans.select(spans["doc_id"].alias("_id"), spans["th"].alias("_th"), spans["spans"].alias("_spans"))
-    keyed = docs.select(*docs.columns, F.xxhash64(docs[text_col]).alias("_h"))
-    both = keyed.join(spans, (keyed[id_col] == spans["_id"]) & (keyed["_h"] == spans["_th"]), "left")
-    text = F.when(F.col("_spans").isNull(), keyed[text_col]).otherwise(without_spans(keyed[text_col], F.col("_spans")))
-    out = both.withColumn("_new", text)
-    change = {text_col: F.col("_new")} | ({length_col: F.length("_new").cast(docs.schema[length_col].dataType)} if length_col else {})
-    return out.select(*(change[c].alias(c) if c in change else keyed[c] for c in docs.columns))
+    h, at, th, spans, new = fresh(docs, "row_hash", "span_id", "span_hash", "spans", "new_text")
+    later = later_places(written(line_windows(docs, id_col, text_col), "line-windows"))
+    later = later.select(later["doc_id"].alias(at), later["th"].alias(th), later["spans"].alias(spans))
+    keyed = docs.withColumn(h, F.xxhash64(docs[text_col]))
+    both = keyed.join(later, (keyed[id_col] == later[at]) & (keyed[h] == later[th]), "left")
+    out = both.withColumn(new, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(without_spans(F.col(text_col), F.col(spans))))
+    change = {text_col: F.col(new)} | ({length_col: F.length(new).cast(docs.schema[length_col].dataType)} if length_col else {})
+    return out.select(*(change.get(c, F.col(c)).alias(c) for c in docs.columns))

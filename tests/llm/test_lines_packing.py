@@ -30,11 +30,11 @@ def test_lines_equal_brute_force(spark):
     rng = random.Random(5)
     rows = [(k, "\n".join(rng.choice(["a", " b ", "c", "", " ", "d\r", f"u{rng.randrange(40)}"]) for _ in range(rng.randrange(25)))) for k in range(120)]
     rows += [(200, None), (201, ""), (202, "x\n" * 4000), (203, "x\nx\nx"), (None, "a\nc\na\nc\na")]
-    df = spark.createDataFrame([(i, t, 7, "x", "y") for i, t in rows], "doc_id long, text string, n_chars int, spans string, _id string")
+    df = spark.createDataFrame([(i, t, 7, "x", "y") for i, t in rows], "doc_id long, text string, n_chars int, spans string, Row_Hash string")
     got = W.dedup_lines(df, length_col="n_chars")
     assert got.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(brute_lines(rows), key=str)
-    assert all(r.n_chars == (None if r.text is None else len(r.text)) and r._id == "y" for r in got.collect())
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) and r.Row_Hash == "y" for r in got.collect())
     before, after = ({x.strip(WS) for _, t in rs if t for x in t.split("\n")} for rs in (rows, [(r.doc_id, r.text) for r in got.collect()]))
     assert before - {""} == after - {""}  # each distinct line survives
 
