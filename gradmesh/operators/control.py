@@ -63,6 +63,14 @@ def _roles(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_commands(lines: DataFrame) -> DataFrame:
+    """The lines that are commands, up to the one that ends the log: ``code``, ``following``
+    (for code 2 its value's text, NULL while that has not come) and ``ends``."""
+    cmds = _roles(lines).where(~F.col("is_value")).withColumn("ends", (F.col("code") < 0) | (F.col("code") == 5))
+    cmds = running(cmds, KEY, ORDER, [Running("ended", "sum", F.col("ends").cast("int"), inclusive=False)])
+    return cmds.where(F.col("ended") == 0).select(KEY, ORDER, "code", "following", "ends", CHUNK)
+
+
 def decode_commands(lines: DataFrame) -> DataFrame:
     """Raw console lines ``(run_id, seq, value)`` -> ``(run_id, seq, op, new_lr)``.
 
@@ -72,15 +80,16 @@ def decode_commands(lines: DataFrame) -> DataFrame:
     inside such a run lines alternate command / value, and the line after an odd-length
     run is a value. A trailing "2" with no value line yet is not a command yet.
     """
-    cmds = _roles(lines).where(~F.col("is_value"))
-    ends = ((F.col("code") < 0) | (F.col("code") == 5)).cast("int")
-    cmds = running(cmds, KEY, ORDER, [Running("ended", "sum", ends, inclusive=False)])
+    return _without_chunk(as_control(read_commands(lines)), lines)
+
+
+def as_control(commands: DataFrame) -> DataFrame:
+    """Control events of :func:`read_commands`, without a "2" that waits for its value."""
     pending = (F.col("code") == 2) & F.col("following").isNull()
     op = F.create_map(*[x for k, v in MENU.items() for x in (F.lit(k).cast("bigint"), F.lit(v))])[F.col("code")]
-    out = cmds.where((F.col("ended") == 0) & (F.col("code") >= 0) & ~pending).select(
+    return commands.where((F.col("code") >= 0) & ~pending).select(
         KEY, ORDER, op.alias("op"), F.when(F.col("code") == 2, lenient_double("following")).alias("new_lr"), CHUNK
     )
-    return _without_chunk(out, lines)
 
 
 # ---- C7 ----------------------------------------------------------------------------------

@@ -621,8 +621,8 @@ def q_train_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hist_exploded(TR.train(TB.lineitem_samples(spark, sf_dir), live=live, on_round=arrive, partitions=_cores(spark)).history)
 
 
-def _stream_sql(gate: bool) -> str:
-    ctl = O.gate_sql(O.ctl_sql())[0] if gate else O.ctl_sql()
+def _stream_sql(gate: bool, ctl: str | None = None) -> str:
+    ctl = ctl or (O.gate_sql(O.ctl_sql())[0] if gate else O.ctl_sql())
     return (
         "SELECT run_id, seq, op, round_id, CAST(paused_before AS INTEGER) AS paused_before, " + O.r8(
             "coalesce(last_value(CASE WHEN op = 'ADJUST_LR' AND effective THEN new_lr END IGNORE NULLS) OVER (PARTITION BY run_id ORDER BY seq), 0.01)"
@@ -630,7 +630,7 @@ def _stream_sql(gate: bool) -> str:
     )
 
 
-def _stream_rows(spark: SparkSession, sf_dir: str, wait_for_start: bool) -> DataFrame:
+def _stream_rows(spark: SparkSession, sf_dir: str, wait_for_start: bool, mapped: Callable[[DataFrame], DataFrame] = TB.control_from_events) -> DataFrame:
     """The events table arrives in four parts, in order; the stream is drained after each."""
     events = TB.read_table(spark, sf_dir, "events")
     path, base = shared_path(spark, "events"), shared_path(spark, "control_stream")
@@ -640,7 +640,7 @@ def _stream_rows(spark: SparkSession, sf_dir: str, wait_for_start: bool) -> Data
     for i in range(4):
         events.where(part == i).write.mode("append").parquet(path)
         raw = spark.readStream.schema(events.schema).parquet(path)
-        out = run_to_table(TB.control_from_events(raw), spark, base, wait_for_start=wait_for_start)
+        out = run_to_table(mapped(raw), spark, base, wait_for_start=wait_for_start)
     return out.select("run_id", "seq", "op", "round_id", F.col("paused_before").cast("int").alias("paused_before"), r8("lr").alias("lr"))
 
 
@@ -654,3 +654,9 @@ def q_control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_control_stream_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C8 with the start gate."""
     return _stream_rows(spark, sf_dir, True)
+
+
+@register("command_stream", lambda: _stream_sql(False, "SELECT * FROM (" + O.decode_sql(O.cmd_lines_sql()) + ") d WHERE op IS NOT NULL"))
+def q_command_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C8: raw console lines read as a stream."""
+    return _stream_rows(spark, sf_dir, False, TB.commands_from_events)

@@ -164,7 +164,11 @@ def control_from_events(ev: DataFrame) -> DataFrame:
 
 def events_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-CMD: raw menu lines, run = user, seq = event id."""
-    ev = read_table(spark, sf_dir, "events")
+    return commands_from_events(read_table(spark, sf_dir, "events"))
+
+
+def commands_from_events(ev: DataFrame) -> DataFrame:
+    """F-CMD mapping over an events frame (batch or streaming)."""
     et = F.col("event_type")
     value = (
         F.when(et == "purchase", F.lit("1"))

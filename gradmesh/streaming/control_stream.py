@@ -18,13 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradmesh.functions.model import DEFAULT_LR
-from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, command_rounds, odd, start_gate
-from gradmesh.operators.scan import Running, chunked, running
+from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, as_control, command_rounds, odd, read_commands, start_gate
+from gradmesh.operators.scan import CHUNK, Running, chunked, running
 from gradmesh.session import shared_path
 
 CONTROL_SCHEMA = "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE"
 OUTPUT_SCHEMA = f"{CONTROL_SCHEMA}, paused_before BOOLEAN, effective BOOLEAN, round_id INT, lr DOUBLE"
-STATE_SCHEMA = "run_id BIGINT, paused BOOLEAN, boundary BIGINT, lr DOUBLE, terminated BOOLEAN, opened BOOLEAN"
+#: What a run carries from batch to batch: of its events, and of its console lines.
+CARRIES = {
+    "runs": "run_id BIGINT, paused BOOLEAN, boundary BIGINT, lr DOUBLE, terminated BOOLEAN, opened BOOLEAN",
+    "lines": "run_id BIGINT, pending BIGINT, ended BOOLEAN",
+}
 
 
 def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -81,26 +85,49 @@ def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait
     return out, new
 
 
-def _carry(spark: SparkSession, base: str, batch_id: int) -> DataFrame:
+def decode_batch(lines: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """C1 on a micro-batch of console lines: ``(control events, new carry)``.
+
+    Between lines a console either waits for a command or, behind a "2", for its value. Such a
+    "2" is carried and put ahead of the run's next lines; a run that has ended takes no more.
+    """
+    lines = lines.select(KEY, ORDER, "value").join(carry.where("ended").select(KEY), KEY, "left_anti")
+    waiting = carry.where("pending IS NOT NULL AND NOT ended").select(KEY, F.col("pending").alias(ORDER), F.lit("2").alias("value"))
+    commands = read_commands(chunked(lines.unionByName(waiting), KEY, ORDER))
+    pending = F.when((F.col("code") == 2) & F.col("following").isNull(), F.col(ORDER))
+    now = commands.groupBy(KEY).agg(F.max(pending).alias("pending"), F.bool_or("ends").alias("ended"))
+    done = carry.where("ended").join(now.select(KEY), KEY, "left_anti").select(KEY, "pending", "ended")
+    return as_control(commands).drop(CHUNK), now.unionByName(done)
+
+
+def _carry(spark: SparkSession, base: str, kind: str, batch_id: int) -> DataFrame:
     if batch_id < 0:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(f"{base}/carry/{batch_id}")
+        return spark.createDataFrame([], CARRIES[kind])
+    return spark.read.schema(CARRIES[kind]).parquet(f"{base}/{kind}/{batch_id}")
 
 
 def run_to_table(stream: DataFrame, spark: SparkSession, base: str | None = None, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> DataFrame:
-    """Drains a stream of control events with ``availableNow`` and returns all rows so far.
+    """Drains a stream with ``availableNow`` and returns all rows so far.
 
-    ``base`` is the folder of the query's checkpoint, carries and output, a fresh one in the
-    shared folder if not given; called again with the same folder it goes on where it stopped.
-    Batch numbers come from the checkpoint, so they are without gaps from 0.
+    The stream has control events, or console lines (``run_id, seq, value``), which are decoded
+    first. ``base`` is the folder of the query's checkpoint, carries and output, a fresh one in
+    the shared folder if not given; called again with the same folder it goes on where it
+    stopped. Batch numbers come from the checkpoint, so they are without gaps from 0.
     """
     base = base or shared_path(spark, "control_stream")
     spark.createDataFrame([], OUTPUT_SCHEMA).write.mode("ignore").parquet(f"{base}/out/batch=-1")
-
-    def fold(events: DataFrame, batch_id: int) -> None:
-        out, new = fold_batch(events, _carry(events.sparkSession, base, batch_id - 1), lr, wait_for_start)
+    is_lines = "value" in stream.columns
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if is_lines:
+            events, waiting = decode_batch(batch, _carry(session, base, "lines", batch_id - 1))
+            waiting.write.mode("overwrite").parquet(f"{base}/lines/{batch_id}")
+        else:
+            events = batch
+        out, new = fold_batch(events, _carry(session, base, "runs", batch_id - 1), lr, wait_for_start)
         out.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
-        new.write.mode("overwrite").parquet(f"{base}/carry/{batch_id}")
+        new.write.mode("overwrite").parquet(f"{base}/runs/{batch_id}")
 
     query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()

@@ -236,3 +236,20 @@ def test_stream_equals_sequential_reading(spark, tmp_path, gated):
     got = by_run([(r.run_id, r.seq, r.op, r.round_id, r.paused_before, r.effective, r.lr) for r in out.collect()])
     want = {run: read_log(events, gated=gated)[0] for run, events in by_run(rows).items()}
     assert got == {run: w for run, w in want.items() if w}
+
+
+def test_line_stream_equals_sequential_reading(spark, tmp_path):
+    """Console lines cut anywhere, also between a "2" and its value."""
+    rnd = random.Random(21)
+    logs = {run: [rnd.choice(["2", "2", "1", "3", "4", "0.5", "x", "-0.5"]) for _ in range(rnd.randint(1, 25))] for run in range(60)}
+    for run in range(0, 60, 4):
+        logs[run].insert(rnd.randrange(len(logs[run]) + 1), rnd.choice(["5", "-1"]))
+    rows = [(run, k, v) for run, log in logs.items() for k, v in enumerate(log)]
+    schema = "run_id BIGINT, seq BIGINT, value STRING"
+    src, base, out = str(tmp_path / "src"), str(tmp_path / "query"), None
+    for low, high in ((0, 4), (4, 5), (5, 100)):
+        spark.createDataFrame([r for r in rows if low <= r[1] < high], schema).write.mode("append").parquet(src)
+        out = run_to_table(spark.readStream.schema(schema).parquet(src), spark, base)
+    got = by_run([(r.run_id, r.seq, r.op, r.round_id, r.paused_before, r.effective, r.lr) for r in out.collect()])
+    want = {run: read_log(read_lines(log))[0] for run, log in logs.items()}
+    assert got == {run: w for run, w in want.items() if w}
