@@ -6,7 +6,7 @@ tokens before give a vector ``r = E[c1] @ C1 + E[c2] @ C2``, and ``P(w | c1, c2)
 of ``r @ Q[w] + b[w]``. Words outside the vocabulary share their class by smoothed frequency.
 
 * Counts: every training token is counted, by task and then by word. The most frequent
-  ``HEAD`` words are broadcast (that many at any size); scores of the others come by an
+  words, at most ``HEAD`` at any size, are broadcast; scores of the others come by an
   equi-join on the word, since the vocabulary of a corpus grows with it.
 * Training covers every training document, in ``ROUNDS`` disjoint parts. In a round each task
   trains a copy of the parameters in numpy over its documents (minibatches of distinct
@@ -255,7 +255,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def lexicon(counts: DataFrame) -> Lexicon:
     sums = counts.agg(F.sum("c").alias("n"), F.count("word").alias("v"), F.sum(F.when(F.col("word").isNull(), F.col("c"))).alias("d")).first()
-    top = counts.where("word IS NOT NULL").orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
+    # words by bucket of their count, 16 to a doubling: the highest buckets that fit in HEAD,
+    # so that no task sorts the words of all others
+    known = counts.where("word IS NOT NULL").withColumn("bucket", F.floor(F.log2("c") * 16))
+    room, least = HEAD, math.inf
+    for b in sorted(known.groupBy("bucket").agg(F.count("*").alias("n")).collect(), key=lambda b: -b["bucket"]):
+        room -= b["n"]
+        if room < 0:
+            break
+        least = b["bucket"]
+    top = known.where(F.col("bucket") >= F.lit(float(least))).select("word", "c").toArrow()
     top = top.sort_by([("c", "descending"), ("word", "ascending")])
     index = {w.encode(): k for k, w in enumerate(top.column("word").to_pylist())}
     n_docs = sums["d"] or 0
