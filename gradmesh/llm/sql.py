@@ -1,5 +1,6 @@
 """DuckDB SQL of the corpus queries that SQL can express."""
 
+from gradmesh.llm import url_templates as U
 from gradmesh.llm.template_leaks import PUNCTUATION, UNITS
 
 RULES = r"""
@@ -55,19 +56,18 @@ def _template_windows(id_col: str, source: str) -> str:
     return rf"""
   SELECT id, row_number() OVER d - 1 AS pos, count(*) OVER five AS n,
          string_agg(slot, ' ') OVER five AS h,
-         list(CASE WHEN slot IN ('<n>', '<u>', '<p>') THEN lower(x) END) OVER five AS vals,
+         list(CASE WHEN regexp_matches(slot, '[\x01-\x03]') THEN val END) OVER five AS vals,
          list(slot) OVER five AS slots
   FROM (
-    SELECT id, i, x, CASE
-      WHEN regexp_matches(x, '[0-9]') THEN '<n>'
-      WHEN lower(x) IN ({_UNIT_LIST}) AND regexp_matches(before, '[0-9]') THEN '<u>'
-      WHEN regexp_matches(x, '^\p{{Lu}}\p{{Ll}}') AND regexp_matches(before, '[\p{{Ll}},;]$') THEN '<p>'
-      ELSE lower(x) END AS slot
+    SELECT id, i, val, CASE WHEN val IN ({_UNIT_LIST}) AND suffix(lag(num) OVER (PARTITION BY id ORDER BY i), chr(2)) THEN chr(3) ELSE num END AS slot
     FROM (
-      SELECT id, i, trim(w, '{_PUNCTUATION}') AS x, lag(w) OVER (PARTITION BY id ORDER BY i) AS before
-      FROM (SELECT {id_col} AS id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
-            FROM (SELECT {id_col}, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws FROM {source})))
-    WHERE x <> '')
+      SELECT id, i, CASE WHEN name THEN chr(1) || x ELSE x END AS val, CASE WHEN name THEN chr(1) ELSE regexp_replace(x, '[0-9]+', chr(2), 'g') END AS num
+      FROM (
+        SELECT id, i, lower(translate(w, '{_PUNCTUATION}', '')) AS x,
+               coalesce(regexp_matches(w, '^\p{{Lu}}\p{{Ll}}') AND regexp_matches(lag(w) OVER (PARTITION BY id ORDER BY i), '[\p{{Ll}},;]$'), false) AS name
+        FROM (SELECT {id_col} AS id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+              FROM (SELECT {id_col}, string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]') AS ws FROM {source} WHERE {id_col} IS NOT NULL)))
+      WHERE x <> ''))
   WINDOW d AS (PARTITION BY id ORDER BY i), five AS (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)"""
 
 
@@ -75,7 +75,7 @@ LEAKS = rf"""
 WITH b AS (
   SELECT id, pos, h, list_filter(vals, lambda v: v IS NOT NULL) AS vals
   FROM ({_template_windows("item_id", "benchmark")})
-  WHERE n = 5 AND len(list_distinct(list_filter(slots, lambda v: v NOT IN ('<n>', '<u>', '<p>')))) >= 2),
+  WHERE n = 5 AND len(list_distinct(list_filter(slots, lambda v: NOT regexp_matches(v, '[\x01-\x03]')))) >= 2),
 d AS (SELECT id, pos, h, list_filter(vals, lambda v: v IS NOT NULL) AS vals FROM ({_template_windows("doc_id", "documents")}) WHERE n = 5),
 hit AS (SELECT d.id AS doc_id, b.id AS item_id, b.pos AS pos, d.pos - b.pos AS diagonal, b.vals AS bv, d.vals AS dv FROM d JOIN b ON d.h = b.h),
 pair AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(bv) AS x, unnest(dv) AS y FROM hit),
@@ -88,3 +88,49 @@ SELECT doc_id, item_id, count(DISTINCT pos) AS n_found, any_value(n_windows) AS
 FROM good JOIN (SELECT id, count(*) AS n_windows FROM b GROUP BY id) t ON t.id = item_id
 GROUP BY doc_id, item_id HAVING count(DISTINCT pos) >= 0.5 * any_value(n_windows)
 """
+
+
+def urls(rules: tuple[U.UrlRule, ...]) -> str:
+    """The URL query: rules, one block of CTEs for each level of the tree, purity."""
+    fits = lambda r: f"(host = '{r.host}' OR suffix(host, '.{r.host}')) AND prefix(path, '{r.path}')"
+    longest = sorted(rules, key=lambda r: -len(r.text))
+    case = lambda value: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{value(r)}'" for r in longest) + " END"
+    ctes = [
+        f"""split AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{U.UPPER}', '{U.LOWER}') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages))""",
+        f"ruled AS (SELECT *, {case(lambda r: r.text)} AS rule, {case(lambda r: r.action)} AS act FROM split)",
+        """p_0 AS (
+  SELECT host, path, count(*) AS n, count(*) FILTER (act = 'allow') AS good, count(*) FILTER (act = 'block') AS bad,
+         list_filter(string_split(path, '/'), lambda x: x <> '') AS segs, '' AS template
+  FROM ruled GROUP BY host, path)""",
+        "prior AS (SELECT CASE WHEN sum(good + bad) > 0 THEN sum(good) / sum(good + bad) ELSE 1.0 END AS p FROM p_0)",
+    ]
+    for d in range(U.MAX_DEPTH):
+        seg = f"segs[{d + 1}]"
+        mask = f"CASE WHEN regexp_matches({seg}, '^[0-9]+$') THEN '<n>' WHEN regexp_matches({seg}, '^[0-9a-f-]{{16,}}$') THEN '<hex>' ELSE regexp_replace({seg}, '[0-9]+', '<n>', 'g') END"
+        ctes += [
+            f"b_{d} AS (SELECT *, CASE WHEN len(segs) <= {d} THEN '' ELSE {mask} END AS branch FROM p_{d})",
+            f"s_{d} AS (SELECT host, template, branch, sum(n) AS n, sum(good) AS good, sum(bad) AS bad FROM b_{d} GROUP BY ALL)",
+            f"""f_{d} AS (
+  SELECT host, template, branch, CASE WHEN branch = '' THEN '' WHEN children >= {U.MIN_CHILDREN} AND total <= {U.MAX_REPEAT} * children THEN '*'
+    WHEN good + bad >= {U.MIN_LABELLED} THEN CASE WHEN z > {U.Z} THEN '{{bad}}' WHEN z < -{U.Z} THEN '{{good}}' ELSE '{{}}' END ELSE branch END AS fixed
+  FROM (SELECT *, CASE WHEN share > 0 AND share < 1 AND good + bad > 0 THEN (bad / (good + bad) - share) / sqrt(share * (1 - share) / (good + bad)) ELSE 0 END AS z
+        FROM (SELECT *, count(*) OVER w AS children, sum(n) OVER w AS total, CASE WHEN sum(good + bad) OVER w > 0 THEN sum(bad) OVER w / sum(good + bad) OVER w END AS share
+              FROM s_{d} WINDOW w AS (PARTITION BY host, template))))""",
+            f"""p_{d + 1} AS (
+  SELECT host, path, n, good, bad, segs, template || CASE WHEN fixed = '' THEN '' ELSE '/' || fixed END AS template FROM b_{d} JOIN f_{d} USING (host, template, branch))""",
+        ]
+    last = f"p_{U.MAX_DEPTH}"
+    ctes += [
+        f"ends AS (SELECT host, path, good, bad, template || CASE WHEN len(segs) > {U.MAX_DEPTH} THEN '/**' ELSE '' END AS template FROM {last})",
+        f"""t AS (
+  SELECT host, template, CASE WHEN sum(good + bad) > 0 THEN (sum(good) + {U.PSEUDO} * (SELECT p FROM prior)) / (sum(good + bad) + {U.PSEUDO}) END AS purity
+  FROM ends GROUP BY host, template)""",
+    ]
+    return (
+        "WITH " + ",\n".join(ctes) + f"""
+SELECT page_id, r.host, r.path, rule, ends.template, round(purity, 9) AS purity,
+       coalesce(act, CASE WHEN purity < {U.MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r JOIN ends ON r.host = ends.host AND r.path = ends.path JOIN t ON t.host = ends.host AND t.template = ends.template"""
+    )

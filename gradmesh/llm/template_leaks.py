@@ -1,9 +1,9 @@
 """Benchmark decontamination by templates (DataFrame functions only).
 
-Words become a template: numbers, units and names (capitalised inside a sentence) turn into
-typed placeholders, other words lose case and outer punctuation. Every window of ``SIZE``
-template words of the documents is hash-joined with those of the benchmark items. For the
-windows found, the values behind the placeholders are compared: along one diagonal (document
+Texts become templates: numbers, units behind a number and names (capitalised inside a
+sentence) turn into typed placeholders, the rest loses case and punctuation. Every window of
+``SIZE`` template words of the documents is hash-joined with those of the benchmark items. For
+the windows found, the values behind the placeholders are compared: along one diagonal (document
 position minus item position) the same value of the item must always stand for the same value
 of the document. So "Ann has 3 apples and eats 3" is found in "Bob has 5 apples and eats 5",
 but not in "Bob has 5 apples and eats 2".
@@ -12,9 +12,10 @@ An item leaks into a document if consistent diagonals cover at least ``min_cover
 distinct windows. Windows with fewer than ``MIN_LITERAL`` words besides placeholders say
 nothing and don't count.
 
-The documents' windows are never shuffled while the benchmark's windows are few enough to
-broadcast (``BROADCAST_WINDOWS``, counted); beyond that both sides are shuffled by hash. Either
-way the result is the same. Hits are aggregated per document and item.
+The benchmark's windows are broadcast while they are few (``BROADCAST_WINDOWS``, counted);
+beyond that both sides are shuffled by hash, with the same result. The documents' windows carry
+an id, a place, a hash and the values of their slots, if any; never the text. Hits are
+aggregated per document and item.
 
 Defined cases: null texts are empty; an item with fewer than ``SIZE`` words, or without a
 telling window or an id, is never found; rows without an id are kept and not reported; repeated rows
@@ -23,10 +24,12 @@ of one id are judged together; equal items are each reported; empty tables give
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradmesh.llm.common import texts, words, written
+from gradmesh.llm.common import WS, texts, words, written
 
 SIZE = 5
 MIN_LITERAL = 2
@@ -39,61 +42,69 @@ UNITS = (
     "dollar", "dollars", "cent", "cents", "euro", "euros", "percent", "meter", "meters", "metre", "metres", "mile", "miles", "hour", "hours",
     "minute", "minutes", "second", "seconds", "day", "days", "week", "weeks", "year", "years", "gram", "grams", "liter", "liters", "litre", "litres",
 )
-NUMBER, UNIT, NAME = "<n>", "<u>", "<p>"
-
+#: Placeholders: control characters, so that no word can be taken for one. A name's value
+#: keeps the mark in front.
+NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 
-def template(text: Column) -> Column:
-    """Array of (value, slot) of the words: the bare word, and the template word."""
-    ws = F.array(words(text))  # bound once for the lambda below
 
-    def of(all_words: Column) -> Column:
-        bare = F.transform(all_words, lambda w, i: F.struct(F.btrim(w, F.lit(PUNCTUATION)).alias("w"), F.get(all_words, i - 1).alias("before")))
-        return F.filter(bare, lambda x: x["w"] != "")
+def plain(text: Column) -> Column:
+    """Lower case without punctuation, names marked; its words are the values of the slots."""
+    marked = F.regexp_replace(text, rf"(?=\p{{Lu}}\p{{Ll}})(?<=[\p{{Ll}},;][{WS}])", NAME)
+    return F.lower(F.translate(marked, PUNCTUATION, ""))
 
-    def slot(x: Column) -> Column:
-        low = F.lower(x["w"])
-        unit = low.isin(*UNITS) & x["before"].rlike("[0-9]")
-        name = x["w"].rlike(r"^\p{Lu}\p{Ll}") & x["before"].rlike(r"[\p{Ll},;]$")
-        return F.when(x["w"].rlike("[0-9]"), NUMBER).when(F.coalesce(unit, F.lit(False)), UNIT).when(F.coalesce(name, F.lit(False)), NAME).otherwise(low)
 
-    bare = F.element_at(F.transform(ws, of), 1)
-    return F.transform(bare, lambda x: F.struct(F.lower(x["w"]).alias("value"), slot(x).alias("slot")))
+def template(plain_text: Column) -> Column:
+    """Array of template words, one for each word of the plain text."""
+    t = F.regexp_replace(F.regexp_replace(plain_text, rf"{NAME}\S*", NAME), "[0-9]+", NUMBER)
+    units = "|".join(map(re.escape, UNITS))
+    return words(F.regexp_replace(t, rf"{NUMBER}([{WS}]+)(?:{units})(?!\S)", f"{NUMBER}$1{UNIT}"))
 
 
 def _is_slot(word: Column) -> Column:
-    return word.isin(NUMBER, UNIT, NAME)
+    """Placeholders sort before all other characters; a number's may stand inside a word."""
+    return (word < "\x04") | word.contains(NUMBER)
+
+
+def _rows(table: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """``name, slots, words`` of the rows that have an id; ``words`` only where there is a slot."""
+    rows = texts(table, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").alias(name), plain(F.col("text")).alias("plain"))
+    rows = rows.withColumn("slots", template(F.col("plain")))
+    return rows.select(name, "slots", F.when(F.exists("slots", _is_slot), words(F.col("plain"))).alias("words"))
 
 
-def _values(words_: Column, at: Column, size: int) -> Column:
-    """The values behind the placeholders of the window that starts at ``at`` (from 0)."""
-    return F.transform(F.filter(F.slice(words_, at + 1, size), lambda x: _is_slot(x["slot"])), lambda x: x["value"])
+def _windows(rows: DataFrame, name: str, size: int) -> DataFrame:
+    """``name, at, h, window, values``: a row per window with the hash of its template words, and
+    the values behind its placeholders. (The outer form of explode spares a filter that would
+    work out the templates twice.)"""
 
+    def window(i: Column) -> Column:
+        part = F.slice("slots", i + 1, size)
+        both = F.arrays_zip(part.alias("slot"), F.slice("words", i + 1, size).alias("word"))
+        values = F.transform(F.filter(both, lambda x: _is_slot(x["slot"])), lambda x: x["word"])
+        some = F.col("words").isNotNull() & F.exists(part, _is_slot)
+        return F.struct(i.alias("at"), F.xxhash64(part).alias("h"), F.when(some, values).alias("values"))
 
-def _windows(rows: DataFrame, size: int) -> DataFrame:
-    """``rows`` with one row per window: ``at`` and the hash ``h`` of its template words."""
-    starts = F.sequence(F.lit(1), F.size("tw") - (size - 1))
-    hashes = F.when(F.size("tw") >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(F.col("slots"), i, size))))
-    with_slots = rows.withColumn("slots", F.transform("tw", lambda x: x["slot"]))
-    return with_slots.select(*rows.columns, F.posexplode(hashes).alias("at", "h"))
+    each = F.when(F.size("slots") >= size, F.transform(F.sequence(F.lit(0), F.size("slots") - size), window))
+    made = rows.select(name, F.explode_outer(each).alias("w")).where("w IS NOT NULL")
+    return made.select(name, "w.at", "w.h", F.coalesce("w.values", F.array().cast("array<string>")).alias("values"))
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """``item_id, item_at, h, item_values`` of the telling windows."""
-    rows = texts(items, id_col, text_col).select(F.col("doc_id").alias("item_id"), template(F.col("text")).alias("tw"))
-    made = _windows(rows, size)
-    literal = F.size(F.array_distinct(F.transform(F.filter(F.slice("tw", F.col("at") + 1, size), lambda x: ~_is_slot(x["slot"])), lambda x: x["slot"])))
-    return made.where(literal >= MIN_LITERAL).select("item_id", F.col("at").alias("item_at"), "h", _values(F.col("tw"), F.col("at"), size).alias("item_values"))
+    rows = _rows(items, id_col, text_col, "item_id")
+    literal = F.filter("slots", lambda w: ~_is_slot(w))
+    starts = F.sequence(F.lit(0), F.size("slots") - size)
+    telling = F.filter(starts, lambda i: F.size(F.array_distinct(F.filter(F.slice("slots", i + 1, size), lambda w: ~_is_slot(w)))) >= MIN_LITERAL)
+    kept = rows.where((F.size("slots") >= size) & (F.size(literal) >= MIN_LITERAL)).select("item_id", F.explode(telling).alias("at"))
+    made = _windows(rows, "item_id", size).join(kept.distinct(), ["item_id", "at"])
+    return made.select("item_id", F.col("at").alias("item_at"), "h", F.col("values").alias("item_values"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE, size: int = SIZE, broadcast_windows: int = BROADCAST_WINDOWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, n_found, n_windows, reparameterised`` of every leak."""
     bench = written(benchmark_windows(items, size=size), "benchmark-windows")
-    rows = texts(docs, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id", template(F.col("text")).alias("tw"))
-    made = _windows(rows, size)
-    if bench.count() <= broadcast_windows:
-        hits = made.join(F.broadcast(bench), "h").withColumn("values", _values(F.col("tw"), F.col("at"), size))
-    else:
-        hits = made.select("doc_id", "at", "h", _values(F.col("tw"), F.col("at"), size).alias("values")).join(bench, "h")
+    few = bench.count() <= broadcast_windows
+    hits = _windows(_rows(docs, id_col, text_col, "doc_id"), "doc_id", size).join(F.broadcast(bench) if few else bench, "h")
     pairs = F.arrays_zip(F.col("item_values").alias("a"), F.col("values").alias("b"))
     found = hits.where(F.size("item_values") == F.size("values")).select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), pairs.alias("pairs"))
     # per diagonal the values must map one to one way: as many pairs as item values
