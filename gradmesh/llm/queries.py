@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
@@ -53,9 +54,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.score_documents(docs, model)
 
 
-@query("op2_url_templates")
+@query("op2_url_templates", sql.urls(URL_RULES))
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter(table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filter(table(spark, sf_dir, "pages"), URL_RULES).withColumn("purity", F.round("purity", 9))
 
 
 @query("op5_template_leaks", sql.LEAKS)
