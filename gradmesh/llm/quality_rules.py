@@ -29,7 +29,7 @@ LOWER = UPPER.lower()
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -123,8 +123,13 @@ def default_rules(symbols: Column | None = None, dup_lines: Column | None = None
 
 
 def measure(feats: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
-    """Cost and selectivity of each rule on at most ``sample_rows`` rows."""
-    sample = feats.limit(sample_rows).persist()
+    """Cost and selectivity of each rule on at most ``sample_rows`` rows.
+
+    They are fetched as a take does, from as few partitions as hold that many: no task
+    gathers a share of every partition.
+    """
+    spark = feats.sparkSession
+    sample = spark.createDataFrame(feats.limit(sample_rows).collect(), feats.schema).persist()
     try:
         n = sample.count()
 
