@@ -15,10 +15,12 @@ are distinct. With m aligned k-mers the similarity is ``m / (n_a + n_b - m)``, 0
 Copies first: texts with equal words are one class whose smallest id stands for it, found by
 an aggregate, so copies are never paired. Within a bucket no pairs are formed either: all are
 compared with one hub, the member that shares most buckets overall (in a family of edited
-copies that is the least edited one). Members that stay apart from the hub's component get a
-hub of their own in the next round, against which all others outside its component are
-compared, and so on while a bucket has open members (at most ``MAX_ROUNDS``). Work per round
-is linear in the rows. Classes are connected components of the verified links.
+copies that is the least edited one). Members that stay outside the hub's component are open;
+in each later round up to four of them are hubs (``HUBS``), against which all members of
+other components are compared. So the work is linear in the rows. A link is found through a
+hub or directly; two similar texts neither of which is a hub in any of the buckets they share,
+and which no hub links, are missed: README has the measured figures. Classes are connected
+components of the verified links, carried from round to round by components, not texts.
 
 Defined cases: null text is empty; empty texts are copies of one another; a text of one to
 four words is one k-mer; rows without an id are classes of their own and always stay; repeated
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradmesh.llm.common import WordHash, mix, texts, written
@@ -44,7 +46,7 @@ SHINGLE = 5
 PICK = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-MAX_ROUNDS = 4
+HUBS = (1, 4, 4)  # of a bucket, round by round
 
 #: Odd multipliers, one per sketch: h -> h * m orders the k-mers anew each time.
 _MULTIPLIERS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -132,52 +134,72 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return texts(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, "doc_id bigint, digest binary, n bigint, sketches array<bigint>")
 
 
-def verified(pairs: DataFrame, found_texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts are similar."""
+def with_kmers(found: DataFrame) -> DataFrame:
+    """``doc_id, kmers`` of ``doc_id, text``: the labelled k-mers in text order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = WordHash()
-        last, hub = None, None
+        for b in batches:
+            kmers = [labelled_kmers(word.of(t.as_py())).view(np.int64) for t in b.column("text")]
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "kmers": pa.array(kmers, pa.list_(pa.int64()))})
+
+    return found.select("doc_id", "text").mapInArrow(run, "doc_id bigint, kmers array<bigint>")
+
+
+def verified(pairs: DataFrame, kmers: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs ``(a, b, ...)`` whose texts are similar.
+
+    The k-mers that two texts have in common, aligned or not, bound the similarity from above;
+    only pairs that pass this bound are aligned.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b, text in zip(batch.column("a_text"), batch.column("b").to_pylist(), batch.column("b_text"), strict=True):
-                if b != last:  # rows of one hub mostly follow one another
-                    last, hub = b, labelled_kmers(word.of(text.as_py()))
-                keep.append(similarity(labelled_kmers(word.of(a.as_py())), hub, least) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            both = zip(batch.column("a_kmers"), batch.column("b_kmers"), strict=True)
+            keep = [similarity(np.asarray(a.values), np.asarray(b.values), least) >= least for a, b in both]
+            yield batch.drop_columns(["a_kmers", "b_kmers"]).filter(pa.array(keep, pa.bool_()))
 
-    left = found_texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    right = found_texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text").mapInArrow(run, "a bigint, b bigint").distinct()
+    left = kmers.select(F.col("doc_id").alias("a"), F.col("kmers").alias("a_kmers"))
+    right = kmers.select(F.col("doc_id").alias("b"), F.col("kmers").alias("b_kmers"))
+    total, common = F.size("a_kmers") + F.size("b_kmers"), F.size(F.array_intersect("a_kmers", "b_kmers"))
+    both = pairs.join(left, "a").join(right, "b").where(common >= total * (least / (1 + least)) - 1e-9)
+    return both.select(*pairs.columns, "a_kmers", "b_kmers").mapInArrow(run, pairs.schema)
 
 
-def _round(places: DataFrame, found_texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """The hub of each bucket that has open members, and the new links to it.
+def _round(places: DataFrame, kmers: DataFrame, n_hubs: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """The hubs of the buckets that have open members, and the new links to them.
 
-    The hub is the open member with the highest score, ties to the smallest id. It meets all
-    members outside its component but earlier hubs, which have met it in their round.
+    Hubs are the open members with the highest scores, ties to the smallest id. They meet all
+    members outside their component but earlier hubs, which have met them in their round.
     """
-    best = F.max_by(F.struct("rep", "n", "component"), F.struct("score", -F.col("rep"))).alias("hub")
-    hubs = written(places.where("open").groupBy("bucket").agg(best), "omh-hubs")
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("score"), "rep"))
+    hubs = places.where("open").withColumn("rank", rank).where(F.col("rank") <= n_hubs)
+    hubs = written(hubs.select("bucket", F.struct("rep", "n", "component").alias("hub")), "omh-hubs")
     met = places.where("NOT was_hub").join(hubs, "bucket").where("component != hub.component")
     fits = (F.col("n") >= least * F.col("hub.n")) & (F.col("hub.n") >= least * F.col("n"))
-    pairs = met.where(fits).select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct()
-    return hubs, written(verified(pairs, found_texts, least), "omh-links")
+    pairs = met.where(fits).select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("component").alias("a_component"), F.col("hub.component").alias("b_component"))
+    return hubs, written(verified(pairs.distinct(), kmers, least), "omh-links")
+
+
+def _up(rows: DataFrame, step: DataFrame | None) -> DataFrame:
+    """``rows`` with the components that a step of :func:`components` gives theirs."""
+    if step is None:
+        return rows
+    to = step.select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    return rows.join(to, "component", "left").withColumn("component", F.coalesce("merged", "component")).drop("merged")
 
 
-def _settled(places: DataFrame, hubs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``places`` with new components; the hub's component is closed in its bucket."""
-    hub = hubs.select("bucket", F.col("hub.rep").alias("hub_rep"), F.col("hub.component").alias("hub_component"))
-    if labels is not None:
-        places = places.drop("component").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        hub = hub.select("bucket", "hub_rep").join(labels.select(F.col("node").alias("hub_rep"), F.col("component").alias("hub_component")), "hub_rep", "left")
-        hub = hub.withColumn("hub_component", F.coalesce("hub_component", "hub_rep"))
-    both = places.join(hub, "bucket", "left")
-    still = F.col("open") & F.col("hub_rep").isNotNull() & (F.col("component") != F.col("hub_component"))
-    return both.select("bucket", "rep", "n", "score", "component", still.alias("open"), (F.col("was_hub") | F.coalesce(F.col("rep") == F.col("hub_rep"), F.lit(False))).alias("was_hub"))
+def _settled(places: DataFrame, hubs: DataFrame, step: DataFrame | None) -> DataFrame:
+    """``places`` with new components; members in a component of a hub of theirs are closed."""
+    now = _up(places, step)
+    hub_now = _up(hubs.select("bucket", "hub.rep", "hub.component"), step)
+    closed = hub_now.select("bucket", "component").distinct().withColumn("closed", F.lit(True))
+    were = hub_now.select("bucket", "rep").withColumn("now_hub", F.lit(True))
+    both = now.join(closed, ["bucket", "component"], "left").join(were, ["bucket", "rep"], "left")
+    return both.select("bucket", "rep", "n", "score", "component", (F.col("open") & F.col("closed").isNull()).alias("open"), (F.col("was_hub") | F.col("now_hub").isNotNull()).alias("was_hub"))
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, max_rounds: int = MAX_ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id`` of every distinct id: the smallest id of its class."""
     made = written(sketched(docs, id_col, text_col), "omh-sketches")
     reps = written(made.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketches").alias("sketches")), "omh-reps")
@@ -187,25 +209,19 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, max_rounds: int
     score = places.groupBy("rep").agg(F.sum("size").alias("score"))
     # the ids grow with the texts: the same merge join at every size, never a broadcast
     needed = score.select(F.col("rep").alias("doc_id")).hint("merge")
-    found_texts = written(texts(docs, id_col, text_col).join(needed, "doc_id"), "omh-texts")
+    kmers = written(with_kmers(texts(docs, id_col, text_col).join(needed, "doc_id")), "omh-kmers")
     places = places.join(score, "rep").select("bucket", "rep", "n", "score", F.col("rep").alias("component"), F.lit(True).alias("open"), F.lit(False).alias("was_hub"))
     places = written(places, "omh-places")
 
-    links = labels = None
-    for _ in range(max_rounds):
-        hubs, new = _round(places, found_texts, least)
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            labels = components(links)
-        places = written(_settled(places, hubs, labels), "omh-places")
+    classes = reps.select("digest", F.col("rep").alias("component"))
+    for n_hubs in HUBS:
         if places.where("open").isEmpty():
             break
-    classes = reps.select("digest", "rep")
-    if labels is not None:
-        classes = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    else:
-        classes = classes.withColumn("component", F.col("rep"))
-    classes = classes.select("digest", F.coalesce("component", "rep").alias("class_id"))
+        hubs, links = _round(places, kmers, n_hubs, least)
+        step = None if links.isEmpty() else components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")))
+        classes = _up(classes, step)
+        places = written(_settled(places, hubs, step), "omh-places")
+    classes = classes.select("digest", F.col("component").alias("class_id"))
     return made.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
