@@ -16,7 +16,7 @@ Copies first: texts with equal words are one class whose smallest id stands for
 an aggregate, so copies are never paired. Within a bucket no pairs are formed either: all are
 compared with one hub, the member that shares most buckets overall (in a family of edited
 copies that is the least edited one). Members that stay outside the hub's component are open;
-in each later round up to four of them are hubs (``HUBS``), against which all members of
+in each later round another of them is the hub (``HUBS``), against which all members of
 other components are compared. So the work is linear in the rows. A link is found through a
 hub or directly; two similar texts neither of which is a hub in any of the buckets they share,
 and which no hub links, are missed: README has the measured figures. Classes are connected
@@ -46,7 +46,7 @@ SHINGLE = 5
 PICK = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-HUBS = (1, 4, 4)  # of a bucket, round by round
+HUBS = (1, 1, 1, 1)  # of a bucket, round by round
 
 #: Odd multipliers, one per sketch: h -> h * m orders the k-mers anew each time.
 _MULTIPLIERS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
