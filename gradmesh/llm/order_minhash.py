@@ -17,10 +17,13 @@ an aggregate, so copies are never paired. Within a bucket no pairs are formed ei
 compared with one hub, the member that shares most buckets overall (in a family of edited
 copies that is the least edited one). Members that stay outside the hub's component are open;
 in each later round another of them is the hub (``HUBS``), against which all members of
-other components are compared. So the work is linear in the rows. A link is found through a
-hub or directly; two similar texts neither of which is a hub in any of the buckets they share,
-and which no hub links, are missed: README has the measured figures. Classes are connected
-components of the verified links, carried from round to round by components, not texts.
+other components are compared, which is linear in the rows. What two similar texts are left in
+different components, since no hub links them, is found by an exact join (:func:`_left_pairs`)
+of all members of buckets that still hold several components: texts at 0.8 or more share one of
+their rarest k-mers (a prefix filter). So every two similar texts that share a bucket end in one
+class. The work of this last step grows with the pairs that share a rare k-mer across components.
+Classes are connected components of the verified links, carried from round to round by
+components, not texts.
 
 Defined cases: null text is empty; empty texts are copies of one another; a text of one to
 four words is one k-mer; rows without an id are classes of their own and always stay; repeated
@@ -199,6 +202,34 @@ def _settled(places: DataFrame, hubs: DataFrame, step: DataFrame | None) -> Data
     return both.select("bucket", "rep", "n", "score", "component", (F.col("open") & F.col("closed").isNull()).alias("open"), (F.col("was_hub") | F.col("now_hub").isNotNull()).alias("was_hub"))
 
 
+def _left_pairs(places: DataFrame, kmers: DataFrame, least: float) -> DataFrame:
+    """Pairs from different components, of members of buckets that hold several components.
+
+    Similar texts have at least ``least`` of either's k-mers in common; so in any one order of
+    all k-mers they share one among the first ``n - ceil(least * n) + 1`` of each. The rarest
+    come first: those of a single text fill places but meet nothing. Each pair has an end
+    outside the component that has most of the texts with that k-mer; only such ends are joined
+    with all others.
+    """
+    several = places.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    left = written(places.join(several.select("bucket"), "bucket").select("rep", "n", "component").distinct(), "omh-left")
+    each = left.join(kmers.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "component", F.explode("kmers").alias("kmer"))
+    shared = each.groupBy("kmer").agg(F.count("*").alias("often")).where("often > 1")
+    ordered = F.sort_array(F.collect_list(F.struct("often", "kmer")))
+    first = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("ordered"))
+    by_rep = each.join(shared, "kmer").groupBy("rep", "n", "component").agg(ordered.alias("ordered")).withColumn("first", first.cast("int"))
+    prefix = by_rep.where("first > 0").select("rep", "n", "component", F.explode(F.slice("ordered", 1, F.col("first"))).alias("k"))
+    prefix = written(prefix.select("rep", "n", "component", "k.kmer"), "omh-prefixes")
+    held = prefix.groupBy("kmer", "component").agg(F.count("*").alias("texts")).groupBy("kmer")
+    held = held.agg(F.count("*").alias("components"), F.max(F.struct("texts", "component"))["component"].alias("main")).where("components > 1")
+    met = written(prefix.join(held.select("kmer", "main"), "kmer"), "omh-met")
+    ends = met.where("component != main").select("kmer", F.struct("rep", "n", "component").alias("end"))
+    fits = (F.col("n") >= least * F.col("end.n")) & (F.col("end.n") >= least * F.col("n"))
+    once = (F.col("component") == F.col("main")) | (F.col("rep") < F.col("end.rep"))
+    pairs = met.join(ends, "kmer").where((F.col("component") != F.col("end.component")) & fits & once)
+    return pairs.select(F.least("rep", "end.rep").alias("a"), F.greatest("rep", "end.rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id`` of every distinct id: the smallest id of its class."""
     made = written(sketched(docs, id_col, text_col), "omh-sketches")
@@ -221,6 +252,13 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "d
         step = None if links.isEmpty() else components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")))
         classes = _up(classes, step)
         places = written(_settled(places, hubs, step), "omh-places")
+    pairs = _left_pairs(places, kmers, least)
+    of = places.select("rep", "component").distinct()
+    pairs = pairs.join(of.select(F.col("rep").alias("a"), F.col("component").alias("a_component")), "a")
+    pairs = pairs.join(of.select(F.col("rep").alias("b"), F.col("component").alias("b_component")), "b")
+    links = written(verified(pairs, kmers, least), "omh-links")
+    if not links.isEmpty():
+        classes = _up(classes, components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))))
     classes = classes.select("digest", F.col("component").alias("class_id"))
     return made.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 

@@ -131,3 +131,14 @@ def test_components_of_a_chain_a_star_and_noise(spark):
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == union_find(nodes, [(a, b) for a, b in edges if a != b])
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_large_family_on_both_sides_of_the_threshold(spark):
+    """Each two similar texts are in one class, though most of them are never hubs."""
+    rng, w = random.Random(1), WordHash()
+    base = [f"w{k}" for k in range(150)]
+    rows = [(k, edited(rng, base, rng.randrange(3, 6))) for k in range(400)]
+    kmers = [M.labelled_kmers(w.of(t)) for _, t in rows]
+    edges = [(a, b) for b in range(len(rows)) for a in range(b) if M.similarity(kmers[a], kmers[b]) >= 0.8]
+    got = dict(map(tuple, M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == union_find(range(len(rows)), edges)
