@@ -100,3 +100,18 @@ def test_token_efficiency_tells_random_strings(spark):
     rows = [(1, "key xK9vQ2mZp7LrT4wBn8Jc end"), (2, known), (3, "aGVsbG8gd29ybGQhIQ9x7Zk2Qp " * 2), (4, "the " * 5000)]
     got = {r.doc_id: r.n_random for r in token_secrets.secret_digest(spark.createDataFrame(rows, "doc_id long, text string"), VOCAB).collect()}
     assert got == {1: 1, 2: 0, 3: 2, 4: 0}
+
+
+def test_secrets_behind_names_without_digits_and_behind_dates():
+    enc, rng = token_secrets.encoder(VOCAB), random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for lead in ("downloads/documents/archive/private/", "user_authentication_session_identifier=", "2024-01-02-", "international" * 60 + "/", "downloadsdocumentsarchiveprivate"):
+        for alphabet in (letters + "0123456789", letters):
+            for _ in range(20):
+                key = "".join(rng.choice(alphabet) for _ in range(24))
+                spans = token_secrets.find(f"see {lead}{key} end", enc)["random"]
+                at = 4 + len(lead)
+                covered = {x for a, b in spans for x in range(a, b)}
+                assert len(covered & set(range(at, at + 24))) >= 16, (lead, key, spans)
+    clean = "releases/2024-01-02T10-20-30/candidate_build docs/123e4567-e89b-12d3-a456-426614174000/internationalization"
+    assert token_secrets.find(clean, enc)["random"] == []
