@@ -55,3 +55,10 @@ def test_empty_tables(spark):
 def test_an_item_in_a_third_of_all_documents(spark):
     docs = [(k, (ITEM if k % 3 == 0 else "") + " " + filler(k)) for k in range(300)]
     assert {k for k, _ in found(spark, docs)} == set(range(0, 300, 3))
+
+
+def test_a_near_verbatim_copy_with_one_changed_value_is_dropped(spark):
+    docs = [(1, filler(8) + " " + ITEM.replace("walking 3 km", "walking 9 km") + " " + filler(9)), (2, ITEM.replace("3", "7", 1)), (3, filler(10))]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, t, "") for k, t in ITEMS], SCHEMA)
+    assert [r.doc_id for r in T.without_leaks(d, i).collect()] == [3]
+    assert (1, 1) not in found(spark, docs)  # the query keeps to its SQL
