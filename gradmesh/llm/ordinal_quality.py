@@ -151,7 +151,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
-    """Fits on at most ``max_rows`` graded rows; that bound is also what is broadcast."""
+    """Fits on at most ``max_rows`` graded documents; that bound is also what is broadcast, and
+    what the driver gets: of repeated rows of one id the smallest text stands for all."""
     sample = grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +161,8 @@ def train(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_ROWS, id_col:
             found = [slots(t.as_py(), cache) for t in b.column("text")]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "grade": b.column("grade"), "slots": pa.array(found, pa.list_(pa.int32()))})
 
-    rows = texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").mapInArrow(featurise, "doc_id bigint, grade int, slots array<int>")
+    one = texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
+    rows = one.mapInArrow(featurise, "doc_id bigint, grade int, slots array<int>")
     got = rows.toArrow().sort_by([("doc_id", "ascending")])
     return fit([np.asarray(x.values) for x in got.column("slots")], got.column("grade").to_numpy().astype(np.int64))
 

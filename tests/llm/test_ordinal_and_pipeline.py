@@ -84,3 +84,10 @@ def test_run_equals_its_stages(spark):
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, docs.select(cols).collect()))
+
+
+def test_repeated_rows_of_a_labelled_id_reach_the_driver_once(spark, monkeypatch):
+    monkeypatch.setattr(Q, "fit", lambda found, grades: grades.tolist())
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "no label")] + [(1, f"some text {k % 3}") for k in range(300)], "doc_id long, text string")
+    grades = spark.createDataFrame([(1, 0), (2, 2)], "doc_id long, grade int")
+    assert Q.train(docs, grades) == [0, 2]
