@@ -7,7 +7,7 @@ choices. That keeps the gaps diverse and closes nearly all bins exactly. The bin
 at the end are packed anew, longest piece first into the smallest gap that takes it.
 
 Full pieces are sequences of their own. The others are dealt by a hash into groups of about
-``GROUP`` pieces, each packed in one task: memory is bounded by ``GROUP`` and a group wastes
+``GROUP`` pieces, each packed in one task: memory is bounded by twice ``GROUP`` and a group wastes
 a few bins at most, so that the loss is a fixed small share at any size. The table of pieces
 is written before packing; tokenising is done once and survives lost executors.
 
@@ -148,6 +148,12 @@ def pack(found: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
 
     order = F.xxhash64("doc_id", "piece", "ids_crc32")
     dealt = short.withColumn("order", order).withColumn("lot", F.pmod("order", F.lit(groups)))
+    # repeated rows fall into one lot: lots far beyond ``group`` are split by the place of the row
+    large = dealt.groupBy("lot").agg(F.count("*").alias("n")).where(F.col("n") > 2 * group).select("lot", F.ceil(F.col("n") / group).alias("parts"))
+    large = written(large, "large-lots")
+    if not large.isEmpty():
+        dealt = dealt.withColumn("row", F.monotonically_increasing_id()).join(F.broadcast(large), "lot", "left")
+        dealt = dealt.withColumn("lot", F.col("lot") + groups * F.pmod("row", F.coalesce("parts", F.lit(1)))).drop("row", "parts")
     return dealt.groupBy("lot").applyInPandas(run, f"{PIECES}, sequence_id bigint, offset bigint").unionByName(full)
 
 

@@ -96,3 +96,15 @@ def test_sum_of_squares_follows_its_rule():
 
 def test_packing_empty_table(spark):
     assert P.pack_documents(spark.createDataFrame([], "doc_id long, text string"), RANKS, JSON).count() == 0
+
+
+def test_repeated_rows_do_not_fill_one_lot(spark):
+    rows = [(7, "the same text")] * 300 + [(k, f"text {k}") for k in range(100, 300)]
+    got = P.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, JSON, group=20).collect()
+    assert len(got) == len(rows)
+    lots, at = defaultdict(int), defaultdict(list)
+    for r in got:
+        lots[r.sequence_id >> 32] += 1
+        at[r.sequence_id].append((r.offset, r.length))
+    assert max(lots.values()) <= 60
+    assert all(a + n <= b for places in at.values() for (a, n), (b, _) in zip(sorted(places), sorted(places)[1:]))
