@@ -16,10 +16,13 @@ from gradmesh.llm.line_windows import dedup_lines
 from gradmesh.llm.log_bilinear import lm_scores
 from gradmesh.llm.order_minhash import near_duplicates
 from gradmesh.llm.packing import pack_documents
+from gradmesh.llm.prefix_trie import conversation_trie
 from gradmesh.llm.quality_rules import rules_report
 from gradmesh.llm.template_leaks import leaks
 from gradmesh.llm.token_secrets import secret_digest
 from gradmesh.llm.url_templates import UrlRule, url_filter
+from gradmesh.llm.whitening import whitened
+from gradmesh.llm.word_bpe import encoded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +100,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_efficiency")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"), RANKS)
+
+
+@query("op11_splitter_trie", sql.TRIE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_jacobi_davidson")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_word_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_decoded=True)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

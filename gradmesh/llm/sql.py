@@ -134,3 +134,36 @@ SELECT page_id, r.host, r.path, rule, ends.template, round(purity, 9) AS purity,
        coalesce(act, CASE WHEN purity < {U.MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled r JOIN ends ON r.host = ends.host AND r.path = ends.path JOIN t ON t.host = ends.host AND t.template = ends.template"""
     )
+
+#: The CRC of the number's digits is worked out bit by bit.
+TRIE = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+    SELECT conv_id, md5(length(role) || ':' || role || text) AS digest,
+        CAST(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS pos FROM t
+), c AS (
+    SELECT conv_id AS c, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+        lambda crc, d: list_reduce([xor(crc, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM o) i
+), r AS (
+    SELECT c.c, o.pos, o.digest, o.words FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h
+    UNION ALL SELECT c.c, o.pos, o.digest, o.words FROM c JOIN o ON o.conv_id = c.c AND o.pos > c.h
+), p AS (
+    SELECT c.c, coalesce(string_agg(digest, '' ORDER BY pos), '') AS path, coalesce(list(words ORDER BY pos) FILTER (pos IS NOT NULL), []) AS words FROM c LEFT JOIN r USING (c) GROUP BY c.c
+), m AS (
+    SELECT c, d AS depth, substr(path, 1, 32 * d) AS node, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(words) AS ends FROM (SELECT *, unnest(range(len(words) + 1)) AS d FROM p) q
+), n AS (
+    SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY node, depth
+), k AS (
+    SELECT a.node, (SELECT count(*) FROM n b WHERE b.depth = a.depth + 1 AND substr(b.node, 1, 32 * a.depth) = a.node) AS n_children FROM n a
+), below AS (
+    SELECT substr(n.node, 1, 32 * e) AS node, CASE WHEN k.n_children = 0 THEN 1 ELSE 0 END AS leaf, (n.n_convs - 1) * n.words AS saved FROM (SELECT *, unnest(range(depth + 1)) AS e FROM n) n JOIN k USING (node)
+), s AS (
+    SELECT node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM below GROUP BY node
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs, CAST(k.n_children AS BIGINT) AS n_children,
+    CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN k USING (node) JOIN s USING (node) LEFT JOIN n up ON up.depth = n.depth - 1 AND up.node = substr(n.node, 1, 32 * up.depth)
+"""
