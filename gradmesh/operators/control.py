@@ -30,6 +30,8 @@ QUERY_PROGRESS, ADJUST_LR, PAUSE, RESUME, TERMINATE = (
 )
 MENU = {1: QUERY_PROGRESS, 2: ADJUST_LR, 3: PAUSE, 4: RESUME, 5: TERMINATE}
 KEY, ORDER = "run_id", "seq"
+#: One answered progress query.
+PROGRESS_SCHEMA = "run_id BIGINT, seq BIGINT, total_rounds INT, current_round INT, active_workers INT, failed_workers INT, current_lr DOUBLE, current_loss DOUBLE"
 
 
 def _without_chunk(df: DataFrame, given: DataFrame) -> DataFrame:
@@ -119,8 +121,8 @@ def odd(c: Column) -> Column:
     return F.pmod(c, F.lit(2)) == 1
 
 
-def _marker() -> Column:
-    # Encodes the last PAUSE / RESUME: the larger seq wins, the low bit says PAUSE.
+def pause_marker() -> Column:
+    """Its maximum tells the last PAUSE / RESUME: the larger seq wins, the low bit says PAUSE."""
     op = F.col("op")
     return F.when(op == PAUSE, F.col(ORDER) * 2 + 1).when(op == RESUME, F.col(ORDER) * 2)
 
@@ -139,10 +141,10 @@ def command_rounds(control: DataFrame) -> DataFrame:
     c = chunked(control.where(F.col("op").isNotNull()).select(KEY, ORDER, "op", "new_lr", *([CHUNK] if CHUNK in control.columns else [])), KEY, ORDER)
     w = within(KEY, ORDER)
     terminate = (F.col("op") == TERMINATE).cast("int")
-    local = c.withColumns({"mark": F.max(_marker()).over(before(w)), "stops": F.coalesce(F.sum(terminate).over(before(w)), F.lit(0))})
+    local = c.withColumns({"mark": F.max(pause_marker()).over(before(w)), "stops": F.coalesce(F.sum(terminate).over(before(w)), F.lit(0))})
     live = F.col("stops") == 0
     sums = local.groupBy(KEY, CHUNK).agg(
-        F.max(_marker()).alias("last_mark"), F.sum(terminate).alias("all_stops"),
+        F.max(pause_marker()).alias("last_mark"), F.sum(terminate).alias("all_stops"),
         F.count_if(live & F.col("mark").isNull()).alias("open"), F.count_if(live & ~odd(F.col("mark"))).alias("known"),
     )
     over = before(across(KEY))
@@ -193,7 +195,7 @@ def terminations(
         rounds_df, _ = _gated_rounds(control, wait_for_start)
     per = rounds_df.groupBy(KEY).agg(
         F.min(F.when(F.col("op") == TERMINATE, F.col("round_id"))).alias("term_round"),
-        F.max(_marker()).alias("_m"),
+        F.max(pause_marker()).alias("_m"),
         F.max("round_id").alias("last_round"),
     )
     stalled = odd(F.col("_m"))

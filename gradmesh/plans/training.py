@@ -37,7 +37,7 @@ from gradmesh.functions.model import (
     sigmoid,
     weight_step,
 )
-from gradmesh.operators.control import fold_control
+from gradmesh.operators.control import PROGRESS_SCHEMA, fold_control
 from gradmesh.operators.gradients import combined_gradient, shard_gradient, weights_literal
 
 NEVER = 2**31 - 1
@@ -84,6 +84,7 @@ class TrainResult:
     weights: DataFrame
     summary: DataFrame
     n_shards: int = 0
+    answers: DataFrame | None = None  # of progress queries, under live control
 
     def __iter__(self):
         return iter((self.history, self.weights))
@@ -178,14 +179,19 @@ class LiveControl:
     ``read()`` returns the control table as it stands, with ``seq`` and the command columns;
     one command is taken per round boundary, by ``seq``. While paused, the table is read again
     every ``wait_s`` seconds until RESUME or TERMINATE arrives; after ``max_waits`` vain
-    reads the run counts as stalled. Each poll fetches the next command only.
+    reads the run counts as stalled. With ``wait_for_start`` the run waits likewise for its first
+    RESUME and drops what comes before (C7). A progress query is answered at its boundary (C6):
+    ``on_answer`` gets the record at once, and the result has them all. An ADJUST_LR without a rate
+    changes nothing. Each poll fetches the next command only.
     """
 
     read: Callable[[], DataFrame]
     wait_s: float = 1.0
     max_waits: int = 0
+    wait_for_start: bool = False
+    on_answer: Callable[[dict], None] | None = None
     last_seq: int | None = None
-    answered: list[tuple[int, int]] = field(default_factory=list)  # (seq, boundary) of queries
+    answers: list[dict] = field(default_factory=list)
 
     def _next(self):
         c = self.read().where(F.col("op").isNotNull())
@@ -196,31 +202,43 @@ class LiveControl:
             self.last_seq = row["seq"]
         return row
 
-    def poll(self, boundary: int) -> tuple[str | None, float | None]:
-        """``(stop outcome, new rate)`` of the command taken at this boundary."""
-        row = self._next()
-        if row is None:
-            return None, None
-        if row["op"] == "TERMINATE":
-            return "terminated", None
-        if row["op"] == "ADJUST_LR":
-            return None, float(row["new_lr"])
-        if row["op"] == "QUERY_PROGRESS":
-            self.answered.append((row["seq"], boundary))
-        if row["op"] != "PAUSE":
-            return None, None
+    def _until_resumed(self) -> str | None:
+        """Takes commands up to a RESUME (None) or TERMINATE; ``stalled`` if neither comes."""
         waits = 0
         while True:
             row = self._next()
             if row is None:
                 if waits >= self.max_waits:
-                    return "stalled", None
+                    return "stalled"
                 waits += 1
                 time.sleep(self.wait_s)
             elif row["op"] == "TERMINATE":
-                return "terminated", None
+                return "terminated"
             elif row["op"] == "RESUME":
-                return None, None
+                return None
+
+    def gate(self) -> str | None:
+        """Why the run doesn't start, if it doesn't."""
+        if not self.wait_for_start:
+            return None
+        stop = self._until_resumed()
+        return "waiting" if stop == "stalled" else stop
+
+    def poll(self, answer: Callable[[], dict]) -> tuple[str | None, float | None]:
+        """``(stop outcome, new rate)`` of the command taken at this boundary; ``answer()`` gives
+        the progress as it stands."""
+        row = self._next()
+        if row is None:
+            return None, None
+        if row["op"] == "TERMINATE":
+            return "terminated", None
+        if row["op"] == "ADJUST_LR":
+            return None, None if row["new_lr"] is None else float(row["new_lr"])
+        if row["op"] == "QUERY_PROGRESS":
+            self.answers.append({"seq": row["seq"], **answer()})
+            if self.on_answer:
+                self.on_answer(self.answers[-1])
+        return (self._until_resumed() if row["op"] == "PAUSE" else None), None
 
 
 def plan_from_control(control: DataFrame, rounds: int = DEFAULT_ROUNDS, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> RunPlan:
@@ -268,9 +286,11 @@ def train(
     with prepared(samples, rounds, failures, max_features, partitions) as prep:
         w, rate, last_norm, history = [0.0] * prep.k, float(lr), None, []
         final_round, outcome = min(plan.stop_round, rounds), plan.stop_outcome
+        if live is not None and (stop := live.gate()):
+            final_round, outcome = 0, stop
         for r in range(final_round):
             if live is not None:
-                stop, new_rate = live.poll(r)
+                stop, new_rate = live.poll(lambda: _progress(prep, plan.run_id, r, rounds, rate, last_norm))  # noqa: B023
                 rate = rate if new_rate is None else new_rate
                 if stop:
                     final_round, outcome = r, stop
@@ -296,9 +316,19 @@ def train(
             spark.createDataFrame([(plan.run_id, last, w)], WEIGHTS_SCHEMA),
             spark.createDataFrame([(plan.run_id, final_round, len(history), alive, outcome, last_norm)], SUMMARY_SCHEMA),
             prep.n_shards,
+            spark.createDataFrame(live.answers, PROGRESS_SCHEMA) if live is not None else None,
         )
 
 
+def _progress(prep: Prepared, run_id: int, r: int, rounds: int, rate: float, last_norm: float | None) -> dict:
+    """C6 at boundary r: the rate in force, the loss of the last round that had one."""
+    active = prep.alive[r - 1] if r else prep.n_shards
+    return {
+        "run_id": run_id, "total_rounds": rounds, "current_round": max(r - 1, 0), "active_workers": active, "failed_workers": prep.n_shards - active,
+        "current_lr": rate, "current_loss": 0.0 if last_norm is None else last_norm,
+    }
+
+
 def train_one_round(samples: DataFrame, w: Sequence[float], lr: float = DEFAULT_LR,
                     norm_slots: int = WEIGHT_SLOTS) -> DataFrame:
     """T2 as one DataFrame: A1 -> A3 -> A5 -> P5.

@@ -16,13 +16,14 @@ from gradmesh import oracle as O
 from gradmesh.functions.model import linear_score, sigmoid
 from gradmesh.operators import control as C
 from gradmesh.operators import gradients as G
+from gradmesh.plans import live as LV
 from gradmesh.plans import runs as RN
 from gradmesh.plans import training as TR
 from gradmesh.session import shared_path
 from gradmesh.sources import generator as GEN
 from gradmesh.sources import tables as TB
 from gradmesh.sources import text as TX
-from gradmesh.streaming.control_stream import run_to_table
+from gradmesh.streaming.control_stream import CONTROL_SCHEMA, Arrivals, run_to_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -621,6 +622,74 @@ def q_train_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hist_exploded(TR.train(TB.lineitem_samples(spark, sf_dir), live=live, on_round=arrive, partitions=_cores(spark)).history)
 
 
+# Commands of a gated run, by the round after which they come (-1: before the start).
+LIVE_QUERIES = [
+    (-1, 5, "ADJUST_LR", 0.9), (-1, 6, "RESUME", None), (1, 10, "QUERY_PROGRESS", None), (2, 11, "ADJUST_LR", 0.05), (3, 12, "ADJUST_LR", None),
+    (5, 13, "QUERY_PROGRESS", None), (7, 14, "PAUSE", None), (7, 15, "QUERY_PROGRESS", None), (7, 16, "RESUME", None), (8, 17, "QUERY_PROGRESS", None),
+]
+
+
+def _live_answers_sql() -> str:
+    """The queries are taken at boundaries 2, 6 and 9; the one inside the pause is swallowed."""
+    ctes = O.training_ctes(
+        O.li_samples_sql(), 4, failures_sql=_failures_sql(),
+        sched_sql="SELECT CAST(0 AS BIGINT) AS run_id, CAST(range AS INTEGER) AS round_id, CASE WHEN range >= 3 THEN 0.05 ELSE 0.01 END::DOUBLE AS lr FROM range(10)",
+    )
+    body = (
+        "SELECT CAST(q.seq AS BIGINT) AS seq, CAST(10 AS INTEGER) AS total_rounds, h.round_id AS current_round, CAST(h.alive_shards AS INTEGER) AS active_workers, "
+        f"CAST({TB.N_SHARDS} - h.alive_shards AS INTEGER) AS failed_workers, {O.r8('sc.lr')} AS current_lr, {O.r8('h.grad_norm')} AS current_loss "
+        "FROM (VALUES (10, 2), (13, 6), (17, 9)) q(seq, due) JOIN hist h ON h.round_id = q.due - 1 JOIN sched sc ON sc.round_id = q.due"
+    )
+    return O.with_ctes(ctes, body)
+
+
+@register("progress_live", _live_answers_sql)
+def q_progress_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 + C7 live: progress queries that come while a gated run trains and loses shards."""
+    path = shared_path(spark, "live-queries")
+    schema = "seq BIGINT, op STRING, new_lr DOUBLE"
+
+    def arrive(round_id: int, _: float | None = None) -> None:
+        if new := [c[1:] for c in LIVE_QUERIES if c[0] == round_id]:
+            spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(path)
+
+    arrive(-1)
+    live = TR.LiveControl(lambda: spark.read.schema(schema).parquet(path), wait_for_start=True)
+    res = TR.train(TB.lineitem_samples(spark, sf_dir), live=live, on_round=arrive, failures=_failures_df(spark), partitions=_cores(spark))
+    return res.answers.select("seq", "total_rounds", "current_round", "active_workers", "failed_workers", r8("current_lr").alias("current_lr"), r8("current_loss").alias("current_loss"))
+
+
+def _due_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user's commands, with the boundary before which they come: the one they are due at."""
+    path = shared_path(spark, "due")
+    C.command_rounds(_ctl(spark, sf_dir)).select("run_id", "seq", "op", "new_lr", F.least("round_id", F.lit(9)).alias("due")).write.partitionBy("due").parquet(path)
+    return spark.read.schema(f"{CONTROL_SCHEMA}, due INT").parquet(path)
+
+
+@register("train_runs_live", lambda: O.with_ctes(_controlled_ctes(), O.history_exploded_body(4, with_run=True)))
+def q_train_runs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + C8: a run per customer, whose commands come as a stream between the rounds."""
+    due, path = _due_commands(spark, sf_dir), shared_path(spark, "live-commands")
+    came = Arrivals(spark, lambda: spark.readStream.schema(CONTROL_SCHEMA).parquet(path))
+
+    def poll(at: int) -> DataFrame | None:
+        due.where(F.col("due") == at).drop("due").write.mode("append").parquet(path)
+        return came(at)
+
+    return _hist_exploded(LV.train_live_runs(TB.customer_samples(spark, sf_dir), LV.LiveRuns(poll)).history, with_run=True)
+
+
+@register("progress_runs_live", lambda: _progress_sql())
+def q_progress_runs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 for many runs: queries that come between the rounds, answered at their boundary."""
+    due = _due_commands(spark, sf_dir)
+    res = LV.train_live_runs(TB.customer_samples(spark, sf_dir), LV.LiveRuns(lambda at: due.where(F.col("due") == at).drop("due")))
+    return res.answers.select(
+        "run_id", "seq", "total_rounds", "current_round", "active_workers", "failed_workers",
+        r8("current_lr").alias("current_lr"), r8_odd("current_loss").alias("current_loss"),
+    )
+
+
 def _stream_sql(gate: bool, ctl: str | None = None) -> str:
     ctl = ctl or (O.gate_sql(O.ctl_sql())[0] if gate else O.ctl_sql())
     return (

@@ -2,11 +2,13 @@
 
 Each micro-batch is folded by the batch scan (``gradmesh.operators.control``), whose chunks
 split a hot run over tasks; what a run carries from batch to batch is one small row:
-``(paused, boundary, lr, terminated, opened)``. Batch n reads the carry of batch n-1 and
-writes its events, its progress queries' answers and the new carry to folders of its own
-number, overwriting what an earlier attempt left: a restarted query repeats a batch with the
-same result. Carries and output live under ``spark.checkpoint.dir``, and the trigger's
-``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` bound a batch.
+``(paused, boundary, lr, terminated, opened)``. Batch n reads the carry of the runs that it
+touches and writes their new carry (``gradmesh.streaming.carry``) and its rows to folders of its
+own number, overwriting what an earlier attempt left: a restarted query repeats a batch with the
+same result, and runs without new commands cost nothing. Carries and output live under
+``spark.checkpoint.dir``, and the trigger's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``
+bound a batch. Progress queries come out with the boundary they are taken at; they are answered
+where the training runs (``gradmesh.plans.live``).
 
 Within a micro-batch a run's events are ordered by ``seq``; across micro-batches arrival
 order is kept, as a FIFO does.
@@ -14,13 +16,16 @@ order is kept, as a FIFO does.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradmesh.functions.model import DEFAULT_LR
-from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, as_control, command_rounds, odd, read_commands, start_gate
+from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, as_control, command_rounds, odd, pause_marker, read_commands, start_gate
 from gradmesh.operators.scan import CHUNK, Running, chunked, running
 from gradmesh.session import shared_path
+from gradmesh.streaming.carry import Carry
 
 CONTROL_SCHEMA = "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE"
 OUTPUT_SCHEMA = f"{CONTROL_SCHEMA}, paused_before BOOLEAN, effective BOOLEAN, round_id INT, lr DOUBLE"
@@ -36,7 +41,8 @@ def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait
 
     Rows are those of ``command_rounds`` with ``lr``, the rate in force once the command is
     taken. A run that was paused at the batch's start gets a PAUSE ahead of its events, so that
-    the batch fold sees it; rounds and rates then continue from the carry.
+    the batch fold sees it; rounds and rates then continue from the carry. An ADJUST_LR without a
+    rate changes nothing. ``carry`` needs the runs of ``events`` only, and the new carry has those.
     """
     cols = (KEY, ORDER, "op", "new_lr")
     events = events.where(F.col("op").isNotNull()).select(*cols)
@@ -53,7 +59,7 @@ def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait
     ahead = rows.groupBy(KEY).agg((F.min(ORDER) - 1).alias("_ahead")).join(carry.where("paused AND NOT terminated").select(KEY), KEY, "left_semi")
     log = chunked(rows.unionByName(ahead.select(KEY, F.col("_ahead").alias(ORDER), F.lit(PAUSE).alias("op"), F.lit(None).cast("double").alias("new_lr"))), KEY, ORDER)
     folded = command_rounds(log)
-    rate = F.when((F.col("op") == ADJUST_LR) & F.col("effective"), F.struct(ORDER, "new_lr"))
+    rate = F.when((F.col("op") == ADJUST_LR) & F.col("effective") & F.col("new_lr").isNotNull(), F.struct(ORDER, "new_lr"))
     folded = running(folded, KEY, ORDER, [Running("_rate", "max", rate)])
     before = carry.select(KEY, F.col("boundary").alias("_boundary"), F.col("lr").alias("_lr"), F.col("paused").alias("_paused"))
     both = folded.join(before.join(ahead, KEY, "left"), KEY, "left")
@@ -65,9 +71,8 @@ def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait
     })
     out = both.where(F.col("_ahead").isNull() | (F.col(ORDER) > F.col("_ahead"))).select(*cols, "paused_before", "effective", "round_id", "lr")
 
-    marker = F.when(F.col("op") == PAUSE, F.col(ORDER) * 2 + 1).when(F.col("op") == RESUME, F.col(ORDER) * 2)
     ends = both.groupBy(KEY).agg(
-        F.coalesce(odd(F.max(marker)), F.lit(False)).alias("paused"), (F.max("round_id") + 1).cast("bigint").alias("boundary"),
+        F.coalesce(odd(F.max(pause_marker())), F.lit(False)).alias("paused"), (F.max("round_id") + 1).cast("bigint").alias("boundary"),
         F.max_by("lr", ORDER).alias("lr"), F.bool_or(F.col("op") == TERMINATE).alias("terminated"),
     )
     old = carry.select(KEY, *[F.col(c).alias(f"_{c}") for c in ("paused", "boundary", "lr", "terminated", "opened")])
@@ -100,12 +105,6 @@ def decode_batch(lines: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFra
     return as_control(commands).drop(CHUNK), now.unionByName(done)
 
 
-def _carry(spark: SparkSession, base: str, kind: str, batch_id: int) -> DataFrame:
-    if batch_id < 0:
-        return spark.createDataFrame([], CARRIES[kind])
-    return spark.read.schema(CARRIES[kind]).parquet(f"{base}/{kind}/{batch_id}")
-
-
 def run_to_table(stream: DataFrame, spark: SparkSession, base: str | None = None, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> DataFrame:
     """Drains a stream with ``availableNow`` and returns all rows so far.
 
@@ -120,15 +119,46 @@ def run_to_table(stream: DataFrame, spark: SparkSession, base: str | None = None
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        events = batch
         if is_lines:
-            events, waiting = decode_batch(batch, _carry(session, base, "lines", batch_id - 1))
-            waiting.write.mode("overwrite").parquet(f"{base}/lines/{batch_id}")
-        else:
-            events = batch
-        out, new = fold_batch(events, _carry(session, base, "runs", batch_id - 1), lr, wait_for_start)
+            lines = Carry(session, f"{base}/lines", CARRIES["lines"])
+            events, waiting = decode_batch(batch, lines.before(batch_id, batch))
+            lines.write(batch_id, waiting)
+        runs = Carry(session, f"{base}/runs", CARRIES["runs"])
+        out, new = fold_batch(events, runs.before(batch_id, events), lr, wait_for_start)
         out.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
-        new.write.mode("overwrite").parquet(f"{base}/runs/{batch_id}")
+        runs.write(batch_id, new)
 
     query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(f"{OUTPUT_SCHEMA}, batch INT").parquet(f"{base}/out").drop("batch")
+
+
+class Arrivals:
+    """New commands of a stream, each once: a ``poll`` for ``gradmesh.plans.live.LiveRuns``.
+
+    Every call drains ``stream()`` (control events, or console lines, which are decoded) with
+    ``availableNow`` under one checkpoint, and returns the commands that came since the last call.
+    """
+
+    def __init__(self, spark: SparkSession, stream: Callable[[], DataFrame], base: str | None = None) -> None:
+        self.spark, self.stream, self.base = spark, stream, base or shared_path(spark, "arrivals")
+        self.batches: list[int] = []
+
+    def _take(self, batch: DataFrame, batch_id: int) -> None:
+        if "value" in batch.columns:
+            lines = Carry(batch.sparkSession, f"{self.base}/lines", CARRIES["lines"])
+            events, waiting = decode_batch(batch, lines.before(batch_id, batch))
+            lines.write(batch_id, waiting)
+        else:
+            events = batch
+        events.where("op IS NOT NULL").select(KEY, ORDER, "op", "new_lr").write.mode("overwrite").parquet(f"{self.base}/arrived/{batch_id}")
+        self.batches.append(batch_id)
+
+    def __call__(self, boundary: int) -> DataFrame | None:
+        self.batches = []
+        query = self.stream().writeStream.foreachBatch(self._take).option("checkpointLocation", f"{self.base}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        if not self.batches:
+            return None
+        return self.spark.read.schema(CONTROL_SCHEMA).parquet(*[f"{self.base}/arrived/{b}" for b in self.batches])
