@@ -27,7 +27,6 @@ from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
@@ -141,10 +140,13 @@ def pack(found: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
     short = found.where(F.col("length") < capacity)
     groups = max(1, -(-short.count() // group))
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["order", "doc_id", "piece"], kind="stable").reset_index(drop=True)
+    names = [c.split()[0] for c in PIECES.split(", ")]
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
         bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity)
-        return rows.drop(columns=["order", "lot"]).assign(sequence_id=bins + (int(key[0]) << 32), offset=offsets)
+        # Arrow all the way: an id beside a null one stays a whole number
+        return rows.select(names).append_column("sequence_id", pa.array(bins + (key[0].as_py() << 32), pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
     order = F.xxhash64("doc_id", "piece", "ids_crc32")
     dealt = short.withColumn("order", order).withColumn("lot", F.pmod("order", F.lit(groups)))
@@ -154,7 +156,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
     if not large.isEmpty():
         dealt = dealt.withColumn("row", F.monotonically_increasing_id()).join(F.broadcast(large), "lot", "left")
         dealt = dealt.withColumn("lot", F.col("lot") + groups * F.pmod("row", F.coalesce("parts", F.lit(1)))).drop("row", "parts")
-    return dealt.groupBy("lot").applyInPandas(run, f"{PIECES}, sequence_id bigint, offset bigint").unionByName(full)
+    return dealt.groupBy("lot").applyInArrow(run, f"{PIECES}, sequence_id bigint, offset bigint").unionByName(full)
 
 
 def pack_documents(docs: DataFrame, ranks_path: str, json_path: str, capacity: int = CAPACITY, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -94,6 +94,51 @@ def test_sum_of_squares_follows_its_rule():
     assert P.sum_of_squares([10, 10, 1], 10)[0].max() == 2
 
 
+def test_sum_of_squares_equals_the_plain_rule():
+    """Every choice worked out by the whole sum, then the bins left open packed by best fit."""
+
+    def squares(gaps):
+        return sum(c * c for c in Counter(g for g in gaps if g).values())
+
+    def plain(lengths, capacity):
+        bins = []  # [gap, members], bins of one gap taken youngest change first
+        for k, s in enumerate(lengths):
+            best = None, squares([b[0] for b in bins] + [capacity - s])
+            for gap in sorted({b[0] for b in bins if b[0] >= s}):
+                at = max(i for i, b in enumerate(bins) if b[0] == gap)
+                total = squares([b[0] - s * (i == at) for i, b in enumerate(bins)])
+                if total < best[1]:
+                    best = at, total
+            b = [capacity, []] if best[0] is None else bins.pop(best[0])
+            bins.append([b[0] - s, [*b[1], k]])
+        out = [m for g, m in bins if not g]
+        rest = []
+        for k in sorted((k for g, m in bins if g for k in m), key=lambda k: (-lengths[k], k)):
+            fits = [b for b in rest if b[0] >= lengths[k]]
+            b = min(fits, key=lambda b: b[0]) if fits else [capacity, []]
+            if not fits:
+                rest.append(b)
+            b[0] -= lengths[k]
+            b[1].append(k)
+        return len(out), len(out) + len(rest), {tuple(m) for m in out}
+
+    rng = np.random.default_rng(4)
+    for capacity in (7, 12, 30):
+        lengths = rng.integers(1, capacity + 1, 120).tolist()
+        bins, _ = P.sum_of_squares(lengths, capacity)
+        closed, total, members = plain(lengths, capacity)
+        got = defaultdict(list)
+        for k, b in enumerate(bins.tolist()):
+            got[b].append(k)
+        assert len(got) == total and members <= {tuple(m) for m in got.values()}
+
+
+def test_ids_beside_null_ones_stay_whole(spark):
+    ids = [None, 2**60 + 1, -(2**62) - 3, 5]
+    got = P.pack_documents(spark.createDataFrame([(i, "short", 1.5) for i in ids], "doc_id long, text string, lot double").coalesce(1), RANKS, JSON).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted(ids, key=str)
+
+
 def test_packing_empty_table(spark):
     assert P.pack_documents(spark.createDataFrame([], "doc_id long, text string"), RANKS, JSON).count() == 0
 
