@@ -21,7 +21,6 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -65,6 +64,12 @@ def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     return (start, m.end()) if m else None
 
 
+def lowered(text: str) -> str:
+    """Lower case, every character at its place: one whose lower case is longer stays."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 class Finder:
     """The automaton, built once per task, and the parsers of each anchor."""
 
@@ -73,14 +78,13 @@ class Finder:
         for anchor in ("@", "://", "+", *"0123456789"):
             self.automaton.add_word(anchor, (anchor if len(anchor) > 1 or not anchor.isdigit() else "0", len(anchor)))
         for cue in CUES:
-            for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-                self.automaton.add_word(form, ("cue", len(form)))
+            self.automaton.add_word(cue, ("cue", len(cue)))
         self.automaton.make_automaton()
 
     def __call__(self, text: str) -> dict[str, list[tuple[int, int]]]:
         found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
         end = dict.fromkeys((*KINDS, "digits"), 0)  # where the last match of a kind ended, kept or not
-        for last, (anchor, size) in self.automaton.iter(text):
+        for last, (anchor, size) in self.automaton.iter(lowered(text)):
             if anchor == "0":
                 if last >= end["digits"]:
                     self._digits(text, last, end, found)
@@ -135,19 +139,20 @@ def joined(found: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> s
 
 
 SPANS = "doc_id bigint, kind string, start bigint, end bigint, value string"
+_SPANS = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
 DIGEST = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, n_login bigint, n_account bigint, base_sha256 string, spans string"
 
 
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per span: ``doc_id, kind, start, end, value``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Finder()
         for b in batches:
-            rows = [(i, k, s, e, t[s:e]) for i, t in zip(b["doc_id"], b["text"], strict=True) for k, spans in find(t).items() for s, e in spans]
-            yield pd.DataFrame(rows, columns=["doc_id", "kind", "start", "end", "value"])
+            rows = [(i, k, s, e, t.as_py()[s:e]) for i, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True) for k, spans in find(t.as_py()).items() for s, e in spans]
+            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows, strict=True) if rows else [[]] * 5, _SPANS, strict=True)], schema=_SPANS)
 
-    return texts(docs, id_col, text_col).mapInPandas(run, SPANS)
+    return texts(docs, id_col, text_col).mapInArrow(run, SPANS)
 
 
 def pii_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate
 
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
@@ -128,19 +127,20 @@ def joined(found: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> s
 
 
 SPANS = "doc_id bigint, kind string, start bigint, end bigint, value string"
+_SPANS = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
 DIGEST = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, base_sha256 string, spans string"
 
 
 def secret_spans(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per span: ``doc_id, kind, start, end, value``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for b in batches:
-            rows = [(i, k, s, e, t[s:e]) for i, t in zip(b["doc_id"], b["text"], strict=True) for k, spans in find(t, enc, max_ratio).items() for s, e in spans]
-            yield pd.DataFrame(rows, columns=["doc_id", "kind", "start", "end", "value"])
+            rows = [(i, k, s, e, t.as_py()[s:e]) for i, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True) for k, spans in find(t.as_py(), enc, max_ratio).items() for s, e in spans]
+            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows, strict=True) if rows else [[]] * 5, _SPANS, strict=True)], schema=_SPANS)
 
-    return texts(docs, id_col, text_col).mapInPandas(run, SPANS)
+    return texts(docs, id_col, text_col).mapInArrow(run, SPANS)
 
 
 def secret_digest(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -115,3 +115,18 @@ def test_secrets_behind_names_without_digits_and_behind_dates():
                 assert len(covered & set(range(at, at + 24))) >= 16, (lead, key, spans)
     clean = "releases/2024-01-02T10-20-30/candidate_build docs/123e4567-e89b-12d3-a456-426614174000/internationalization"
     assert token_secrets.find(clean, enc)["random"] == []
+
+
+def test_cues_in_any_case_and_large_ids():
+    find = anchors.Finder()
+    for t in ("Tax ID: AB-123456", "TAX id: AB-123456", "Customer ID: AB-123456", "iBan: DE89 3704 0044 0532 0130 00", "cUsToMeR iD AB-123456"):
+        assert find(t)["account"], t
+    assert find("İİ Tax ID: AB-123456 end")["account"] == [(11, 20)]
+    assert anchors.lowered("AİB") == "aİb"
+
+
+def test_spans_keep_ids_beside_null_ones(spark):
+    docs = spark.createDataFrame([(None, "a@b.cd"), (2**60 + 1, "é a@b.cd secret: abcdefgh")], "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, r.kind, r.start, r.value) for r in anchors.pii_spans(docs).collect()}
+    assert got == {(None, "email", 0, "a@b.cd"), (2**60 + 1, "email", 2, "a@b.cd")}
+    assert [(r.doc_id, r.kind, r.value) for r in token_secrets.secret_spans(docs, VOCAB).collect()] == [(2**60 + 1, "assign", "secret: abcdefgh")]
