@@ -81,9 +81,9 @@ hit AS (SELECT d.id AS doc_id, b.id AS item_id, b.pos AS pos, d.pos - b.pos AS d
 pair AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(bv) AS x, unnest(dv) AS y FROM hit),
 uneven AS (SELECT doc_id, item_id, diagonal, count(*) > count(DISTINCT x) AS broken, bool_or(x <> y) AS changed FROM pair GROUP BY ALL),
 good AS (
-  SELECT hit.doc_id, hit.item_id, hit.pos, coalesce(changed, false) AS changed
+  SELECT hit.doc_id, hit.item_id, hit.pos, coalesce(changed AND NOT broken, false) AS changed
   FROM hit LEFT JOIN uneven u ON hit.doc_id = u.doc_id AND hit.item_id = u.item_id AND hit.diagonal = u.diagonal
-  WHERE NOT coalesce(broken, false))
+  WHERE NOT coalesce(broken, false) OR bv = dv)
 SELECT doc_id, item_id, count(DISTINCT pos) AS n_found, any_value(n_windows) AS n_windows, bool_and(changed) AS reparameterised
 FROM good JOIN (SELECT id, count(*) AS n_windows FROM b GROUP BY id) t ON t.id = item_id
 GROUP BY doc_id, item_id HAVING count(DISTINCT pos) >= 0.5 * any_value(n_windows)

@@ -9,14 +9,12 @@ of the document. So "Ann has 3 apples and eats 3" is found in "Bob has 5 apples
 but not in "Bob has 5 apples and eats 2".
 
 An item leaks into a document if consistent diagonals cover at least ``min_coverage`` of its
-distinct windows. Of a diagonal that isn't consistent nothing counts, or, with ``verbatim`` (the
-default of :func:`without_leaks`), its windows whose values equal the item's: so a near-verbatim
-copy with one changed name or number is found. Windows with fewer than ``MIN_LITERAL`` words besides placeholders say
+distinct windows. Of a diagonal that isn't consistent only the windows count whose values equal the
+item's: so a near-verbatim copy with one changed name or number is found. Windows with fewer than ``MIN_LITERAL`` words besides placeholders say
 nothing and don't count.
 
-The benchmark's windows are broadcast while they are few (``BROADCAST_WINDOWS``, counted);
-beyond that both sides are shuffled by hash, with the same result. The documents' windows carry
-an id, a place, a hash and the values of their slots, if any; never the text. Hits are
+Spark broadcasts the benchmark's windows, a written table of known size, if they are small, and
+else shuffles both sides by hash. The documents' windows carry an id, a place, a hash and the values of their slots, if any; never the text. Hits are
 aggregated per document and item.
 
 Defined cases: null texts are empty; an item with fewer than ``SIZE`` words, or without a
@@ -36,7 +34,6 @@ from gradmesh.llm.common import WS, texts, words, written
 SIZE = 5
 MIN_LITERAL = 2
 MIN_COVERAGE = 0.5
-BROADCAST_WINDOWS = 500_000
 PUNCTUATION = ".,;:!?\"'()[]{}"
 #: Fixed list of unit words; they count as units right behind a number.
 UNITS = (
@@ -102,25 +99,19 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return made.select("item_id", F.col("at").alias("item_at"), "h", F.col("values").alias("item_values"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE, size: int = SIZE, broadcast_windows: int = BROADCAST_WINDOWS, id_col: str = "doc_id", text_col: str = "text", verbatim: bool = False) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, n_found, n_windows, reparameterised`` of every leak."""
     bench = written(benchmark_windows(items, size=size), "benchmark-windows")
-    few = bench.count() <= broadcast_windows
-    hits = _windows(_rows(docs, id_col, text_col, "doc_id"), "doc_id", size).join(F.broadcast(bench) if few else bench, "h")
+    hits = _windows(_rows(docs, id_col, text_col, "doc_id"), "doc_id", size).join(bench, "h")
     pairs = F.arrays_zip(F.col("item_values").alias("a"), F.col("values").alias("b"))
     found = hits.where(F.size("item_values") == F.size("values")).select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), pairs.alias("pairs"), (F.col("item_values") == F.col("values")).alias("equal"))
     # per diagonal the values must map one to one way: as many pairs as item values
-    equal = [F.collect_set(F.when(F.col("equal"), F.col("item_at"))).alias("equal_ats")] if verbatim else []
     lined = found.groupBy("doc_id", "item_id", "diagonal").agg(
-        F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), *equal
+        F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.collect_set(F.when(F.col("equal"), F.col("item_at"))).alias("equal_ats")
     )
     fits = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
-    changed = F.exists("pairs", lambda p: p["a"] != p["b"])
-    if verbatim:
-        consistent = lined.withColumn("ats", F.when(fits, F.col("ats")).otherwise(F.col("equal_ats"))).where(F.size("ats") > 0)
-        changed = fits & changed
-    else:
-        consistent = lined.where(fits)
+    changed = fits & F.exists("pairs", lambda p: p["a"] != p["b"])
+    consistent = lined.withColumn("ats", F.when(fits, F.col("ats")).otherwise(F.col("equal_ats"))).where(F.size("ats") > 0)
     per_item = consistent.groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"), F.min(changed).alias("reparameterised"))
     totals = bench.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     judged = per_item.join(totals, "item_id").select("doc_id", "item_id", F.size("ats").cast("long").alias("n_found"), "n_windows", "reparameterised")
@@ -129,6 +120,6 @@ def leaks(docs: DataFrame, items: DataFrame, min_coverage: float = MIN_COVERAGE,
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` into which no item leaks, all their columns unchanged."""
-    found = leaks(docs, items, id_col=id_col, text_col=text_col, **{"verbatim": True} | options)
+    found = leaks(docs, items, id_col=id_col, text_col=text_col, **options)
     bad = found.select(F.col("doc_id").alias("_leaking")).distinct()
     return docs.join(bad, docs[id_col] == bad["_leaking"], "left_anti")
