@@ -165,6 +165,31 @@ def training_ctes(
     return ctes
 
 
+def crossed_samples_sql() -> str:
+    """One row per sample and slot: ``row_id, shard_id, y, j, x``."""
+    cols = [f"list_transform(e, lambda v, i: v * e[(i - 1 + {s}) % 64 + 1])" for s in range(16)]
+    return (
+        "SELECT vec_id AS row_id, CAST(vec_id % 3 + 1 AS INTEGER) AS shard_id, CAST(label % 2 AS DOUBLE) AS y, unnest(range(1024)) AS j, "
+        f"unnest({' || '.join(cols)}) AS x FROM (SELECT *, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) q"
+    )
+
+
+def long_training_sql(samples_long: str, k: int, rounds: int = 10, lr: float = 0.01, norm_slots: int = WEIGHT_SLOTS) -> str:
+    """Training over samples with a row per slot: ``round_id, grad_norm, j, w``."""
+    ctes = [f"s AS MATERIALIZED ({samples_long})", f"w_0 AS MATERIALIZED (SELECT range AS j, 0.0::DOUBLE AS w FROM range({k}))"]
+    for r in range(rounds):
+        ctes += [
+            f"e_{r} AS MATERIALIZED (SELECT row_id, shard_id, 1.0 / (1.0 + exp(-sum(x * w))) - any_value(y) AS e FROM s JOIN w_{r} USING (j) GROUP BY row_id, shard_id)",
+            f"g_{r} AS MATERIALIZED (SELECT j, avg(g) AS g FROM (SELECT s.shard_id, j, avg(e * x) AS g FROM s JOIN e_{r} USING (row_id) GROUP BY s.shard_id, j) q GROUP BY j)",
+            f"w_{r + 1} AS MATERIALIZED (SELECT j, w - {lr!r} * g AS w FROM w_{r} JOIN g_{r} USING (j))",
+        ]
+    body = " UNION ALL ".join(
+        f"SELECT CAST({r} AS INTEGER) AS round_id, {r8(f'(SELECT sqrt(sum(g * g) / {float(norm_slots)!r}) FROM g_{r})')} AS grad_norm, CAST(j AS INTEGER) AS j, {r8('w')} AS w FROM w_{r + 1}"
+        for r in range(rounds)
+    )
+    return with_ctes(ctes, body)
+
+
 def with_ctes(ctes: Sequence[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 

@@ -2,8 +2,8 @@
 
 Data flow of one round (one Spark job, two stages):
 
-    cached flat samples, fail_round > round_id (J2), weights as literal columns (J1) -->
-    err * x_j / n_shard per row --(partial sum per task, one row)--> final sum (one row)
+    cached samples, fail_round > round_id (J2), weights shipped with the tasks (J1) -->
+    err * x / n_shard summed per task (one row) --> final sum (one row)
 
 The mean of shard means is ``sum_s (1/n_s) sum_{i in s} err_i x_i / S``. Each row carries
 ``inv_n = 1/n_s`` of its shard, computed once, so a round needs no per-shard grouping and
@@ -11,6 +11,11 @@ no key-based shuffle: every task emits one partial row whatever the shard sizes,
 shard holding most of the data costs nothing extra. The driver receives k sums, steps the
 weights (P5), computes the RMS (A5) and tests convergence (T3).
 
+Up to ``NARROW`` features the samples are flat columns and a round is generated JVM code. Wider
+samples are packed into blocks, each as wide as its own rows are (rows are sorted by width within a
+partition, so that narrow shards store no slots they don't have), and a round is two matrix products
+a block: plan and code are the same in every round and for every width.
+
 Many runs, each with its own samples and its own control log, are trained by
 ``gradmesh.plans.runs``; nothing per run reaches the driver there.
 """
@@ -23,6 +28,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +48,8 @@ from gradmesh.operators.control import PROGRESS_SCHEMA, fold_control
 from gradmesh.operators.gradients import combined_gradient, shard_gradient, weights_literal
 
 NEVER = 2**31 - 1
+NARROW = 16  # features that are held as columns
+BLOCK_BYTES = 1 << 21  # of a block of wide samples, one row at least
 
 HISTORY_SCHEMA = T.StructType(
     [
@@ -76,6 +85,7 @@ class Prepared:
     k: int
     n_shards: int
     alive: list[int]
+    blocks: bool = False
 
 
 @dataclass
@@ -144,6 +154,13 @@ def prepared(
             yield Prepared(None, 0, n_shards, alive)
             return
         side = per_shard.select("shard_id", (F.lit(1.0) / F.col("n")).alias("inv_n"), "fail_round")
+        if k > NARROW:
+            packed = in_blocks(base.join(side, "shard_id")).persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(packed)
+            packed.count()
+            base.unpersist()
+            yield Prepared(packed, k, n_shards, alive, True)
+            return
         flat = base.join(side, "shard_id").select(
             "inv_n", "fail_round", "y", *[F.coalesce(F.get("x", j), F.lit(0.0)).alias(c) for j, c in enumerate(xcols(k))]
         )
@@ -156,13 +173,64 @@ def prepared(
             d.unpersist()
 
 
+_BLOCK = "width int, x binary, y binary, inv_n binary, fail_round binary"
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``x, y, inv_n, fail_round`` packed: matrices of samples, row by row, with their width."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            widths = b.column("width").to_numpy()
+            at = 0
+            while at < len(widths):
+                most = max(1, BLOCK_BYTES // (8 * max(int(widths[at]), 1)))
+                end = min(int(np.searchsorted(widths, widths[at], "right")), at + most)  # rows of one width
+                part = b.slice(at, end - at)
+                cols = {"width": pa.array([int(widths[at])], pa.int32()), "x": pa.array([np.ascontiguousarray(part.column("x").flatten().to_numpy(zero_copy_only=False)).tobytes()], pa.binary())}
+                cols |= {c: pa.array([part.column(c).to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in ("y", "inv_n", "fail_round")}
+                yield pa.RecordBatch.from_pydict(cols)
+                at = end
+
+    # a row without a label has no error: it counts in its shard and adds nothing
+    x = F.transform("x", lambda v: F.coalesce(v, F.lit(0.0)))
+    inv_n = F.when(F.col("y").isNull(), F.lit(0.0)).otherwise(F.col("inv_n"))
+    given = rows.where("x IS NOT NULL").select(F.size("x").alias("width"), x.alias("x"), F.coalesce("y", F.lit(0.0)).alias("y"), inv_n.alias("inv_n"), "fail_round")
+    return given.sortWithinPartitions("width").mapInArrow(pack, _BLOCK)
+
+
+def block_sums(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int, list[float]]:
+    """:func:`round_sums` over blocks: per block one product for the scores, one for the sums."""
+    k, weights = prep.k, np.array(w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k + 1)
+        with np.errstate(all="ignore"):
+            for b in batches:
+                for width, *parts in zip(*(b.column(c) for c in ("width", "x", "y", "inv_n", "fail_round")), strict=True):
+                    x, y, inv_n = (np.frombuffer(p.as_buffer(), np.float64) for p in parts[:3])
+                    live = np.frombuffer(parts[3].as_buffer(), np.int32) > round_id
+                    x = x.reshape(len(live), width.as_py())[live]
+                    e = (1.0 / (1.0 + np.exp(-(x @ weights[: x.shape[1]]))) - y[live]) * inv_n[live]
+                    total[: x.shape[1]] += e @ x
+                    total[k] += len(x)
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total], pa.list_(pa.float64()))})
+
+    parts = prep.df.mapInArrow(run, "sums array<double>").select(F.posexplode("sums").alias("j", "v"))
+    got = {r["j"]: r["v"] for r in parts.groupBy("j").agg(F.sum("v").alias("v")).collect()}
+    return int(got.get(k, 0)), [got.get(j, 0.0) for j in range(k)]
+
+
 def round_sums(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int, list[float]]:
-    """``(rows, [sum err*x_j/n_s])`` over live shards, in generated JVM code.
+    """``(rows, [sum err*x_j/n_s])`` over live shards.
 
-    The weights enter as literal columns (any double, NaN and infinities included), the
-    live-shard test is the J2 filter. Score, sigmoid, residual and the k sums fuse into one
-    whole-stage-codegen pipeline over the cached columns; each task emits one partial row.
+    Narrow samples: in generated JVM code. The weights enter as literal columns (any double, NaN
+    and infinities included), the live-shard test is the J2 filter. Score, sigmoid, residual and
+    the k sums fuse into one whole-stage-codegen pipeline over the cached columns; each task
+    emits one partial row.
     """
+    if prep.blocks:
+        return block_sums(prep, w, round_id)
     xs = xcols(prep.k)
     score = reduce(lambda a, b: a + b, [F.lit(float(v)) * F.col(x) for v, x in zip(w, xs, strict=True)])
     rows = prep.df.where(F.col("fail_round") > round_id).select(((sigmoid(score) - F.col("y")) * F.col("inv_n")).alias("e"), *xs)

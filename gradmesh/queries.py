@@ -284,6 +284,13 @@ def q_train_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hist_exploded(TR.train(TB.wide_samples(spark, sf_dir), partitions=_cores(spark)).history)
 
 
+@register("train_1024", lambda: O.long_training_sql(O.crossed_samples_sql(), 1024))
+def q_train_1024(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1,024 features, as blocks and matrix products."""
+    res = TR.train(TB.crossed_samples(spark, sf_dir), partitions=_cores(spark))
+    return _hist_exploded(res.history).select("round_id", "grad_norm", "j", "w")
+
+
 @register(
     "train_with_failures",
     lambda: O.with_ctes(O.training_ctes(O.li_samples_sql(), 4, failures_sql=_failures_sql()),
@@ -357,7 +364,7 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _on_disk(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """The lines written as ``shard_<id>.txt`` in the shared folder, in order, and read back."""
-    paths = GEN.write_named_shards(lines.orderBy("pos"), shared_path(spark, "shards"), range(1, TB.N_SHARDS + 1))
+    paths = GEN.write_named_shards(lines, shared_path(spark, "shards"))
     return TX.read_shards(spark, paths)
 
 

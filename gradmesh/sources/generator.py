@@ -9,8 +9,6 @@ Python's ``random``, so values differ from the reference's files; the rule is th
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,13 +89,27 @@ def write_shards(lines: DataFrame, path: str, mode: str = "errorifexists") -> st
     return path
 
 
-def write_named_shards(lines: DataFrame, path: str, shard_ids: Iterable[int]) -> list[str]:
-    """Write the lines of each shard as ``path/shard_<id>.txt``, a folder of part files.
+def write_named_shards(lines: DataFrame, path: str, order: str = "pos") -> list[str]:
+    """Write the lines of each shard, in ``order``, as ``path/shard_<id>.txt``, a folder of part
+    files; returns those folders, by id.
 
-    One scan per shard, so meant for the few shards of a configuration.
+    One scan and one sort for all shards: rows are dealt by ranges of ``(shard_id, order)``, so
+    that a large shard is written by several tasks, into one folder per shard, which then gets its
+    name by the Hadoop file system. A shard without lines has no folder.
     """
-    out = []
-    for i in shard_ids:
-        out.append(f"{path}/shard_{int(i)}.txt")
-        lines.where(F.col("shard_id") == int(i)).select("value").write.text(out[-1])
-    return out
+    spark = lines.sparkSession
+    made = f"{path}/by-shard"
+    by = lines.select("shard_id", order, "value").repartitionByRange("shard_id", order).sortWithinPartitions("shard_id", order)
+    by.select("shard_id", "value").write.partitionBy("shard_id").text(made)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(made)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for status in files.listStatus(top):
+        kind, _, value = status.getPath().getName().partition("=")
+        if kind == "shard_id" and value.lstrip("-").isdigit():
+            found[int(value)] = f"{path}/shard_{int(value)}.txt"
+            if not files.rename(status.getPath(), hadoop.Path(found[int(value)])):
+                raise OSError(f"can't rename {status.getPath()} to {found[int(value)]}")
+    files.delete(top, True)
+    return [found[i] for i in sorted(found)]

@@ -65,6 +65,13 @@ def wide_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_samples(spark, sf_dir).withColumn("x", F.concat("x", F.transform("x", lambda v: v * v)))
 
 
+def crossed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-EMB with 1,024 features: each slot times the one 0 to 15 places on, cyclically."""
+    twice = F.concat("x", "x")
+    shifted = [F.zip_with("x", F.slice(twice, s + 1, F.size("x")), lambda a, b: a * b) for s in range(16)]
+    return embedding_samples(spark, sf_dir).withColumn("x", F.concat(*shifted))
+
+
 def embedding_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-EMB: 64-d embeddings, label parity."""
     emb = read_table(spark, sf_dir, "embeddings")

@@ -79,8 +79,9 @@ def test_read_shard_files(spark):
 
 
 def test_named_shard_folders_and_misnamed_files(spark, tmp_path):
-    lines = spark.createDataFrame([(i, f"{i} {k} 1") for i in (1, 2) for k in range(5)], "shard_id INT, value STRING")
-    paths = GEN.write_named_shards(lines, str(tmp_path), [1, 2])
+    lines = spark.createDataFrame([(i, f"{i} {k} 1", k) for i in (1, 2) for k in range(5)], "shard_id INT, value STRING, pos INT")
+    paths = GEN.write_named_shards(lines, str(tmp_path))
+    lines = lines.drop("pos")
     assert [p.rsplit("/", 1)[1] for p in paths] == ["shard_1.txt", "shard_2.txt"]
     (tmp_path / "shard_3.txt.bak").write_text("3 3 1\n")
     back = TX.read_shards(spark, [*paths, str(tmp_path / "shard_3.txt.bak")])
@@ -88,6 +89,20 @@ def test_named_shard_folders_and_misnamed_files(spark, tmp_path):
     assert [r.value for r in back.where("shard_id IS NULL").collect()] == ["3 3 1"]
 
 
+def test_a_thousand_shards_are_written_in_one_scan(spark, tmp_path):
+    """Each in its order, a large one by several tasks; the input is read once (and sampled)."""
+    lines = spark.range(0, 30_000, 1, 6).selectExpr("CAST(CASE WHEN id % 3 = 0 THEN 0 ELSE id % 1000 END AS INT) AS shard_id", "CAST(id AS STRING) AS value", "30000 - id AS pos")
+    paths = GEN.write_named_shards(lines, str(tmp_path / "shards"))
+    assert len(paths) == 1000 and sorted(os.listdir(tmp_path / "shards")) == sorted(p.rsplit("/", 1)[1] for p in paths)
+    assert len([f for f in os.listdir(paths[0]) if f.startswith("part-")]) > 1
+    for i in (0, 1, 998):
+        files = sorted(f for f in os.listdir(paths[i]) if f.startswith("part-"))
+        got = [int(x) for f in files for x in (tmp_path / "shards" / f"shard_{i}.txt" / f).read_text().split()]
+        assert got == [k for k in range(29_999, -1, -1) if (0 if k % 3 == 0 else k % 1000) == i]
+    back = TX.read_shards(spark, str(tmp_path / "shards" / "shard_*.txt"))
+    assert sorted((r.shard_id, r.value) for r in back.collect()) == sorted((r.shard_id, r.value) for r in lines.collect())
+
+
 def test_text_to_training_leaves_a_failed_load_out(spark, tmp_path):
     (tmp_path / "shard_1.txt").write_text("# h\n1 2 1\n3 4 0\n")
     (tmp_path / "shard_2.txt").write_text("5 -1 1\n")

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,7 +139,7 @@ def test_live_commands(spark, tmp_path):
     live = TR.LiveControl(lambda: spark.read.schema(schema).parquet(path), wait_s=0.1, max_waits=2)
     res = TR.train(samples_df(spark, M1), live=live, on_round=arrive)
     assert [r.lr for r in hist(res)] == [0.01, 0.01] + [0.5] * 5
-    assert live.answered == [(0, 0)]
+    assert [(a["seq"], a["current_round"], a["current_loss"]) for a in live.answers] == [(0, 0, 0.0)]
     assert tuple(res.summary.first())[1:3] == (7, 7) and res.summary.first().outcome == "stalled"
 
 
@@ -161,3 +162,19 @@ def test_alive_shards(spark):
     f = spark.createDataFrame([(2, 3)], "shard_id INT, failed_from_round INT")
     a = {r.round_id: r.alive_shards for r in G.alive_shards(samples_df(spark, M1), f, 5).collect()}
     assert a == {0: 2, 1: 2, 2: 2, 3: 1, 4: 1}
+
+
+def test_blocks_equal_columns(spark, monkeypatch):
+    """Ragged and wide samples, null labels and slots, failures: the same by either layout."""
+    rng = np.random.default_rng(3)
+    rows = [(1 + k % 4, [None if k == 9 else float(v) for v in rng.standard_normal(5 * (1 + k % 4))], None if k == 17 else float(k % 2)) for k in range(90)]
+    s = spark.createDataFrame(rows, "shard_id INT, x ARRAY<DOUBLE>, y DOUBLE")
+    failures = spark.createDataFrame([(2, 1), (4, 2)], "shard_id INT, failed_from_round INT")
+    blocks = hist(TR.train(s, rounds=4, lr=0.5, failures=failures))
+    with TR.prepared(s, 4) as prep:
+        assert prep.blocks and sorted({r.width for r in prep.df.collect()}) == [5, 10, 15, 20]
+        assert sum(len(r.x) for r in prep.df.collect()) == 8 * sum(len(x) for _, x, _ in rows)  # stored slots only
+    monkeypatch.setattr(TR, "NARROW", 10**6)
+    for a, b in zip(blocks, hist(TR.train(s, rounds=4, lr=0.5, failures=failures)), strict=True):
+        assert (a.responses, a.alive_shards, a.status) == (b.responses, b.alive_shards, b.status)
+        assert a.grad_norm == pytest.approx(b.grad_norm, rel=1e-12) and a.w == pytest.approx(b.w, rel=1e-12, abs=1e-15)
