@@ -12,44 +12,47 @@ common subsequence within the band of diagonals that the threshold leaves possib
 worked out exactly, as the longest increasing run of common positions, since labelled k-mers
 are distinct. With m aligned k-mers the similarity is ``m / (n_a + n_b - m)``, 0.8 or more.
 
-Copies first: texts with equal words are one class whose smallest id stands for it, found by
-an aggregate, so copies are never paired. Within a bucket no pairs are formed either: all are
-compared with one hub, the member that shares most buckets overall (in a family of edited
-copies that is the least edited one). Members that stay outside the hub's component are open;
-in each later round another of them is the hub (``HUBS``), against which all members of
-other components are compared, which is linear in the rows. What two similar texts are left in
-different components, since no hub links them, is found by an exact join (:func:`_left_pairs`)
-of all members of buckets that still hold several components: texts at 0.8 or more share one of
-their rarest k-mers (a prefix filter). So every two similar texts that share a bucket end in one
-class. The work of this last step grows with the pairs that share a rare k-mer across components.
-Classes are connected components of the verified links, carried from round to round by
-components, not texts.
+Copies first: texts with equal words are one node, found by an aggregate, so copies are never
+paired. Within a bucket all are compared with one hub in each round (``HUBS``): the open member that
+shares most buckets overall (in a family of edited copies that is the least edited one). Members
+that stay outside the hub's component are open. That is linear in the rows and collapses a family
+before any of its pairs form. What two similar texts are then left in different components is found
+by an exact join of the members of a bucket (:func:`_left_pairs`), whose condition holds the length
+bound and a bound by parity bits: texts have one bit of ``PARITY`` for every hash of a k-mer, set if
+an odd number of them falls there, so that two texts have at least as many k-mers of their own as
+bits that differ. A pair below the threshold hardly ever comes out of the join, a pair above always.
+So every two similar texts that share a bucket end in one class. Classes are connected components
+of the verified links, carried from round to round by components, not texts.
 
 Defined cases: null text is empty; empty texts are copies of one another; a text of one to
 four words is one k-mer; rows without an id are classes of their own and always stay; repeated
-rows of one id are one document, with different texts it gets the lowest class; an empty table
-gives an empty result; other columns, whatever their names, are kept by :func:`one_of_each`.
+rows of one id are one document; an id with different texts belongs to the classes of all of them,
+which are then one (:func:`near_duplicates`); an empty table gives an empty result. Where one text
+of each class stays (:func:`one_of_each`) classes are those of texts, whatever ids they share, so
+that no text goes without a similar one that stays; other columns, whatever their names, are kept.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradmesh.llm.common import WordHash, mix, texts, written
+from gradmesh.llm.common import WordHash, fresh, mix, texts, written
 from gradmesh.llm.components import components
 
 SHINGLE = 5
 PICK = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-HUBS = (1, 1, 1, 1)  # of a bucket, round by round
+HUBS = (1, 1)  # of a bucket, round by round
+PARITY = 1024  # bits
 
 #: Odd multipliers, one per sketch: h -> h * m orders the k-mers anew each time.
 _MULTIPLIERS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -119,8 +122,21 @@ def _increasing(values: list[int]) -> int:
     return len(tails)
 
 
+def parity(kmers: np.ndarray, bits: int = PARITY) -> np.ndarray:
+    """Of each of ``bits`` classes of k-mers, is their number odd; as 64-bit words. Two texts'
+    words differ in as many bits at most as k-mers occur in one of them only."""
+    odd = np.bincount((mix(kmers) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def differing(a: str, b: str, bits: int = PARITY) -> Column:
+    """Bits in which two arrays of parity words differ."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, k).bitwiseXOR(F.get(b, k))) for k in range(bits // 64)])
+
+
 def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, digest, n, sketches`` of every row that has an id."""
+    """``doc_id, row_key, digest, n, sketches`` of every row that has an id; ``row_key`` tells an
+    id's texts apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = WordHash()
@@ -132,21 +148,31 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 sizes.append(len(kmers))
                 found.append(sketches(kmers))
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "digest": pa.array(digests, pa.binary()), "n": pa.array(sizes, pa.int64()), "sketches": pa.array(found, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": b.column("doc_id"), "row_key": b.column("row_key"), "digest": pa.array(digests, pa.binary()),
+                "n": pa.array(sizes, pa.int64()), "sketches": pa.array(found, pa.list_(pa.int64())),
+            })
 
-    return texts(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, "doc_id bigint, digest binary, n bigint, sketches array<bigint>")
+    return _keyed(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, row_key bigint, digest binary, n bigint, sketches array<bigint>")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return texts(docs, id_col, text_col).where("doc_id IS NOT NULL").withColumn("row_key", F.xxhash64("text"))
 
 
 def with_kmers(found: DataFrame) -> DataFrame:
-    """``doc_id, kmers`` of ``doc_id, text``: the labelled k-mers in text order."""
+    """``rep, kmers, parity`` of ``rep, text``: the labelled k-mers in text order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = WordHash()
         for b in batches:
-            kmers = [labelled_kmers(word.of(t.as_py())).view(np.int64) for t in b.column("text")]
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "kmers": pa.array(kmers, pa.list_(pa.int64()))})
+            kmers = [labelled_kmers(word.of(t.as_py())) for t in b.column("text")]
+            yield pa.RecordBatch.from_pydict({
+                "rep": b.column("rep"), "kmers": pa.array([k.view(np.int64) for k in kmers], pa.list_(pa.int64())),
+                "parity": pa.array([parity(k) for k in kmers], pa.list_(pa.int64())),
+            })
 
-    return found.select("doc_id", "text").mapInArrow(run, "doc_id bigint, kmers array<bigint>")
+    return found.select("rep", "text").mapInArrow(run, "rep bigint, kmers array<bigint>, parity array<bigint>")
 
 
 def verified(pairs: DataFrame, kmers: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -162,8 +188,8 @@ def verified(pairs: DataFrame, kmers: DataFrame, least: float = SIMILARITY) -> D
             keep = [similarity(np.asarray(a.values), np.asarray(b.values), least) >= least for a, b in both]
             yield batch.drop_columns(["a_kmers", "b_kmers"]).filter(pa.array(keep, pa.bool_()))
 
-    left = kmers.select(F.col("doc_id").alias("a"), F.col("kmers").alias("a_kmers"))
-    right = kmers.select(F.col("doc_id").alias("b"), F.col("kmers").alias("b_kmers"))
+    left = kmers.select(F.col("rep").alias("a"), F.col("kmers").alias("a_kmers"))
+    right = kmers.select(F.col("rep").alias("b"), F.col("kmers").alias("b_kmers"))
     total, common = F.size("a_kmers") + F.size("b_kmers"), F.size(F.array_intersect("a_kmers", "b_kmers"))
     both = pairs.join(left, "a").join(right, "b").where(common >= total * (least / (1 + least)) - 1e-9)
     return both.select(*pairs.columns, "a_kmers", "b_kmers").mapInArrow(run, pairs.schema)
@@ -203,74 +229,95 @@ def _settled(places: DataFrame, hubs: DataFrame, step: DataFrame | None) -> Data
 
 
 def _left_pairs(places: DataFrame, kmers: DataFrame, least: float) -> DataFrame:
-    """Pairs from different components, of members of buckets that hold several components.
+    """Pairs from different components that share a bucket and may be similar, with both components.
 
-    Similar texts have at least ``least`` of either's k-mers in common; so in any one order of
-    all k-mers they share one among the first ``n - ceil(least * n) + 1`` of each. The rarest
-    come first: those of a single text fill places but meet nothing. Each pair has an end
-    outside the component that has most of the texts with that k-mer; only such ends are joined
-    with all others.
+    With m aligned k-mers, ``n_a + n_b - 2 m`` are of one text only; at ``least`` or more that is
+    ``(n_a + n_b) * (1 - least) / (1 + least)`` at most, and the parity words differ in no more
+    bits. Each pair has an end outside the component that has most of the bucket's members; only
+    such ends are joined with all members.
     """
-    several = places.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = written(places.join(several.select("bucket"), "bucket").select("rep", "n", "component").distinct(), "omh-left")
-    each = left.join(kmers.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "component", F.explode("kmers").alias("kmer"))
-    shared = each.groupBy("kmer").agg(F.count("*").alias("often")).where("often > 1")
-    ordered = F.sort_array(F.collect_list(F.struct("often", "kmer")))
-    first = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("ordered"))
-    by_rep = each.join(shared, "kmer").groupBy("rep", "n", "component").agg(ordered.alias("ordered")).withColumn("first", first.cast("int"))
-    prefix = by_rep.where("first > 0").select("rep", "n", "component", F.explode(F.slice("ordered", 1, F.col("first"))).alias("k"))
-    prefix = written(prefix.select("rep", "n", "component", "k.kmer"), "omh-prefixes")
-    held = prefix.groupBy("kmer", "component").agg(F.count("*").alias("texts")).groupBy("kmer")
+    held = places.groupBy("bucket", "component").agg(F.count("*").alias("texts")).groupBy("bucket")
     held = held.agg(F.count("*").alias("components"), F.max(F.struct("texts", "component"))["component"].alias("main")).where("components > 1")
-    met = written(prefix.join(held.select("kmer", "main"), "kmer"), "omh-met")
-    ends = met.where("component != main").select("kmer", F.struct("rep", "n", "component").alias("end"))
-    fits = (F.col("n") >= least * F.col("end.n")) & (F.col("end.n") >= least * F.col("n"))
-    once = (F.col("component") == F.col("main")) | (F.col("rep") < F.col("end.rep"))
-    pairs = met.join(ends, "kmer").where((F.col("component") != F.col("end.component")) & fits & once)
-    return pairs.select(F.least("rep", "end.rep").alias("a"), F.greatest("rep", "end.rep").alias("b")).distinct()
-
-
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, class_id`` of every distinct id: the smallest id of its class."""
+    met = places.join(held.select("bucket", "main"), "bucket").join(kmers.select("rep", "parity"), "rep").select("bucket", "rep", "n", "component", "main", "parity")
+    met = written(met, "omh-left")
+    ends = met.where("component != main").select("bucket", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_component"), F.col("parity").alias("b_parity"))
+    fits = (F.col("n") >= least * F.col("b_n")) & (F.col("b_n") >= least * F.col("n"))
+    once = (F.col("component") == F.col("main")) | (F.col("rep") < F.col("b"))
+    near = differing("parity", "b_parity") <= (F.col("n") + F.col("b_n")) * ((1 - least) / (1 + least)) + 1e-9
+    # the members grow with the texts: the same merge join at every size, never a broadcast
+    pairs = met.hint("merge").join(ends, (met["bucket"] == ends["bucket"]) & (F.col("component") != F.col("b_component")) & fits & once & near)
+    return pairs.select(F.col("rep").alias("a"), "b", F.col("component").alias("a_component"), "b_component").distinct()
+
+
+def text_classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, row_key, class_id`` of every row that has an id: the smallest id of the class of
+    its text."""
     made = written(sketched(docs, id_col, text_col), "omh-sketches")
-    reps = written(made.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketches").alias("sketches")), "omh-reps")
+    reps = made.groupBy("digest").agg(F.min(F.struct("doc_id", "row_key")).alias("at"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
+    # a node is a text: ids can't stand for it, as one may have several
+    reps = written(reps.select("digest", "at.*", "n", "sketches", F.monotonically_increasing_id().alias("rep")), "omh-reps")
     all_places = reps.select("rep", "n", F.explode("sketches").alias("bucket"))
     shared = all_places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     places = written(all_places.join(shared, "bucket"), "omh-shared")
     score = places.groupBy("rep").agg(F.sum("size").alias("score"))
     # the ids grow with the texts: the same merge join at every size, never a broadcast
-    needed = score.select(F.col("rep").alias("doc_id")).hint("merge")
-    kmers = written(with_kmers(texts(docs, id_col, text_col).join(needed, "doc_id")), "omh-kmers")
+    needed = reps.join(score, "rep").select("doc_id", "row_key", "rep").hint("merge")
+    chosen = _keyed(docs, id_col, text_col).join(needed, ["doc_id", "row_key"]).dropDuplicates(["doc_id", "row_key"])
+    kmers = written(with_kmers(chosen), "omh-kmers")
     places = places.join(score, "rep").select("bucket", "rep", "n", "score", F.col("rep").alias("component"), F.lit(True).alias("open"), F.lit(False).alias("was_hub"))
     places = written(places, "omh-places")
 
-    classes = reps.select("digest", F.col("rep").alias("component"))
+    classes = reps.select("digest", "doc_id", F.col("rep").alias("component"))
     for n_hubs in HUBS:
         if places.where("open").isEmpty():
             break
         hubs, links = _round(places, kmers, n_hubs, least)
-        step = None if links.isEmpty() else components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")))
+        step = _step(links)
         classes = _up(classes, step)
         places = written(_settled(places, hubs, step), "omh-places")
-    pairs = _left_pairs(places, kmers, least)
-    of = places.select("rep", "component").distinct()
-    pairs = pairs.join(of.select(F.col("rep").alias("a"), F.col("component").alias("a_component")), "a")
-    pairs = pairs.join(of.select(F.col("rep").alias("b"), F.col("component").alias("b_component")), "b")
-    links = written(verified(pairs, kmers, least), "omh-links")
-    if not links.isEmpty():
-        classes = _up(classes, components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))))
-    classes = classes.select("digest", F.col("component").alias("class_id"))
-    return made.select("doc_id", "digest").join(classes, "digest").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    links = written(verified(_left_pairs(places, kmers, least), kmers, least), "omh-links")
+    classes = _up(classes, _step(links))
+    lowest = classes.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    return made.select("doc_id", "row_key", "digest").join(classes.select("digest", "component").join(lowest, "component"), "digest").select("doc_id", "row_key", "class_id")
+
+
+def _step(links: DataFrame) -> DataFrame | None:
+    if links.isEmpty():
+        return None
+    return components(links.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")))
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, class_id`` of every distinct id: the smallest id of its class. Classes that share
+    an id, through texts of its own, are one."""
+    of = text_classes(docs, least, id_col, text_col).select("doc_id", "class_id").distinct()
+    of = written(of, "omh-classes")
+    lowest = of.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("classes"))
+    more = lowest.where("classes > 1").select("doc_id", F.col("class_id").alias("low"))
+    if more.isEmpty():
+        return lowest.select("doc_id", "class_id")
+    links = of.join(more, "doc_id").where("class_id != low").select(F.col("low").alias("a"), F.col("class_id").alias("b"))
+    to = components(links).select(F.col("node").alias("class_id"), F.col("component").alias("merged"))
+    return lowest.select("doc_id", "class_id").join(to, "class_id", "left").select("doc_id", F.coalesce("merged", "class_id").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, one row per id."""
-    classes = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    others = classes.where("doc_id != class_id").select(F.col("doc_id").alias("_other"))
-    kept = docs.join(others, docs[id_col] == others["_other"], "left_anti")
-    repeated = docs.groupBy(docs[id_col].alias("_other")).agg(F.count("*").alias("_n")).where("_n > 1 AND _other IS NOT NULL").select("_other")
-    if repeated.isEmpty():
-        return kept
-    again = written(repeated, "repeated-ids")
-    once = kept.join(again, kept[id_col] == again["_other"], "left_semi").dropDuplicates([id_col])
-    return kept.join(again, kept[id_col] == again["_other"], "left_anti").unionByName(once)
+    """The rows of ``docs`` that stand for the classes of their texts: of each class the row with
+    the smallest id (of several texts of that id the one with the smallest hash; of repeated rows
+    the first by all their columns), and all rows without an id."""
+    of = written(text_classes(docs, id_col=id_col, text_col=text_col, **options), "omh-classes")
+    each = of.groupBy("class_id", "doc_id", "row_key").agg(F.count("*").alias("rows"))
+    least_one = each.groupBy("class_id").agg(F.min(F.struct("doc_id", "row_key")).alias("at"))
+    first = each.join(least_one, "class_id").withColumn("first", F.struct("doc_id", "row_key") == F.col("at"))
+    first = written(first.select("doc_id", "row_key", "first", "rows"), "omh-first")
+    ident, key, key_of = fresh(docs, "_id", "_key", "_key_of")
+    named = [F.col("doc_id").alias(ident), F.col("row_key").alias(key_of)]
+    given = docs.withColumn(key, F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
+    this = (given[id_col].cast("bigint") == F.col(ident)) & (given[key] == F.col(key_of))
+    kept = given.join(first.where("NOT first").select(*named), this, "left_anti")
+    again = first.where("first AND rows > 1").select(*named)
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    order = Window.partitionBy(id_col, key).orderBy(F.to_json(F.struct(*docs.columns)))
+    once = kept.join(again, this, "left_semi").withColumn(ident, F.row_number().over(order)).where(F.col(ident) == 1)
+    return kept.join(again, this, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))

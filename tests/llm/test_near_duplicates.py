@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gradmesh.llm import order_minhash as M
 from gradmesh.llm.common import WordHash
@@ -100,6 +101,27 @@ def test_null_and_repeated_ids(spark):
     assert M.one_of_each(df.where("false")).count() == 0
 
 
+def test_an_id_with_several_texts(spark):
+    """No text goes without a similar one that stays, and classes that share an id are one."""
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "y"), (5, b, "x"), (9, b + " end", "x"), (7, "some text of its own", "x"), (None, b, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string").repartition(4)
+    assert dict(map(tuple, M.near_duplicates(df).collect())) == {3: 3, 5: 3, 9: 3, 7: 7}
+    kept = M.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([(3, a, "x"), (5, b, "x"), (7, "some text of its own", "x"), (None, b, "x")], key=str)
+
+
+def test_parity_words_bound_the_difference(spark):
+    rng, w = random.Random(6), WordHash()
+    base = [f"w{k}" for k in range(300)]
+    kmers = [M.labelled_kmers(w.of(edited(rng, base, rng.randrange(0, 60)))) for _ in range(30)] + [M.labelled_kmers(w.of(t)) for t in ("", "a", "a b c d e f")]
+    df = spark.createDataFrame([(k, M.parity(x).tolist()) for k, x in enumerate(kmers)], "k int, p array<bigint>")
+    both = df.join(df.select(F.col("k").alias("l"), F.col("p").alias("q")), F.col("k") < F.col("l")).select("k", "l", M.differing("p", "q").alias("d")).collect()
+    gaps = [len(np.setxor1d(kmers[r.k], kmers[r.l])) - r.d for r in both]
+    assert min(gaps) >= 0 and sum(g == 0 for g in gaps) > 3
+
+
 def test_alignment_is_exact():
     rng, w = random.Random(2), WordHash()
     for _ in range(200):
