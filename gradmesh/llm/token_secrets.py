@@ -36,6 +36,7 @@ from gradmesh.llm.common import texts
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "random")
 MAX_RATIO = 2.2  # characters per token; words of natural languages have 3 and more
+WORD_RATIO = 1.85  # of letters in the case of a word, among which rare and made-up words get down to 2
 PIECE = 512
 LEAST = 16  # characters of a candidate, a part or a window
 
@@ -71,10 +72,16 @@ def ratio(text: str, enc: tiktoken.Encoding) -> float:
     return len(text) / max(len(token_sizes(text, enc)), 1)
 
 
+def least_ratio(s: str, max_ratio: float) -> float:
+    """What a string must stay below, by its class of characters: letters that are all lower or
+    upper case, or have one capital in front, may be a word."""
+    return min(max_ratio, WORD_RATIO) if s.isalpha() and (s[1:].islower() or s.isupper()) else max_ratio
+
+
 def is_random(s: str, enc: tiktoken.Encoding, max_ratio: float) -> bool:
     if _KNOWN.fullmatch(s) or _IDENTIFIER.fullmatch(s):
         return False
-    return ratio(s, enc) < max_ratio
+    return ratio(s, enc) < least_ratio(s, max_ratio)
 
 
 def random_windows(s: str, enc: tiktoken.Encoding, max_ratio: float) -> list[tuple[int, int]]:
@@ -87,7 +94,7 @@ def random_windows(s: str, enc: tiktoken.Encoding, max_ratio: float) -> list[tup
         if j == len(ends):
             break
         window = s[start : ends[j]].strip("/=_-")
-        if ends[j] - start < max_ratio * (j - i) and not _KNOWN.fullmatch(window) and not _IDENTIFIER.fullmatch(window):
+        if ends[j] - start < least_ratio(window, max_ratio) * (j - i) and not _KNOWN.fullmatch(window) and not _IDENTIFIER.fullmatch(window):
             out.append((start, ends[j]))
     return out
 

@@ -130,3 +130,15 @@ def test_spans_keep_ids_beside_null_ones(spark):
     got = {(r.doc_id, r.kind, r.start, r.value) for r in anchors.pii_spans(docs).collect()}
     assert got == {(None, "email", 0, "a@b.cd"), (2**60 + 1, "email", 2, "a@b.cd")}
     assert [(r.doc_id, r.kind, r.value) for r in token_secrets.secret_spans(docs, VOCAB).collect()] == [(2**60 + 1, "assign", "secret: abcdefgh")]
+
+
+def test_thresholds_by_class_of_characters():
+    """Recall of planted keys by alphabet; made-up words in the case of a word aren't keys."""
+    enc, rnd = token_secrets.encoder(VOCAB), random.Random(3)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters, least in ((low + up + digits, 0.99), (low + up, 0.98), (up + "234567", 0.98), (low + digits, 0.98), (low, 0.85)):
+        keys = ["".join(rnd.choice(letters) for _ in range(24)) for _ in range(400)]
+        found = [any(e - s >= 16 for s, e in token_secrets.find(f"the key {k} here", enc)["random"]) for k in keys]
+        assert sum(found) >= least * len(keys), letters
+    for word in ("dieeinkeitgekeit", "Enheiteinzuschte", "undeinpfkeitheit", "internationalization", "Donaudampfschiffahrtsgesellschaft"):
+        assert token_secrets.find(f"a {word} b", enc)["random"] == [], word
