@@ -48,6 +48,18 @@ def test_order_is_by_rejection_per_cost():
     assert [r.name for r in Q.order_rules([Q.Measured(a, 2.0, 0.2), Q.Measured(b, 0.1, 0.1), Q.Measured(c, 1.0, 0.0)])] == ["b", "a", "c"]
 
 
+def test_measured_order_is_stable(spark):
+    """The costly rule is told from the cheap ones, whose order follows what they reject."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(4)
+    feats = Q.features(docs)
+    found = [Q.measure(feats, Q.default_rules(), sample_rows=400, repeats=12) for _ in range(2)]
+    for m in found:
+        by = {x.rule.name: x for x in m}
+        assert by["repeated_windows"].cost == max(x.cost for x in m) > 3 * by["too_short"].cost > 0
+        assert Q.order_rules(m)[-1].name != "too_short" or by["too_short"].rejected == 0
+    assert [r.name for r in Q.order_rules(found[0])][:2] == [r.name for r in Q.order_rules(found[1])][:2]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert Q.rules_report(empty).count() == 0
