@@ -20,6 +20,7 @@ from gradmesh.plans import live as LV
 from gradmesh.plans import runs as RN
 from gradmesh.plans import training as TR
 from gradmesh.session import shared_path
+from gradmesh.sources import console as CON
 from gradmesh.sources import generator as GEN
 from gradmesh.sources import tables as TB
 from gradmesh.sources import text as TX
@@ -736,3 +737,24 @@ def q_control_stream_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_command_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 + C8: raw console lines read as a stream."""
     return _stream_rows(spark, sf_dir, False, TB.commands_from_events)
+
+
+def _console_sql() -> str:
+    """Lines numbered per run by their place."""
+    lines = f"SELECT run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY seq) - 1 AS BIGINT) AS seq, value FROM ({O.cmd_lines_sql()}) c"
+    return _stream_sql(False, "SELECT * FROM (" + O.decode_sql(lines) + ") d WHERE op IS NOT NULL")
+
+
+@register("console_stream", _console_sql)
+def q_console_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C8 from raw text: a console per user, its lines in files that come in three goes."""
+    lines = TB.events_commands(spark, sf_dir)
+    path, base = shared_path(spark, "consoles"), shared_path(spark, "console_stream")
+    low, high = lines.agg(F.min("seq"), F.max("seq")).first()
+    part = F.floor((F.col("seq") - low) * 3 / (high - low + 1))
+    out = None
+    for i in range(3):
+        now = lines.where(part == i).repartition("run_id").sortWithinPartitions("run_id", "seq")
+        now.select("run_id", "value").write.mode("append").partitionBy("run_id").text(path)
+        out = run_to_table(CON.console_stream(spark, path), spark, base)
+    return out.select("run_id", "seq", "op", "round_id", F.col("paused_before").cast("int").alias("paused_before"), r8("lr").alias("lr"))

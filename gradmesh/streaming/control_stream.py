@@ -25,6 +25,7 @@ from gradmesh.functions.model import DEFAULT_LR
 from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, as_control, command_rounds, odd, pause_marker, read_commands, start_gate
 from gradmesh.operators.scan import CHUNK, Running, chunked, running
 from gradmesh.session import shared_path
+from gradmesh.sources import console
 from gradmesh.streaming.carry import Carry
 
 CONTROL_SCHEMA = "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE"
@@ -105,26 +106,38 @@ def decode_batch(lines: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFra
     return as_control(commands).drop(CHUNK), now.unionByName(done)
 
 
+def control_events(batch: DataFrame, batch_id: int, base: str) -> DataFrame:
+    """The control events of a micro-batch: of events as they are, of console lines (``run_id,
+    seq, value``) decoded, of console files (:func:`console_stream`) numbered and decoded. What a
+    run's lines carry over is kept under ``base``."""
+    session = batch.sparkSession
+    if "file" in batch.columns:
+        places = Carry(session, f"{base}/places", console.CARRY)
+        batch, lines = console.numbered(batch, places.all(batch_id - 1))  # one small row a run
+        places.write(batch_id, lines)
+    if "value" not in batch.columns:
+        return batch
+    waiting = Carry(session, f"{base}/lines", CARRIES["lines"])
+    events, left = decode_batch(batch, waiting.before(batch_id, batch))
+    waiting.write(batch_id, left)
+    return events
+
+
 def run_to_table(stream: DataFrame, spark: SparkSession, base: str | None = None, lr: float = DEFAULT_LR, wait_for_start: bool = False) -> DataFrame:
     """Drains a stream with ``availableNow`` and returns all rows so far.
 
-    The stream has control events, or console lines (``run_id, seq, value``), which are decoded
-    first. ``base`` is the folder of the query's checkpoint, carries and output, a fresh one in
-    the shared folder if not given; called again with the same folder it goes on where it
-    stopped. Batch numbers come from the checkpoint, so they are without gaps from 0.
+    The stream has control events, console lines (``run_id, seq, value``) or the lines of console
+    files (``gradmesh.sources.console``), which are decoded first. ``base`` is the folder of the
+    query's checkpoint, carries and output, a fresh one in the shared folder if not given; called
+    again with the same folder it goes on where it stopped. Batch numbers come from the checkpoint,
+    so they are without gaps from 0.
     """
     base = base or shared_path(spark, "control_stream")
     spark.createDataFrame([], OUTPUT_SCHEMA).write.mode("ignore").parquet(f"{base}/out/batch=-1")
-    is_lines = "value" in stream.columns
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        events = batch
-        if is_lines:
-            lines = Carry(session, f"{base}/lines", CARRIES["lines"])
-            events, waiting = decode_batch(batch, lines.before(batch_id, batch))
-            lines.write(batch_id, waiting)
-        runs = Carry(session, f"{base}/runs", CARRIES["runs"])
+        events = control_events(batch, batch_id, base)
+        runs = Carry(batch.sparkSession, f"{base}/runs", CARRIES["runs"])
         out, new = fold_batch(events, runs.before(batch_id, events), lr, wait_for_start)
         out.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
         runs.write(batch_id, new)
@@ -137,7 +150,7 @@ def run_to_table(stream: DataFrame, spark: SparkSession, base: str | None = None
 class Arrivals:
     """New commands of a stream, each once: a ``poll`` for ``gradmesh.plans.live.LiveRuns``.
 
-    Every call drains ``stream()`` (control events, or console lines, which are decoded) with
+    Every call drains ``stream()`` (see :func:`control_events`) with
     ``availableNow`` under one checkpoint, and returns the commands that came since the last call.
     """
 
@@ -146,12 +159,7 @@ class Arrivals:
         self.batches: list[int] = []
 
     def _take(self, batch: DataFrame, batch_id: int) -> None:
-        if "value" in batch.columns:
-            lines = Carry(batch.sparkSession, f"{self.base}/lines", CARRIES["lines"])
-            events, waiting = decode_batch(batch, lines.before(batch_id, batch))
-            lines.write(batch_id, waiting)
-        else:
-            events = batch
+        events = control_events(batch, batch_id, self.base)
         events.where("op IS NOT NULL").select(KEY, ORDER, "op", "new_lr").write.mode("overwrite").parquet(f"{self.base}/arrived/{batch_id}")
         self.batches.append(batch_id)
 

@@ -13,6 +13,7 @@ from gradmesh.operators import control as C
 from gradmesh.operators.scan import CHUNK, Running, chunked, running
 from gradmesh.plans import runs as RN
 from gradmesh.plans import training as TR
+from gradmesh.sources.console import console_stream
 from gradmesh.streaming.control_stream import run_to_table
 
 SCHEMA = "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE"
@@ -253,3 +254,24 @@ def test_line_stream_equals_sequential_reading(spark, tmp_path):
     got = by_run([(r.run_id, r.seq, r.op, r.round_id, r.paused_before, r.effective, r.lr) for r in out.collect()])
     want = {run: read_log(read_lines(log))[0] for run, log in logs.items()}
     assert got == {run: w for run, w in want.items() if w}
+
+
+def test_console_files_equal_sequential_reading(spark, tmp_path):
+    """Raw text files per run, by folder and by name, lines numbered across micro-batches."""
+    rnd = random.Random(5)
+    logs = {run: [rnd.choice(["2", "2", "1", "3", "4", "0.5", " x", "-0.5", ""]) for _ in range(rnd.randint(1, 20))] for run in range(12)}
+    src, base, out = tmp_path / "src", str(tmp_path / "query"), None
+    src.mkdir()
+    (src / "notes.txt").write_text("5\n5\n")  # of no run
+    for batch, (low, cut, high) in enumerate(((0, 2, 4), (4, 5, 7), (7, 9, 99))):
+        for run, log in logs.items():
+            for k, lines in enumerate((log[low:cut], log[cut:high])):
+                if lines and run % 2:
+                    (src / f"run_{run}-{batch}{k}.txt").write_text("".join(f"{x}\n" for x in lines))
+                elif lines:
+                    (src / f"run_id={run}").mkdir(exist_ok=True)
+                    (src / f"run_id={run}" / f"part-{batch}-{k}.txt").write_text("\n".join(lines))
+        out = run_to_table(console_stream(spark, str(src)), spark, base)
+    got = by_run([(r.run_id, r.seq, r.op, r.round_id, r.paused_before, r.effective, r.lr) for r in out.collect()])
+    want = {run: read_log(read_lines(log))[0] for run, log in logs.items()}
+    assert got == {run: w for run, w in want.items() if w}
