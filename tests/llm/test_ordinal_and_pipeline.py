@@ -91,3 +91,21 @@ def test_repeated_rows_of_a_labelled_id_reach_the_driver_once(spark, monkeypatch
     docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "no label")] + [(1, f"some text {k % 3}") for k in range(300)], "doc_id long, text string")
     grades = spark.createDataFrame([(1, 0), (2, 2)], "doc_id long, grade int")
     assert Q.train(docs, grades) == [0, 2]
+
+
+def test_stages_on_empty_null_and_repeated_rows(spark):
+    """Every stage on no rows, and on null texts and ids, repeated rows and an id with two texts."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    rows = docs.where("doc_id < 30").collect()
+    one = rows[0].asDict()
+    odd = [*rows, *rows[:5], {**one, "doc_id": None}, {**one, "text": None}, {**one, "doc_id": None, "text": None}, {**one, "text": ""}, {**one, "doc_id": rows[1]["doc_id"]}]
+    for given in ([], [tuple(r[c] for c in docs.columns) if isinstance(r, dict) else tuple(r) for r in odd]):
+        now = spark.createDataFrame(given, docs.schema)
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, now, "/root/testdata/sf0.001")
+            got = after.collect()
+            if name != "pack":
+                assert after.columns == docs.columns and len(got) <= now.count(), name
+                now = spark.createDataFrame(got, docs.schema)
+            else:
+                assert {r.doc_id for r in got} == {r.doc_id for r in now.collect()} and (got or not given)
