@@ -42,7 +42,8 @@ class Running:
 def chunked(df: DataFrame, key: str, order: str, chunks: int | None = None) -> DataFrame:
     """``df`` with its chunk, written once; as is if it has one already.
 
-    Without ``chunks`` Spark sizes the partitions by bytes.
+    Without ``chunks`` there are as many ranges as shuffle partitions, of which Spark merges small
+    ones by bytes: for a large log set ``spark.sql.shuffle.partitions`` or ``chunks`` to its size.
     """
     if CHUNK in df.columns:
         return df
