@@ -23,7 +23,7 @@ Many runs, each with its own samples and its own control log, are trained by
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
@@ -86,6 +86,18 @@ class Prepared:
     n_shards: int
     alive: list[int]
     blocks: bool = False
+    per_shard: DataFrame | None = None
+    gone: list[int] = field(default_factory=list)  # shards lost while the run trains
+
+    def lose(self, shards: Iterable[int], r: int) -> None:
+        """Leaves shards out from round ``r`` on (J2, A6); those without samples change nothing."""
+        new = sorted({int(s) for s in shards} - set(self.gone))
+        if not new:
+            return
+        self.gone += new
+        for row in self.per_shard.where(F.col("shard_id").isin(new)).select("fail_round").collect():
+            for k in range(r, min(row["fail_round"], len(self.alive))):
+                self.alive[k] -= 1
 
 
 @dataclass
@@ -151,7 +163,7 @@ def prepared(
         alive = [sum(e["shards"] for e in by_end if e["end"] > r) for r in range(rounds)]
         n_shards, k = sum(e["shards"] for e in by_end), max([0, *(e["k"] or 0 for e in by_end)])
         if not n_shards or not k:
-            yield Prepared(None, 0, n_shards, alive)
+            yield Prepared(None, 0, n_shards, alive, False, per_shard)
             return
         side = per_shard.select("shard_id", (F.lit(1.0) / F.col("n")).alias("inv_n"), "fail_round")
         if k > NARROW:
@@ -159,21 +171,21 @@ def prepared(
             cached.append(packed)
             packed.count()
             base.unpersist()
-            yield Prepared(packed, k, n_shards, alive, True)
+            yield Prepared(packed, k, n_shards, alive, True, per_shard)
             return
         flat = base.join(side, "shard_id").select(
-            "inv_n", "fail_round", "y", *[F.coalesce(F.get("x", j), F.lit(0.0)).alias(c) for j, c in enumerate(xcols(k))]
+            "shard_id", "inv_n", "fail_round", "y", *[F.coalesce(F.get("x", j), F.lit(0.0)).alias(c) for j, c in enumerate(xcols(k))]
         )
         cached.append(flat.persist(StorageLevel.MEMORY_AND_DISK))
         flat.count()
         base.unpersist()
-        yield Prepared(flat, k, n_shards, alive)
+        yield Prepared(flat, k, n_shards, alive, False, per_shard)
     finally:
         for d in cached:
             d.unpersist()
 
 
-_BLOCK = "width int, x binary, y binary, inv_n binary, fail_round binary"
+_BLOCK = "width int, x binary, y binary, inv_n binary, fail_round binary, shard_id binary"
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
@@ -188,28 +200,29 @@ def in_blocks(rows: DataFrame) -> DataFrame:
                 end = min(int(np.searchsorted(widths, widths[at], "right")), at + most)  # rows of one width
                 part = b.slice(at, end - at)
                 cols = {"width": pa.array([int(widths[at])], pa.int32()), "x": pa.array([np.ascontiguousarray(part.column("x").flatten().to_numpy(zero_copy_only=False)).tobytes()], pa.binary())}
-                cols |= {c: pa.array([part.column(c).to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in ("y", "inv_n", "fail_round")}
+                cols |= {c: pa.array([part.column(c).to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in ("y", "inv_n", "fail_round", "shard_id")}
                 yield pa.RecordBatch.from_pydict(cols)
                 at = end
 
     # a row without a label has no error: it counts in its shard and adds nothing
     x = F.transform("x", lambda v: F.coalesce(v, F.lit(0.0)))
     inv_n = F.when(F.col("y").isNull(), F.lit(0.0)).otherwise(F.col("inv_n"))
-    given = rows.where("x IS NOT NULL").select(F.size("x").alias("width"), x.alias("x"), F.coalesce("y", F.lit(0.0)).alias("y"), inv_n.alias("inv_n"), "fail_round")
+    given = rows.where("x IS NOT NULL").select(F.size("x").alias("width"), x.alias("x"), F.coalesce("y", F.lit(0.0)).alias("y"), inv_n.alias("inv_n"), "fail_round", "shard_id")
     return given.sortWithinPartitions("width").mapInArrow(pack, _BLOCK)
 
 
 def block_sums(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int, list[float]]:
     """:func:`round_sums` over blocks: per block one product for the scores, one for the sums."""
-    k, weights = prep.k, np.array(w)
+    k, weights, gone = prep.k, np.array(w), prep.gone
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(k + 1)
         with np.errstate(all="ignore"):
             for b in batches:
-                for width, *parts in zip(*(b.column(c) for c in ("width", "x", "y", "inv_n", "fail_round")), strict=True):
+                for width, *parts in zip(*(b.column(c) for c in ("width", "x", "y", "inv_n", "fail_round", "shard_id")), strict=True):
                     x, y, inv_n = (np.frombuffer(p.as_buffer(), np.float64) for p in parts[:3])
-                    live = np.frombuffer(parts[3].as_buffer(), np.int32) > round_id
+                    fail_round, shard = (np.frombuffer(p.as_buffer(), np.int32) for p in parts[3:])
+                    live = (fail_round > round_id) & ~np.isin(shard, gone)
                     x = x.reshape(len(live), width.as_py())[live]
                     e = (1.0 / (1.0 + np.exp(-(x @ weights[: x.shape[1]]))) - y[live]) * inv_n[live]
                     total[: x.shape[1]] += e @ x
@@ -233,7 +246,10 @@ def round_sums(prep: Prepared, w: Sequence[float], round_id: int) -> tuple[int,
         return block_sums(prep, w, round_id)
     xs = xcols(prep.k)
     score = reduce(lambda a, b: a + b, [F.lit(float(v)) * F.col(x) for v, x in zip(w, xs, strict=True)])
-    rows = prep.df.where(F.col("fail_round") > round_id).select(((sigmoid(score) - F.col("y")) * F.col("inv_n")).alias("e"), *xs)
+    live = F.col("fail_round") > round_id
+    if prep.gone:
+        live &= ~F.col("shard_id").isin(prep.gone)
+    rows = prep.df.where(live).select(((sigmoid(score) - F.col("y")) * F.col("inv_n")).alias("e"), *xs)
     got = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col("e") * F.col(x)).alias(f"s_{x}") for x in xs]).first()
     return int(got["rows"]), [float(got[f"s_{x}"]) if got["rows"] else 0.0 for x in xs]
 
@@ -337,6 +353,7 @@ def train(
     max_features: int | None = None,
     partitions: int | None = None,
     on_round: Callable[[int, float | None], None] | None = None,
+    lost: Callable[[], Iterable[int]] | None = None,
 ) -> TrainResult:
     """Train one run for up to ``rounds`` synchronous rounds.
 
@@ -346,7 +363,9 @@ def train(
     norm never does). A round with no live shard leaves the weights unchanged and has no
     norm (T5). All features count unless ``max_features`` clamps them (S8). ``plan`` carries
     rates and an early stop known beforehand; ``live`` is asked at every round boundary.
-    ``on_round(round_id, norm)`` is called after each round.
+    ``on_round(round_id, norm)`` is called after each round. ``lost()`` is asked at every boundary for
+    the shards that have failed by then (``gradmesh.sources.text.ShardFiles.lost``): they are left
+    out for good, from that round on, as shards of ``failures`` are.
     """
     spark = samples.sparkSession
     rounds = int(rounds)
@@ -363,6 +382,8 @@ def train(
                 if stop:
                     final_round, outcome = r, stop
                     break
+            if lost is not None:
+                prep.lose(lost(), r)
             lr_r = rate if live is not None else float(plan.lrs[r])
             rows, sums = round_sums(prep, w, r) if prep.df is not None else (0, [])
             alive, norm, status = prep.alive[r], None, 0

@@ -10,10 +10,12 @@ start, then read order within the split).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradmesh.functions.numeric import lenient_double, tokens
+from gradmesh.session import shared_path
 
 # Shard file naming (``shard_<id>.txt``, a file or a folder of part files) and
 # the partition-folder form.
@@ -44,6 +46,34 @@ def read_shards(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.select(F.coalesce(by_name, by_dir).alias("shard_id"), pos.alias("pos"), F.col("value"))
 
 
+class ShardFiles:
+    """The files of the shards as they were when a run began, and which shards have lost any since.
+
+    Listing is Spark's (names and lengths, no content); the first listing is written to the shared
+    folder, and only the ids of lost shards come to the driver.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+        kept = shared_path(spark, "shard-files")
+        self._listed().write.parquet(kept)
+        self.first = spark.read.schema("file STRING, length BIGINT, shard_id INT").parquet(kept)
+
+    def _listed(self) -> DataFrame:
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.path)
+        ids = [F.nullif(F.regexp_extract("path", p, 1), F.lit("")).cast("int") for p in (SHARD_FILE_ID, SHARD_DIR_ID)]
+        return files.select(F.col("path").alias("file"), "length", F.coalesce(*ids).alias("shard_id")).where("shard_id IS NOT NULL")
+
+    def lost(self) -> list[int]:
+        """Shards of which a file is gone or shorter than it was."""
+        try:
+            now = self._listed().select("file", F.col("length").alias("now"))
+        except AnalysisException:  # nothing is left under the path
+            now = self.spark.createDataFrame([], "file STRING, now BIGINT")
+        bad = self.first.join(now, "file", "left").where("now IS NULL OR now < length")
+        return [r["shard_id"] for r in bad.select("shard_id").distinct().collect()]
+
+
 def data_lines(lines: DataFrame) -> DataFrame:
     """S3: drop comment lines (first char ``#``) and empty lines. No trimming: lines of
     blanks or a lone ``\\r`` are data lines, as in the reference."""

@@ -137,3 +137,38 @@ def test_generator_roundtrip(spark):
     assert sorted(r.shard_id for r in schema.collect()) == [1, 2, 3]
     assert {r.width for r in schema.collect()} == {5}
     assert back.groupBy("shard_id").count().where(F.col("count") != 40).count() == 0
+
+
+@pytest.mark.parametrize("narrow", [16, 1])
+def test_shards_lost_while_training(spark, tmp_path, monkeypatch, narrow):
+    """A file removed after round 0 and one cut short after round 2: the survivors' mean goes on,
+    and the losses are counted in participation, summary and answers."""
+    monkeypatch.setattr(TR, "NARROW", narrow)
+    lines = {1: "1 2 1\n3 4 0\n", 2: "5 -1 1\n2 2 0\n", 3: "0.5 1 1\n", 4: "7\n"}
+    for i, text in lines.items():
+        (tmp_path / f"shard_{i}.txt").write_text(text)
+    samples, _, _ = TX.load_shards(spark, str(tmp_path / "shard_*.txt"))
+    rows = samples.collect()  # what a run holds outlives its files
+    held = spark.createDataFrame([(r.shard_id, r.x, r.y) for r in rows], "shard_id INT, x ARRAY<DOUBLE>, y DOUBLE")
+    files = TX.ShardFiles(spark, str(tmp_path / "shard_*.txt"))
+
+    def fail(r, norm):
+        if r == 0:
+            (tmp_path / "shard_2.txt").unlink()
+            (tmp_path / "shard_4.txt").unlink()  # had no samples
+        if r == 2:
+            (tmp_path / "shard_3.txt").write_text("0.5")
+
+    live = TR.LiveControl(lambda: spark.createDataFrame([(k, "QUERY_PROGRESS", None) for k in range(9)], "seq BIGINT, op STRING, new_lr DOUBLE"))
+    res = TR.train(held, rounds=5, on_round=fail, lost=files.lost, live=live)
+    failures = spark.createDataFrame([(2, 1), (3, 3)], "shard_id INT, failed_from_round INT")
+    want = sorted(TR.train(held, rounds=5, failures=failures).history.collect(), key=lambda r: r.round_id)
+    got = sorted(res.history.collect(), key=lambda r: r.round_id)
+    assert [r.alive_shards for r in got] == [3, 2, 2, 1, 1] == [r.responses for r in got]
+    for a, b in zip(got, want, strict=True):
+        assert a.w == pytest.approx(b.w, abs=1e-14) and a.grad_norm == pytest.approx(b.grad_norm)
+    assert res.summary.first().alive_shards == 1
+    assert [(a["active_workers"], a["failed_workers"]) for a in live.answers] == [(3, 0), (3, 0), (2, 1), (2, 1), (1, 2)]
+    for f in tmp_path.glob("shard_*.txt"):
+        f.unlink()
+    assert sorted(files.lost()) == [1, 2, 3, 4]
