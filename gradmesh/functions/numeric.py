@@ -18,8 +18,10 @@ FLOAT_PREFIX = (
     r"|(?i:inf(?:inity)?|nan)))"
 )
 INT_PREFIX = r"^[ \t\n\r\f\x0B]*([+-]?[0-9]+)"
-# Token separators of the shard reader: space, tab and line feed.
-TOKEN_SPLIT = r"[ \t\n]+"
+# Token separators of the shard reader.
+SEPARATORS = " \t\n"
+# Tokens that are cast as they are, where that gives a number.
+PLAIN = r"\A[0-9.+-]+\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -33,7 +35,7 @@ def lenient_double(token: Column | str) -> Column:
     goes through the regular expression. A signed ``nan`` is NaN like an unsigned one.
     """
     token = _col(token)
-    plain = F.when(F.translate(token, "0123456789.+-", "") == "", token.try_cast("double"))
+    plain = F.when(token.rlike(PLAIN), token.try_cast("double"))
     prefix = F.regexp_extract(token, FLOAT_PREFIX, 1)
     read = F.when(F.lower(prefix).endswith("nan"), F.lit(float("nan"))).otherwise(prefix.try_cast("double"))
     return F.coalesce(plain, read, F.lit(0.0))
@@ -45,15 +47,11 @@ def lenient_int(text: Column | str) -> Column:
     return F.coalesce(prefix.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-# Separators at either end of a line; \z (not $) so a final "\r" stays a token.
-OUTER_SEPARATORS = r"^[ \t\n]+|[ \t\n]+\z"
-
-
 def tokens(value: Column | str) -> Column:
     """Split a line on runs of space / tab / line feed, with no empty tokens.
 
-    Outer separators are stripped first, so the split yields no empty tokens and no
-    higher-order function is needed (the expression stays in generated code).
+    By plain replacement and a one-character split, several times faster a line than regular
+    expressions; it stays in generated code.
     """
-    stripped = F.regexp_replace(_col(value), OUTER_SEPARATORS, "")
-    return F.when(stripped == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(stripped, TOKEN_SPLIT))
+    blanks = F.replace(F.replace(_col(value), F.lit("\t"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    return F.array_remove(F.split(blanks, " "), "")
