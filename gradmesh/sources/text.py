@@ -14,13 +14,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradmesh.functions.numeric import lenient_double, tokens
+from gradmesh.functions.numeric import SEPARATORS, lenient_double, tokens
 from gradmesh.session import shared_path
 
 # Shard file naming (``shard_<id>.txt``, a file or a folder of part files) and
 # the partition-folder form.
 SHARD_FILE_ID = r"shard_(\d+)\.txt(?:/[^/]*)?$"
 SHARD_DIR_ID = r"shard_id=(\d+)/[^/]*$"
+#: A line's ``id`` times this, plus its token count, is one number.
+PLACE = 10**10
 
 
 def read_shards(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -90,16 +92,19 @@ def shard_schema(lines: DataFrame) -> DataFrame:
     """Per shard, ``width`` = token count of the first data line that has a token,
     ``n_lines`` = data lines; ``accepted`` when there is a line and ``width >= 2``.
 
-    One grouped aggregate (partial then final), so a huge shard is not one task; only the
-    line it finds is split, one per shard.
+    Lines are hash-aggregated by split: the least ``id`` with its token count, as one decimal (a
+    line's text in the aggregate would have each task sort its lines). The splits of a shard, a few
+    rows, are then aggregated by their place, so a huge shard is not one task.
     """
-    has_token = F.translate("value", " \t\n", "") != ""
-    agg = lines.where(F.col("shard_id").isNotNull()).groupBy("shard_id").agg(
-        F.min_by("value", F.when(has_token, F.col("pos"))).alias("first"),
-        F.count(F.lit(1)).alias("n_lines"),
+    has_token = F.btrim("value", F.lit(SEPARATORS)) != ""
+    first = F.when(has_token, F.col("pos.id").cast("decimal(19,0)") * F.lit(PLACE).cast("decimal(11,0)") + F.size(tokens("value")).cast("decimal(10,0)"))
+    split = (F.col("pos.file").alias("file"), F.col("pos.file_block_start").alias("block"))
+    splits = lines.where(F.col("shard_id").isNotNull()).groupBy("shard_id", *split).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n_lines"))
+    agg = splits.groupBy("shard_id").agg(
+        F.min_by("first", F.when(F.col("first").isNotNull(), F.struct("file", "block", "first"))).alias("first"),
+        F.sum("n_lines").alias("n_lines"),
     )
-    width = F.coalesce(F.size(tokens("first")), F.lit(0))
-    width = F.when(F.col("first").isNull(), 0).otherwise(width).cast("int")
+    width = F.coalesce(F.pmod("first", F.lit(PLACE).cast("decimal(11,0)")), F.lit(0)).cast("int")
     return agg.select("shard_id", width.alias("width"), "n_lines").withColumn("accepted", (F.col("n_lines") > 0) & (F.col("width") >= 2))
 
 
@@ -140,7 +145,14 @@ def load_shards(
 
 
 def lines_to_samples(lines: DataFrame, max_features: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """S3-S8 over any lines frame: ``(samples, rejects, schema)``."""
+    """S3-S8 over any lines frame: ``(samples, rejects, schema)``.
+
+    The schema, one row a shard, is written once to the shared folder, so that joins with it are
+    planned by its real size: lines aren't dealt by shard, of which there may be a handful.
+    """
     kept = data_lines(lines)
-    schema = shard_schema(kept)
+    path = shared_path(lines.sparkSession, "shard-schema")
+    found = shard_schema(kept)
+    found.write.parquet(path)
+    schema = lines.sparkSession.read.schema(found.schema).parquet(path)
     return parse_samples(kept, schema, max_features), rejected_lines(kept, schema), schema

@@ -47,6 +47,25 @@ def test_p4_single_column_shard_rejected(spark):
     assert sch == {1: (1, False)} and good == [] and sorted(bad) == ["7", "8"]
 
 
+def test_schema_of_many_splits_neither_sorts_lines_nor_deals_them_by_shard(spark, tmp_path):
+    """The first line with a token decides, whatever splits and ids; no task gets a shard's lines."""
+    rows = [(1, ("b", 0, 1), "9 9 9 9"), (1, ("a", 64, 2**62), "8 8"), (1, ("a", 0, 2**62 + 5), " \t "), (1, ("a", 0, 2**62 + 7), "1 2\t 3 "), (1, ("a", 0, 2**62 + 9), "7"), (2, ("a", 0, 0), "\t"), (3, ("z", 0, 0), "\r 1")]
+    lines = spark.createDataFrame(rows, "shard_id INT, pos STRUCT<file: STRING, file_block_start: BIGINT, id: BIGINT>, value STRING")
+    found = TX.shard_schema(lines)
+    assert sorted(map(tuple, found.collect())) == [(1, 3, 5, True), (2, 0, 1, False), (3, 2, 1, True)]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "HashAggregate" in [x for x in plan.splitlines() if "Aggregate(" in x][-1]  # above the lines
+    spark.conf.set("spark.sql.adaptive.nonEmptyPartitionRatioForBroadcastJoin", "0.9")  # few shards, many partitions
+    try:
+        samples, rejects, _ = TX.lines_to_samples(lines)
+        for df in (samples, rejects):
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.adaptive.nonEmptyPartitionRatioForBroadcastJoin")
+
+
 def test_lenient_numbers(spark):
     toks = ["1e", "1.5e3x", "inf", "-Infinity", "abc", ".5", "+3", "1.", "-", "0x1A", " 7", "2.5\r", "1.2.3", "+-5", "1d", "", "5-"]
     df = spark.createDataFrame([(t,) for t in toks], "t STRING")
