@@ -747,14 +747,14 @@ def _console_sql() -> str:
 
 @register("console_stream", _console_sql)
 def q_console_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 + C8 from raw text: a console per user, its lines in files that come in three goes."""
+    """C1 + C8 from raw text: a console per user, its lines in files that come in three goes. Busy
+    consoles have files of their own, the others share files."""
     lines = TB.events_commands(spark, sf_dir)
     path, base = shared_path(spark, "consoles"), shared_path(spark, "console_stream")
     low, high = lines.agg(F.min("seq"), F.max("seq")).first()
     part = F.floor((F.col("seq") - low) * 3 / (high - low + 1))
     out = None
     for i in range(3):
-        now = lines.where(part == i).repartition("run_id").sortWithinPartitions("run_id", "seq")
-        now.select("run_id", "value").write.mode("append").partitionBy("run_id").text(path)
+        CON.write_consoles(lines.where(part == i), path)
         out = run_to_table(CON.console_stream(spark, path), spark, base)
     return out.select("run_id", "seq", "op", "round_id", F.col("paused_before").cast("int").alias("paused_before"), r8("lr").alias("lr"))
