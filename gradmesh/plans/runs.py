@@ -92,7 +92,8 @@ def laid_out(samples: DataFrame, rounds: int, folder: str, failures: DataFrame |
         rows = _write(rows, f"{folder}/samples")  # so that a part is the same whenever it is read
         base.unpersist()
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        flat = rows.repartition(n, "run_id", "part").persist(StorageLevel.MEMORY_AND_DISK)
+        # sorted once, so that no round sorts them for its join
+        flat = rows.repartition(n, "run_id", "part").sortWithinPartitions("run_id", "part").persist(StorageLevel.MEMORY_AND_DISK)
         yield RunSamples(flat, runs, xs)
     finally:
         base.unpersist()

@@ -132,6 +132,23 @@ def test_samples_stay_where_they_are(spark):
             assert any("HashAggregate" in x and "partial_sum" in x for x in above[:first]), above
 
 
+def test_rounds_do_not_sort_samples(spark):
+    """They are laid out in the order of the round's join."""
+    s = samples_df(spark, ROWS * 50).withColumn("run_id", F.floor(F.rand(1) * 9))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with RN.laid_out(s, 2, _fresh(spark), part_rows=20) as laid:
+            active = laid.runs.select("run_id", F.lit(1).alias("round_id"), F.array(F.lit(0.1), F.lit(0.2)).alias("w"), F.lit(0.01).alias("lr"), F.lit(2).cast("bigint").alias("alive_shards"), "parts")
+            done = RN.one_round(laid, active, 1e-4, 64)
+            done.collect()
+            lines = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(k for k, x in enumerate(lines) if "InMemoryTableScan" in x)
+    join = max(k for k, x in enumerate(lines[:scan]) if "SortMergeJoin" in x)
+    assert join < scan and not any(" Sort [" in x for x in lines[join:scan])
+
+
 def _fresh(spark):
     from gradmesh.session import shared_path
 
