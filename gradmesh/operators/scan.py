@@ -55,6 +55,13 @@ def chunked(df: DataFrame, key: str, order: str, chunks: int | None = None) -> D
     return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder, for what several actions read."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def within(key: str, order: str) -> WindowSpec:
     """Rows of a chunk, in order."""
     return Window.partitionBy(key, CHUNK).orderBy(order)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gradmesh.functions.model import DEFAULT_LR
 from gradmesh.operators.control import ADJUST_LR, KEY, ORDER, PAUSE, RESUME, TERMINATE, as_control, command_rounds, odd, pause_marker, read_commands, start_gate
-from gradmesh.operators.scan import CHUNK, Running, chunked, running
+from gradmesh.operators.scan import CHUNK, Running, chunked, running, written
 from gradmesh.session import shared_path
 from gradmesh.sources import console
 from gradmesh.streaming.carry import Carry
@@ -61,7 +61,7 @@ def fold_batch(events: DataFrame, carry: DataFrame, lr: float = DEFAULT_LR, wait
     log = chunked(rows.unionByName(ahead.select(KEY, F.col("_ahead").alias(ORDER), F.lit(PAUSE).alias("op"), F.lit(None).cast("double").alias("new_lr"))), KEY, ORDER)
     folded = command_rounds(log)
     rate = F.when((F.col("op") == ADJUST_LR) & F.col("effective") & F.col("new_lr").isNotNull(), F.struct(ORDER, "new_lr"))
-    folded = running(folded, KEY, ORDER, [Running("_rate", "max", rate)])
+    folded = written(running(folded, KEY, ORDER, [Running("_rate", "max", rate)]), "folded")  # for the rows and the carry
     before = carry.select(KEY, F.col("boundary").alias("_boundary"), F.col("lr").alias("_lr"), F.col("paused").alias("_paused"))
     both = folded.join(before.join(ahead, KEY, "left"), KEY, "left")
     # the PAUSE put ahead took boundary 0, which is the carried pause's own
@@ -99,7 +99,7 @@ def decode_batch(lines: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFra
     """
     lines = lines.select(KEY, ORDER, "value").join(carry.where("ended").select(KEY), KEY, "left_anti")
     waiting = carry.where("pending IS NOT NULL AND NOT ended").select(KEY, F.col("pending").alias(ORDER), F.lit("2").alias("value"))
-    commands = read_commands(chunked(lines.unionByName(waiting), KEY, ORDER))
+    commands = written(read_commands(chunked(lines.unionByName(waiting), KEY, ORDER)), "commands")  # read by all that follows
     pending = F.when((F.col("code") == 2) & F.col("following").isNull(), F.col(ORDER))
     now = commands.groupBy(KEY).agg(F.max(pending).alias("pending"), F.bool_or("ends").alias("ended"))
     done = carry.where("ended").join(now.select(KEY), KEY, "left_anti").select(KEY, "pending", "ended")

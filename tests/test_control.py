@@ -13,7 +13,7 @@ from gradmesh.operators import control as C
 from gradmesh.operators.scan import CHUNK, Running, chunked, running
 from gradmesh.plans import runs as RN
 from gradmesh.plans import training as TR
-from gradmesh.sources.console import console_stream
+from gradmesh.sources.console import OWN_FILES, console_stream, write_consoles
 from gradmesh.streaming.control_stream import run_to_table
 
 SCHEMA = "run_id BIGINT, seq BIGINT, op STRING, new_lr DOUBLE"
@@ -275,3 +275,33 @@ def test_console_files_equal_sequential_reading(spark, tmp_path):
     got = by_run([(r.run_id, r.seq, r.op, r.round_id, r.paused_before, r.effective, r.lr) for r in out.collect()])
     want = {run: read_log(read_lines(log))[0] for run, log in logs.items()}
     assert got == {run: w for run, w in want.items() if w}
+
+
+def test_consoles_share_files(spark, tmp_path):
+    """Files don't grow in number with the runs; a hot run's lines keep their order in both kinds."""
+    rnd = random.Random(8)
+    logs = {run: [rnd.choice(["2", "1", "3", "4", "0.5", " x", "a\tb", ""]) for _ in range(40 if run < 20 else rnd.randint(1, 9))] for run in range(-3, 300)}
+    src, base, out = str(tmp_path / "src"), str(tmp_path / "query"), None
+    for low, high in ((0, 3), (3, 99)):
+        rows = [(run, 7 * k, x) for run, log in logs.items() for k, x in enumerate(log) if low <= k < high]
+        write_consoles(spark.createDataFrame([*rows, (None, 1, "1")], "run_id BIGINT, seq BIGINT, value STRING").repartition(5), src)
+        out = run_to_table(console_stream(spark, src), spark, base)
+    got = by_run([(r.run_id, r.seq, r.op, r.round_id, r.paused_before, r.effective, r.lr) for r in out.collect()])
+    want = {run: read_log(read_lines(log))[0] for run, log in logs.items()}
+    assert got == {run: w for run, w in want.items() if w}
+    files = [p for p in (tmp_path / "src").rglob("part-*") if p.is_file()]
+    assert len({p.parent for p in files}) <= 2 * OWN_FILES + 1 and len(files) < 100
+
+
+def test_a_batch_is_decoded_and_folded_once(spark):
+    """Rows and carry of a micro-batch read what was folded, not the log again."""
+    from gradmesh.streaming.control_stream import CARRIES, decode_batch, fold_batch
+
+    lines = spark.createDataFrame([(1, k, x) for k, x in enumerate(["2", "0.5", "3", "1", "4", "2"])], "run_id BIGINT, seq BIGINT, value STRING")
+    events, left = decode_batch(lines, spark.createDataFrame([], CARRIES["lines"]))
+    rows, carry = fold_batch(events, spark.createDataFrame([], CARRIES["runs"]))
+    for df in (events, left, rows, carry):
+        assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in left.collect()] == [(1, 5, False)]
+    assert sorted((r.seq, r.op, r.round_id, r.lr) for r in rows.collect()) == [(0, "ADJUST_LR", 0, 0.5), (2, "PAUSE", 1, 0.5), (3, "QUERY_PROGRESS", 1, 0.5), (4, "RESUME", 1, 0.5)]
+    assert [tuple(r) for r in carry.collect()] == [(1, False, 2, 0.5, False, True)]
